@@ -184,13 +184,63 @@ LOW_VOLUME = 1000
 # ---------------------------------------------------------------------------
 
 
+# After lower(), Python's IGNORECASE matching of ASCII pattern letters adds only
+# these equivalences (dotless i ~ i, long s ~ s); folding them once lets the
+# rule patterns run case-sensitively, which is much cheaper than (?iu).
+CASELESS_FROM, CASELESS_TO = "\u0131\u017f", "is"
+
+
+def caseless(text) -> Column:
+    return F.translate(col_of(text), CASELESS_FROM, CASELESS_TO)
+
+
+def required_literals(pattern: str):
+    """Literal pieces a match must contain, per alternation branch, or None.
+
+    Only for patterns made of plain words joined by ``.*``/``.?`` and ``|``
+    (every default rule); anything else returns None and skips the pre-check.
+    """
+    import re
+
+    branches = []
+    for branch in pattern.split("|"):
+        pieces = [p for p in re.split(r"\.\*|\.\?", branch) if p]
+        if not pieces or any(not re.fullmatch(r"[a-z0-9 _-]+", p) for p in pieces):
+            return None
+        branches.append(pieces)
+    return branches
+
+
+def literal_precheck(text, pattern: str):
+    """A cheap necessary condition for ``pattern`` (substring tests), or None."""
+    branches = required_literals(pattern)
+    if branches is None:
+        return None
+    cond = None
+    for pieces in branches:
+        conj = None
+        for p in pieces:
+            t = F.instr(text, p) > 0
+            conj = t if conj is None else (conj & t)
+        cond = conj if cond is None else (cond | conj)
+    return cond
+
+
 def task_label(text, rules=TASK_RULES, fallbacks=TASK_FALLBACKS, default=TASK_DEFAULT) -> Column:
     """First rule whose pattern is found in ``text`` (already lower-cased),
-    as one CASE chain: a single projection inside codegen, no join."""
+    as one CASE chain: a single projection inside codegen, no join.
+
+    Each regex is guarded by a substring pre-check of its literals, so prose
+    that cannot match a rule costs a few byte scans instead of a regex scan.
+    """
     text = col_of(text)
+    folded = caseless(text)
     chain = None
     for pattern, label in list(rules):
-        cond = py_search(text, pattern, ignore_case=True)
+        cond = py_search(folded, pattern)
+        pre = literal_precheck(folded, pattern)
+        if pre is not None:
+            cond = pre & cond
         chain = F.when(cond, label) if chain is None else chain.when(cond, label)
     for needle, label in fallbacks:
         cond = F.instr(text, needle) > 0

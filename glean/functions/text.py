@@ -53,11 +53,11 @@ def py_rstrip(c) -> Column:
 def rstrip_lines(c) -> Column:
     """``'\\n'.join(line.rstrip() for line in s.split('\\n'))``.
 
-    The look-behind anchors each match at the start of a maximal whitespace
-    run, so every run is scanned once (linear, no quadratic backtracking).
+    Split, right-trim each line with the explicit whitespace set, join: linear
+    in the text and faster than a look-around regex over a 26-way class.
     """
-    pattern = "(?<!%s)%s++(?=\\n|\\z)" % (WS_NO_NL_CLASS, WS_NO_NL_CLASS)
-    return F.regexp_replace(col_of(c), pattern, "")
+    lines = F.split(col_of(c), "\n", -1)
+    return F.array_join(F.transform(lines, lambda x: F.rtrim(x, F.lit(PY_WHITESPACE_NO_NL))), "\n")
 
 
 def collapse_newlines(c) -> Column:
@@ -94,3 +94,17 @@ def stable_bucket(key, n: int) -> Column:
     """Deterministic pick in ``[0, n)`` from a hex md5 key: the first 8 hex
     digits as an integer, modulo n. Stands in for unseeded ``random.choice``."""
     return F.pmod(F.conv(F.substring(col_of(key), 1, 8), 16, 10).cast("bigint"), F.lit(n))
+
+
+def with_computed(df, **cols):
+    """Add columns that are computed once per row.
+
+    A later ``filter`` on a plain ``withColumn`` alias is pushed below the
+    projection with the alias replaced by its expression, so an expensive
+    regex chain used by several predicates runs once per reference. Producing
+    the columns through ``inline(array(struct(...)))`` (a Generate node) keeps
+    them as real attributes: predicates above it read the stored value.
+    """
+    packed = F.struct(*[col_of(v).alias(k) for k, v in cols.items()])
+    keep = [c for c in df.columns if c not in cols]
+    return df.select(*keep, F.inline(F.array(packed)))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glean.functions import rules as R
+from glean.functions.text import with_computed
 from glean.operators.clean import clean_code_col
 from glean.operators.dedup import dedup_first, output_key
 from glean.operators.label import instruction_of, task_of, title_instruction
@@ -37,8 +38,7 @@ def code_branch(samples: DataFrame, dedup: bool = True) -> DataFrame:
 
     ``samples`` needs code, language, description, src_path, src_pos.
     """
-    df = (apply_code_defaults(samples)
-          .withColumn("output", clean_code_col(F.col("code")))
+    df = (with_computed(apply_code_defaults(samples), output=clean_code_col(F.col("code")))
           .filter(code_is_valid(F.col("output"), F.col("language")))
           .withColumn("output_key", output_key(F.col("output")))
           .withColumn("src_rank", F.lit(RANK_CODE)))
@@ -64,7 +64,7 @@ def qa_branch(pairs: DataFrame, dedup: bool = True) -> DataFrame:
     """
     df = (pairs.withColumn("code_blocks", F.coalesce(F.col("code_blocks"), F.array().cast("array<string>")))
                .filter(F.size("code_blocks") > 0)
-               .withColumn("output", clean_code_col(longest_first(F.col("code_blocks"))))
+               .transform(lambda d: with_computed(d, output=clean_code_col(longest_first(F.col("code_blocks")))))
                .filter(F.length("output") >= R.MIN_CODE_CHARS)
                .withColumn("output_key", output_key(F.col("output")))
                .withColumn("src_rank", F.lit(RANK_QA)))
@@ -86,7 +86,7 @@ def instruction_branch(samples: DataFrame, dedup: bool = True) -> DataFrame:
                  .withColumn("input", F.coalesce(F.col("input"), F.lit("")))
                  .withColumn("output", F.coalesce(F.col("output"), F.lit("")))
                  .filter((F.length("instruction") > 0) & (F.length("output") > 0))
-                 .withColumn("output", clean_code_col(F.col("output")))
+                 .transform(lambda d: with_computed(d, output=clean_code_col(F.col("output"))))
                  .filter(F.length("output") >= R.MIN_CODE_CHARS)
                  .withColumn("output_key", output_key(F.col("output")))
                  .withColumn("src_rank", F.lit(RANK_INSTRUCTIONS)))

@@ -65,7 +65,8 @@ def output_key(e: str) -> str:
 
 
 def task_label(text: str) -> str:
-    parts = [f"when regexp_matches({text}, {lit('(?i)' + p)}) then {lit(label)}" for p, label in R.TASK_RULES]
+    folded = f"translate({text}, {lit(R.CASELESS_FROM)}, {lit(R.CASELESS_TO)})"
+    parts = [f"when regexp_matches({folded}, {lit(p)}) then {lit(label)}" for p, label in R.TASK_RULES]
     parts += [f"when contains({text}, {lit(n)}) then {lit(label)}" for n, label in R.TASK_FALLBACKS]
     return "(case " + " ".join(parts) + f" else {lit(R.TASK_DEFAULT)} end)"
 

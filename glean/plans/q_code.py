@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from glean.functions import rules as R
+from glean.functions.text import with_computed
 from glean.operators import select as S
 from glean.operators.clean import clean_code_col
 from glean.operators.dedup import dedup_first, output_key
@@ -81,7 +82,7 @@ select min(doc_id) as doc_id, k as output_key from (
   select doc_id, {D.output_key('c')} as k from (select doc_id, language, {CLEAN} as c from code_samples)
   where {_VALID}) group by k""")
 def q_code_dedup(spark, sf_dir):
-    df = (code_view(spark, sf_dir).withColumn("c", clean_code_col(F.col("code")))
+    df = (with_computed(code_view(spark, sf_dir), c=clean_code_col(F.col("code")))
           .filter(length_ok(F.col("c")) & keywords_ok(F.col("c"), F.col("language")))
           .select("doc_id", output_key(F.col("c")).alias("output_key")))
     return dedup_first(df, "output_key", ["doc_id"])

@@ -14,7 +14,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glean.plans.tables import table
+from glean.plans.tables import spread_table
 
 _PHRASES = ("(values (0,'click the button'), (1,'enter some text'), (2,'select from dropdown'), "
             "(3,'verify the element'), (4,'wait for element'), (5,'login now'), (6,'sign out'), "
@@ -113,7 +113,7 @@ def _tables_in(sql: str) -> list[str]:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The named view as a Spark DataFrame over the parquet tables in ``sf_dir``."""
     sql = VIEWS[name]
-    args = {t: table(spark, sf_dir, t) for t in _tables_in(sql)}
+    args = {t: spread_table(spark, sf_dir, t) for t in _tables_in(sql)}
     return spark.sql(sql, **args)
 
 
