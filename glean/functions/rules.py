@@ -272,7 +272,10 @@ def purpose_of(name, rules=PURPOSE_RULES, default=PURPOSE_DEFAULT) -> Column:
 def language_from_tag_array(tags, rules=TAG_LANGUAGE_RULES, default=TAG_LANGUAGE_DEFAULT) -> Column:
     tags = col_of(tags)
     chain = None
+    def any_tag_has(needles):
+        return F.exists(tags, lambda t: contains_any(t, needles))
+
     for needles, label in rules:
-        cond = F.exists(tags, lambda t, _n=needles: contains_any(t, _n))
+        cond = any_tag_has(needles)
         chain = F.when(cond, label) if chain is None else chain.when(cond, label)
     return chain.otherwise(default)

@@ -20,11 +20,13 @@ def output_key(c) -> Column:
     return F.md5(F.lower(py_strip(col_of(c))))
 
 
-def dedup_first(df: DataFrame, key: str, order: list) -> DataFrame:
-    """Keep the first row per ``key`` by ``order`` (columns; must be unique per row)."""
+def dedup_first(df: DataFrame, key, order: list) -> DataFrame:
+    """Keep the first row per ``key`` (a column name or a list of them) by
+    ``order`` (columns; unique per row within a key)."""
     cols = df.columns
     order_col = F.struct(*[col_of(o) for o in order]) if len(order) > 1 else col_of(order[0])
-    winners = df.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order_col).alias("_first"))
+    keys = [key] if isinstance(key, str) else list(key)
+    winners = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order_col).alias("_first"))
     return winners.select("_first.*")
 
 

@@ -138,3 +138,87 @@ def filter_answers(pairs: DataFrame, min_answer_score: int = 1) -> DataFrame:
     """Applied after choosing: a low-scored chosen answer drops the question."""
     return pairs.filter((F.coalesce(F.col("answer_score"), F.lit(0)) >= min_answer_score)
                         & (F.coalesce(F.length("answer_body"), F.lit(0)) > 0))
+
+
+def category_rules(spark, category_tags=R.QA_CATEGORY_TAGS) -> DataFrame:
+    """The tag search plan as a small table: (category, cat_rank, tag, tag_rank)."""
+    rows = [(c, ci, t, ti) for ci, (c, tags) in enumerate(category_tags.items()) for ti, t in enumerate(tags)]
+    return spark.createDataFrame(rows, "category string, cat_rank int, tag string, tag_rank int")
+
+
+POS_SCALE = 1_000_000_000  # cat_pos = tag_rank * POS_SCALE + rank within the tag listing
+
+
+def tag_listing(questions: DataFrame, rules: DataFrame, per_tag: int = 500) -> DataFrame:
+    """Questions listed per searched tag, votes descending (ties by id), at most
+    ``per_tag`` per tag (5 pages of 100). One row per (category, tag, question)."""
+    pairs = (questions.select("question_id", "score", "answer_count",
+                              F.explode(F.array_distinct(F.col("tags"))).alias("tag"))
+             .join(F.broadcast(rules), "tag"))
+    listed = cap_per_group(pairs, ["category", "tag"], [F.desc("score"), F.asc("question_id")], per_tag,
+                           rank_col="rank")
+    return listed.withColumn("cat_pos", F.col("tag_rank").cast("long") * POS_SCALE + F.col("rank"))
+
+
+def first_per_category(listing: DataFrame) -> DataFrame:
+    """A question met again under a later tag of the same search is skipped."""
+    from glean.operators.dedup import dedup_first
+
+    return dedup_first(listing, ["category", "question_id"], ["cat_pos"])
+
+
+def select_qa(questions: DataFrame, answers: DataFrame, category_tags=R.QA_CATEGORY_TAGS,
+              max_questions: int = 300, per_tag: int = 500, min_score: int = 0, min_answers: int = 1,
+              min_answer_score: int = 1) -> DataFrame:
+    """Question/answer selection, one category after another.
+
+    Per category: the tag listings (``tag_listing``), first occurrence per
+    question, the question predicate, the best answer, the answer predicate,
+    then the first ``max_questions`` accepted pairs in listing order. A
+    question is *seen* (and skipped by later categories) if the walk reached
+    it: every yielded question up to the one that filled the cap, accepted or
+    not. Returns one row per selected pair with the chosen answer's fields.
+    """
+    rules = category_rules(questions.sparkSession, category_tags)
+    firsts = first_per_category(tag_listing(questions, rules, per_tag))
+    yielded = filter_questions(firsts, min_score, min_answers)
+    best = best_answer(answers.select("question_id", "answer_pos", "score", "is_accepted", "body"))
+    cand = yielded.join(best.select("question_id", "answer_pos", F.col("score").alias("answer_score"),
+                                    "is_accepted", F.col("body").alias("answer_body")),
+                        "question_id", "left")
+    ok = (F.col("answer_pos").isNotNull() & (F.col("answer_score") >= min_answer_score)
+          & (F.coalesce(F.length("answer_body"), F.lit(0)) > 0))
+    seen, out = None, None
+    for category in category_tags:
+        c = cand.filter(F.col("category") == category)
+        if seen is not None:
+            c = c.join(seen, "question_id", "left_anti")
+        accepted = top_n(c.filter(ok), max_questions, [F.asc("cat_pos")])
+        stop = accepted.agg(F.when(F.count(F.lit(1)) >= max_questions, F.max("cat_pos")).alias("stop")).scalar()
+        seen_c = c.filter(stop.isNull() | (F.col("cat_pos") <= stop)).select("question_id")
+        seen = seen_c if seen is None else seen.unionByName(seen_c)
+        out = accepted if out is None else out.unionByName(accepted)
+    return out.select("category", "cat_rank", "cat_pos", "question_id", "answer_pos", "answer_score",
+                      "is_accepted", "answer_body")
+
+
+def qa_pairs(selected: DataFrame, questions: DataFrame, max_questions: int = 300,
+             n_categories: int = len(R.QA_CATEGORY_TAGS)) -> DataFrame:
+    """Selected pairs -> QAPair rows (title, question text, answer text, code
+    blocks, tags, url). ``selected`` holds at most ``max_questions`` rows per
+    category, a proven bound, so it is broadcast into the question scan."""
+    from glean.functions.html import code_blocks, html_to_text, unescape
+
+    q = questions.join(F.broadcast(selected), "question_id")
+    title = unescape(F.coalesce(F.col("title"), F.lit("")))
+    text = html_to_text(F.col("body"))
+    return q.select(
+        "category", "question_id", "answer_pos", "tags", "score", "answer_score",
+        title.alias("title"),
+        F.when(F.length(text) > 0, text).otherwise(title).alias("question"),
+        html_to_text(F.col("answer_body")).alias("answer"),
+        code_blocks(F.col("answer_body")).alias("code_blocks"),
+        F.coalesce(F.col("link"), F.concat(F.lit("https://stackoverflow.com/q/"),
+                                           F.col("question_id").cast("string"))).alias("url"),
+        F.lit("qa_selection").alias("src_path"),
+        (F.col("cat_rank").cast("long") * (POS_SCALE * 1000) + F.col("cat_pos")).alias("src_pos"))

@@ -114,3 +114,79 @@ def title_instruction(title: str) -> str:
 
 def lang_family(language: str) -> str:
     return f"regexp_replace({language}, '^selenium_', '')"
+
+
+# --- HTML --------------------------------------------------------------------
+
+SEP, OPEN, CLOSE, OPEN2, CLOSE2 = "chr(57344)", "chr(57345)", "chr(57346)", "chr(57347)", "chr(57348)"
+TAG = "</?[A-Za-z][^>]*>"
+
+
+def drop_ignorable(e: str, repl: str = "''") -> str:
+    for p in [r"(?s)<!--.*?-->", r"(?is)<script\b[^>]*>.*?</script\s*>", r"(?is)<style\b[^>]*>.*?</style\s*>",
+              r"<![^>]*>", r"<\?[^>]*>"]:
+        e = f"regexp_replace({e}, {lit(p)}, {repl}, 'g')"
+    return e
+
+
+def unescape(e: str) -> str:
+    from glean.functions.html import FAST_ENTITIES
+
+    for k, v in FAST_ENTITIES[:-1]:
+        e = f"replace({e}, {lit(k)}, chr({ord(v)}))"
+    e = f"regexp_replace({e}, '&amp([^;]|$)', '&\\1', 'g')"
+    return f"replace({e}, '&amp;', '&')"
+
+
+def strip_tags(e: str) -> str:
+    return f"regexp_replace({e}, {lit(TAG)}, '', 'g')"
+
+
+def code_blocks_from(parts: str, min_len: int = 21) -> str:
+    """Code block texts from ``parts`` = string_split(marked html, OPEN)."""
+    suffix = (f"array_to_string(list_transform(list_slice({parts}, i, len({parts})), "
+              f"lambda x: substr(x, strpos(x, {CLOSE}) + 1)), '')")
+    name = f"lower(split_part({parts}[i], {CLOSE}, 1))"
+    content = (f"(case when {name} = 'pre' then regexp_extract({suffix}, '(?is)^(.*?)(?:</pre\\s*>|$)', 1) "
+               f"else regexp_extract({suffix}, '(?is)^(.*?)(?:</code\\s*>|$)', 1) end)")
+    texts = f"list_transform(range(2, len({parts}) + 1), lambda i: {strip(unescape(strip_tags(content)))})"
+    return f"list_filter({texts}, lambda t: length(t) >= {min_len})"
+
+
+def mark_blocks(e: str) -> str:
+    """string_split of the cleaned html at every pre/code opening tag."""
+    cleaned = drop_ignorable(f"coalesce({e}, '')")
+    marked = f"regexp_replace({cleaned}, '(?i)<(pre|code)\\b[^>]*>', {OPEN} || '\\1' || {CLOSE}, 'g')"
+    return f"string_split({marked}, {OPEN})"
+
+
+def _outside(o: str) -> str:
+    return f"regexp_replace({o}, '(?:{TAG}|' || {SEP} || ')+', {SEP}, 'g')"
+
+
+def _block(i: str) -> str:
+    body = f"regexp_replace({i}, '{TAG}|' || {SEP}, '', 'g')"
+    return f"({SEP} || chr(10) || '```' || chr(10) || {body} || chr(10) || '```' || chr(10) || {SEP})"
+
+
+def _assemble(pieces: str, close: str, inner, v: str, k: str) -> str:
+    """Text of a string_split at block openings: piece 1 is outside text, every
+    later piece is "<block>CLOSE<outside>"; ``inner`` renders outside text.
+    ``v``/``k`` name the lambda variables (distinct per nesting level)."""
+    return (f"array_to_string(list_transform({pieces}, lambda {v}, {k}: case when {k} = 1 then {inner(v)} "
+            f"else {_block(f'split_part({v}, {close}, 1)')} || {inner(f'substr({v}, strpos({v}, {close}) + 1)')} end), '')")
+
+
+def _code_level(o: str) -> str:
+    m = f"regexp_replace({o}, '(?is)<code\\b[^>]*>(.*?)(?:</code\\s*>|$)', {OPEN2} || '\\1' || {CLOSE2}, 'g')"
+    return _assemble(f"string_split({m}, {OPEN2})", CLOSE2, _outside, "p2", "i2")
+
+
+def html_to_text(e: str) -> str:
+    h = drop_ignorable(f"coalesce({e}, '')", SEP)
+    m = f"regexp_replace({h}, '(?is)<pre\\b[^>]*>(.*?)(?:</pre\\s*>|$)', {OPEN} || '\\1' || {CLOSE}, 'g')"
+    body = _assemble(f"string_split({m}, {OPEN})", CLOSE, _code_level, "p1", "i1")
+    t = f"regexp_replace({body}, {SEP} || '+', {SEP}, 'g')"
+    t = f"replace(trim({t}, {SEP}), {SEP}, chr(10))"
+    t = unescape(unescape(t))
+    return strip(collapse_newlines(t))
