@@ -153,13 +153,19 @@ def q_selection(spark, sf_dir):
                     F.array_join("code_blocks", "\u001e").alias("blocks"))
 
 
-@query("qa_branch", "O-82", D_Q + _selection_ctes(MAX_QUESTIONS) + _pairs_cte() + f"""
+def qa_branch_ctes() -> str:
+    """CTEs ``kept`` (Q&A corpus rows before dedup) on top of ``pairs``."""
+    return f"""
 , withcode as (select *, list_reduce(list_transform(code_blocks, lambda x, i: {{'n': length(x), 'neg': -i, 'v': x}}),
     lambda a, b: case when (b.n > a.n) or (b.n = a.n and b.neg > a.neg) then b else a end).v as longest
   from pairs where len(code_blocks) > 0),
 cleaned as (select *, {D.clean_code('longest')} as output from withcode),
-kept as (select *, {D.output_key('output')} as output_key from cleaned where length(output) >= 50),
-firsts2 as (select * from kept qualify row_number() over (partition by output_key order by cat_rank, cat_pos) = 1)
+kept as (select *, {D.output_key('output')} as output_key from cleaned where length(output) >= 50)
+"""
+
+
+@query("qa_branch", "O-82", D_Q + _selection_ctes(MAX_QUESTIONS) + _pairs_cte() + qa_branch_ctes() + f"""
+, firsts2 as (select * from kept qualify row_number() over (partition by output_key order by cat_rank, cat_pos) = 1)
 select question_id, {D.title_instruction('title')} as instruction, substr(question, 1, 500) as input, output, output_key,
   {D.language_from_tags('tags')} as language
 from firsts2""")
