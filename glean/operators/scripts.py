@@ -142,8 +142,10 @@ def report_events_of(code) -> Column:
 
 def extract_components(files: DataFrame, code: str = "code", path: str = "path") -> DataFrame:
     """Per file: kind, names, blank flag, functions, object and DataTable refs."""
+    derived = {"kind", "is_script_mts", "action_name", "library_name", "non_blank", "functions",
+               "object_refs", "datatable_refs"}
     return files.select(
-        "*",
+        *[c for c in files.columns if c not in derived],
         script_kind(F.col(path)).alias("kind"),
         (file_name(F.col(path)) == "Script.mts").alias("is_script_mts"),
         parent_name(F.col(path)).alias("action_name"),

@@ -24,3 +24,22 @@ def scan_project_files(spark: SparkSession, root: str) -> DataFrame:
         F.xxhash64(F.col("path")).alias("file_id"), path.alias("path"), script_kind(path).alias("kind"),
         F.when(script_kind(path).isin("action", "library"), decode_text(F.col("content"))).alias("code"),
         F.col("content"), F.col("length"))
+
+
+def marker_files(spark: SparkSession, root: str, suffix: str = ".tsp") -> DataFrame:
+    """Project marker paths under ``root``.
+
+    Markers may be empty files, which the binary source skips (it yields no row
+    for a zero-length file), so they come from a recursive listing: the same
+    metadata listing Spark's file index performs, one path per project.
+    """
+    jvm = spark.sparkContext._jvm
+    hroot = jvm.org.apache.hadoop.fs.Path(root)
+    fs = hroot.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    it = fs.listFiles(hroot, True)
+    paths = []
+    while it.hasNext():
+        p = it.next().getPath().toUri().getPath()
+        if p.endswith(suffix):
+            paths.append((p,))
+    return spark.createDataFrame(paths, "path string")

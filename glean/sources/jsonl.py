@@ -52,17 +52,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType, glob: str | None = None,
                src_rank: int = 0) -> DataFrame:
-    """All matching ``*.jsonl`` files under ``path`` (rows incl. corrupt ones)."""
+    """All matching ``*.jsonl`` files under ``path`` (rows incl. corrupt ones).
+
+    Lines are read as text and parsed with ``from_json`` in PERMISSIVE mode:
+    the same parser as the JSON source, but the corrupt-record column is an
+    ordinary column (the JSON source refuses queries that reference only it,
+    such as a count of the clean rows). Blank lines are skipped.
+    """
     full = with_corrupt(schema)
-    order = [F.lit(src_rank).alias("src_rank")]
     if not path_exists(spark, path):
         empty = spark.createDataFrame([], full)
-        return empty.select("*", *order, F.lit("").alias("src_path"), F.lit(0).cast("long").alias("src_pos"))
-    reader = (spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-              .option("encoding", "UTF-8").option("pathGlobFilter", glob or "*.jsonl"))
-    df = reader.json(path)
-    return df.select("*", *order, F.col("_metadata.file_path").alias("src_path"),
-                     F.monotonically_increasing_id().alias("src_pos"))
+        return empty.select("*", F.lit(src_rank).alias("src_rank"), F.lit("").alias("src_path"),
+                            F.lit(0).cast("long").alias("src_pos"))
+    lines = spark.read.option("pathGlobFilter", glob or "*.jsonl").text(path)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("src_path"),
+                         F.monotonically_increasing_id().alias("src_pos"))
+    lines = lines.filter(F.length(py_strip(F.col("value"))) > 0)
+    parsed = lines.select("*", F.from_json("value", full, {"mode": "PERMISSIVE",
+                                                          "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+    bad = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull() | ~F.startswith(F.ltrim("value"), F.lit("{"))
+    fields = [F.col(f"r.{f.name}").alias(f.name) for f in schema.fields]
+    return parsed.select(*fields, F.when(bad, F.col("value")).alias(CORRUPT), F.lit(src_rank).alias("src_rank"),
+                         "src_path", "src_pos")
 
 
 def typed(df: DataFrame) -> DataFrame:
@@ -97,8 +108,7 @@ def read_instruction_samples(spark: SparkSession, raw_dir: str) -> DataFrame:
 def read_corpus(spark: SparkSession, train: str, val: str | None = None) -> DataFrame:
     """Corpus rows for training; the validation file is optional."""
     def one(p, split):
-        return clean(spark.read.schema(with_corrupt(EXAMPLE_SCHEMA)).option("mode", "PERMISSIVE")
-                     .option("columnNameOfCorruptRecord", CORRUPT).json(p)).withColumn("split", F.lit(split))
+        return clean(read_jsonl(spark, p, EXAMPLE_SCHEMA, glob="*.json*")).withColumn("split", F.lit(split))
     df = one(train, "train")
     if val is not None and path_exists(spark, val):
         df = df.unionByName(one(val, "val"))
