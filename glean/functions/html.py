@@ -71,6 +71,22 @@ def unescape(c) -> Column:
     return F.coalesce(slow, fast_unescape(c))
 
 
+@pandas_udf(StringType())
+def _unescape_twice_series(s: pd.Series) -> pd.Series:
+    import html
+
+    return s.map(lambda x: None if x is None else html.unescape(html.unescape(x)))
+
+
+def unescape_twice(c) -> Column:
+    """``html.unescape(html.unescape(s))`` with one Python pass at most: rows
+    whose text (or once-decoded text) holds a rare reference go to Python."""
+    c = col_of(c)
+    once = fast_unescape(c)
+    needs = c.rlike(SLOW_REFERENCE) | once.rlike(SLOW_REFERENCE)
+    return F.coalesce(_unescape_twice_series(F.when(needs, c)), fast_unescape(once))
+
+
 def unescape_all(arr) -> Column:
     """``[html.unescape(x) for x in arr]`` with the same fast/slow split."""
     arr = col_of(arr)
@@ -120,5 +136,5 @@ def html_to_text(html) -> Column:
     text = F.concat(head, F.array_join(rest, ""))
     text = F.regexp_replace(text, SEP + "+", SEP)
     text = F.replace(F.trim(text, F.lit(SEP)), F.lit(SEP), F.lit("\n"))
-    text = unescape(unescape(text))
+    text = unescape_twice(text)
     return py_strip(collapse_newlines(text))

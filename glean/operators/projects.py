@@ -9,7 +9,7 @@ nested-loop ``startswith`` join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glean.functions import rules as R
@@ -68,51 +68,88 @@ def standalone_projects(files: DataFrame, markers: DataFrame, valid: DataFrame)
     return script_mts_roots(files).join(marked, "project", "left_anti")
 
 
-def generate_samples(components: DataFrame) -> DataFrame:
-    """Training samples from project components (one row per project and file).
+def _sample(category, source, fn_pos, instruction, input_, output, group, group_name, item_key, item):
+    return F.struct(F.lit(category).alias("category"), F.lit(source).alias("source"),
+                    fn_pos.cast("int").alias("fn_pos"), instruction.alias("instruction"), input_.alias("input"),
+                    output.alias("output"), F.lit(group).alias("meta_group"), group_name.alias("meta_group_name"),
+                    F.lit(item_key).alias("meta_item_key"), item.alias("meta_item"))
+
+
+def file_samples(components: DataFrame) -> Column:
+    """Every training sample a file yields, as one array (computed in a single
+    projection next to the extraction, so the regex work runs once per file).
 
     full_action: the action code when longer than 100 characters; function:
     each action function longer than 50; library_function: each library
     function longer than 50. Object references listed are the first five.
+    ``meta_group_name`` of action samples is filled with the project name later.
     """
-    c = components.withColumn("project_name", F.element_at(F.split("project", "/", -1), -1))
-    actions = c.filter((F.col("kind") == "action") & F.col("non_blank"))
-    libraries = c.filter((F.col("kind") == "library") & F.col("non_blank"))
-    full = actions.filter(F.length("code") > R.ACTION_MIN_CHARS).select(
-        "project", "project_name", "file_id", F.lit(-1).alias("fn_pos"), F.lit("full_action").alias("category"),
-        F.lit("uft_project").alias("source"),
-        F.lit("Write a UFT VBScript action that performs automation tasks").alias("instruction"),
-        F.concat(F.lit("Action name: "), F.col("action_name"), F.lit(". Objects used: "),
-                 F.array_join(F.slice("object_refs", 1, R.OBJECTS_IN_INPUT), ", ")).alias("input"),
-        F.col("code").alias("output"), F.lit("project").alias("meta_group"),
-        F.col("project_name").alias("meta_group_name"), F.lit("action").alias("meta_item_key"),
-        F.col("action_name").alias("meta_item"))
-
-    def per_function(df, category, source, prefix, input_col, group, group_name):
-        keep = ["project", "project_name", "file_id"] + ([group_name] if group_name != "project_name" else [])
-        f = df.select(*keep, F.posexplode("functions").alias("fn_pos", "fn"))
-        f = f.filter(F.length("fn.full_code") > R.FUNCTION_MIN_CHARS)
-        return f.select("project", "project_name", "file_id", "fn_pos", F.lit(category).alias("category"),
-                        F.lit(source).alias("source"),
-                        F.concat(F.lit(prefix), R.purpose_of(F.col("fn.name"))).alias("instruction"),
-                        input_col.alias("input"), F.col("fn.full_code").alias("output"),
-                        F.lit(group).alias("meta_group"), F.col(group_name).alias("meta_group_name"),
-                        F.lit("function").alias("meta_item_key"), F.col("fn.name").alias("meta_item"))
-
-    funcs = per_function(actions, "function", "uft_project", "Write a VBScript function to ",
-                         F.concat(F.lit("Function name: "), F.col("fn.name"), F.lit(", Parameters: "), F.col("fn.parameters")),
-                         "project", "project_name")
-    libfuncs = per_function(libraries, "library_function", "uft_library", "Write a reusable VBScript function to ",
-                            F.concat(F.lit("Function: "), F.col("fn.name"), F.lit("("), F.col("fn.parameters"), F.lit(")")),
-                            "library", "library_name")
-    return full.unionByName(funcs).unionByName(libfuncs).select(*SAMPLE_COLUMNS)
+    action = (F.col("kind") == "action") & F.col("non_blank")
+    library = (F.col("kind") == "library") & F.col("non_blank")
+    long_fns = F.filter(F.transform("functions", lambda f, i: F.struct(f.alias("f"), i.alias("i"))),
+                        lambda x: F.length(x["f"]["full_code"]) > R.FUNCTION_MIN_CHARS)
+    full = _sample("full_action", "uft_project", F.lit(-1),
+                   F.lit("Write a UFT VBScript action that performs automation tasks"),
+                   F.concat(F.lit("Action name: "), F.col("action_name"), F.lit(". Objects used: "),
+                            F.array_join(F.slice("object_refs", 1, R.OBJECTS_IN_INPUT), ", ")),
+                   F.col("code"), "project", F.lit(None).cast("string"), "action", F.col("action_name"))
+    fn_samples = F.transform(long_fns, lambda x: _sample(
+        "function", "uft_project", x["i"], F.concat(F.lit("Write a VBScript function to "), R.purpose_of(x["f"]["name"])),
+        F.concat(F.lit("Function name: "), x["f"]["name"], F.lit(", Parameters: "), x["f"]["parameters"]),
+        x["f"]["full_code"], "project", F.lit(None).cast("string"), "function", x["f"]["name"]))
+    lib_samples = F.transform(long_fns, lambda x: _sample(
+        "library_function", "uft_library", x["i"],
+        F.concat(F.lit("Write a reusable VBScript function to "), R.purpose_of(x["f"]["name"])),
+        F.concat(F.lit("Function: "), x["f"]["name"], F.lit("("), x["f"]["parameters"], F.lit(")")),
+        x["f"]["full_code"], "library", F.col("library_name"), "function", x["f"]["name"]))
+    empty = F.array().cast(full_type())
+    return (F.when(action, F.concat(F.when(F.length("code") > R.ACTION_MIN_CHARS, F.array(full)).otherwise(empty),
+                                    fn_samples))
+             .when(library, lib_samples).otherwise(empty))
+
+
+def full_type() -> str:
+    return ("array<struct<category:string,source:string,fn_pos:int,instruction:string,input:string,output:string,"
+            "meta_group:string,meta_group_name:string,meta_item_key:string,meta_item:string>>")
+
+
+def per_file(files: DataFrame) -> DataFrame:
+    """File-level facts for project statistics plus the file's samples."""
+    from glean.operators.scripts import extract_components
+
+    comp = extract_components(files)
+    return comp.select("file_id", "kind", "non_blank", F.size("functions").alias("n_functions"),
+                       file_samples(comp).alias("samples"))
+
+
+def project_file_stats(pm: DataFrame) -> DataFrame:
+    action = (F.col("kind") == "action") & F.col("non_blank")
+    library = (F.col("kind") == "library") & F.col("non_blank")
+    return (pm.groupBy("project").agg(
+        F.count_if(action).alias("n_actions"),
+        F.count_if(library).alias("n_libraries"),
+        F.sum(F.when(action | library, F.col("n_functions")).otherwise(0)).alias("n_functions"),
+        F.count_if(F.col("kind") == "data_table").alias("n_data_tables"))
+        .withColumn("valid", (F.col("n_actions") + F.col("n_libraries")) > 0))
+
+
+def generate_samples(pm: DataFrame) -> DataFrame:
+    """(project, file) rows with a ``samples`` array -> one row per sample."""
+    out = pm.select("project", "file_id", F.explode("samples").alias("s")).select("project", "file_id", "s.*")
+    name = F.element_at(F.split("project", "/", -1), -1)
+    return (out.withColumn("project_name", name)
+               .withColumn("meta_group_name", F.coalesce(F.col("meta_group_name"), F.col("project_name")))
+               .select(*SAMPLE_COLUMNS))
 
 
 def extract_projects(files: DataFrame, markers: DataFrame) -> DataFrame:
-    """Files + markers -> training samples of every valid project."""
-    from glean.operators.scripts import extract_components
+    """Files + markers -> training samples of every valid project.
 
+    The per-file projection (extraction + samples) is joined to the project
+    membership once; statistics and samples both read that join, so Spark
+    reuses its shuffle instead of re-running the extraction.
+    """
     roots = marker_roots(markers).unionByName(script_mts_roots(files)).distinct()
-    comp = assign_projects(files, roots).join(extract_components(files), "file_id")
-    valid = project_stats(comp).filter("valid").select("project")
-    return generate_samples(comp.join(valid, "project", "left_semi"))
+    pm = assign_projects(files, roots).join(per_file(files), "file_id")
+    valid = project_file_stats(pm).filter("valid").select("project")
+    return generate_samples(pm.join(valid, "project", "left_semi"))

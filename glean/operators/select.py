@@ -7,6 +7,7 @@ first-wins dedup, a per-group cap, or an equi-join.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +15,18 @@ from glean.functions import rules as R
 from glean.functions.text import col_of, contains_any
 
 
+# Largest row count we broadcast on the strength of a static bound (rule lists,
+# caps); beyond it the join is left to the planner (sort-merge, or AQE's
+# runtime broadcast when the side turns out small).
+BROADCAST_ROW_BOUND = 1_000_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only when its row count is bounded by ``max_rows``
+    (known from parameters, not data) and that bound is small enough."""
+    return F.broadcast(df) if max_rows <= BROADCAST_ROW_BOUND else df
+
+
 # --- files ---------------------------------------------------------------
 
 def lang_family(language) -> Column:
@@ -77,36 +90,63 @@ def cap_per_group(df: DataFrame, group: str, order: list, n: int, rank_col: str
     return out if rank_col else out.drop(rn)
 
 
+def _walk_queries(query_ids: list, cap: int):
+    def walk(pdf):
+        import pandas as pd
+
+        taken, out = set(), []
+        for q in query_ids:
+            rows = pdf[pdf["query_id"] == q].sort_values(["stars", "repo_name"], ascending=[False, True], kind="stable")
+            n = 0
+            for rec in rows.to_dict("records"):
+                if n >= cap:
+                    break
+                if rec["repo_name"] in taken:
+                    continue
+                taken.add(rec["repo_name"])
+                out.append(rec)
+                n += 1
+        return pd.DataFrame(out, columns=list(pdf.columns))
+    return walk
+
+
 def collect_repositories(hits: DataFrame, query_ids: list, max_repos: int, min_stars: int = 5,
                          language: str | None = None, already: DataFrame | None = None) -> DataFrame:
     """Walk the search queries in order. Per query: hits with enough stars (and
     the language), stars descending, skipping repositories collected by an
     earlier query (they do not count), at most ``max_repos // n + 1`` new ones.
 
-    The query list is a fixed rule list, so the loop builds a plan of
-    len(query_ids) small steps; data never comes back to the driver.
+    A query can only take repositories from the first ``cap * len(query_ids)``
+    of its list (earlier queries hold at most ``cap * (q - 1)``), so each list
+    is cut to that depth first (a per-group top-n, limited before the shuffle).
+    The walk then runs over that set, whose size is bounded by the parameters
+    (``len(query_ids)**2 * cap`` rows), in one ``applyInPandas`` group.
     """
+    from glean.operators.dedup import dedup_first
+
     cap = max_repos // len(query_ids) + 1
-    cand = filter_repos(hits, min_stars, language)
-    collected = already
-    out = None
-    for q in query_ids:
-        step = cand.filter(F.col("query_id") == q)
-        if collected is not None:
-            step = step.join(collected.select("repo_name"), "repo_name", "left_anti")
-        step = top_n(step, cap, [F.desc("stars"), F.asc("repo_name")])
-        collected = step if collected is None else collected.unionByName(step, allowMissingColumns=True)
-        out = step if out is None else out.unionByName(step)
-    return out
-
-
-def attach_repo(files: DataFrame, repos: DataFrame, on: str = "repo_name") -> DataFrame:
+    cand = filter_repos(hits, min_stars, language).filter(F.col("query_id").isin(query_ids))
+    # a result list names a repository once (its best-starred entry)
+    cand = dedup_first(cand.withColumn("_neg_stars", -F.col("stars")), ["query_id", "repo_name"],
+                       ["_neg_stars"]).drop("_neg_stars")
+    if already is not None:
+        cand = cand.join(already.select("repo_name"), "repo_name", "left_anti")
+    depth = cap * len(query_ids)
+    short = cap_per_group(cand, "query_id", [F.desc("stars"), F.asc("repo_name")], depth)
+    cols = short.columns
+    return (short.groupBy(F.lit(0).alias("_all")).applyInPandas(_walk_queries(list(query_ids), cap), short.schema)
+                 .select(*cols))
+
+
+def attach_repo(files: DataFrame, repos: DataFrame, on: str = "repo_name",
+                max_repos: int | None = None) -> DataFrame:
     """Copy repository fields (stars, description, query) onto each file row.
 
-    The collected repository set is bounded by the caps (at most
-    ``max_repos + n_queries`` rows per collection), so it is broadcast.
+    A collected repository set is bounded by the caps (``max_repos`` rows);
+    with that bound given and small, it is broadcast.
     """
-    return files.join(F.broadcast(repos), on=on, how="inner")
+    side = broadcast_if_bounded(repos, max_repos) if max_repos is not None else repos
+    return files.join(side, on=on, how="inner")
 
 
 # --- questions and answers ---------------------------------------------------
@@ -146,7 +186,8 @@ def category_rules(spark, category_tags=R.QA_CATEGORY_TAGS) -> DataFrame:
     return spark.createDataFrame(rows, "category string, cat_rank int, tag string, tag_rank int")
 
 
-POS_SCALE = 1_000_000_000  # cat_pos = tag_rank * POS_SCALE + rank within the tag listing
+POS_SCALE = 1_000_000_000
+RULE_ROW_BOUND = 10_000   # a tag search plan is a hand-written list  # cat_pos = tag_rank * POS_SCALE + rank within the tag listing
 
 
 def tag_listing(questions: DataFrame, rules: DataFrame, per_tag: int = 500) -> DataFrame:
@@ -154,7 +195,7 @@ def tag_listing(questions: DataFrame, rules: DataFrame, per_tag: int = 500) -> D
     ``per_tag`` per tag (5 pages of 100). One row per (category, tag, question)."""
     pairs = (questions.select("question_id", "score", "answer_count",
                               F.explode(F.array_distinct(F.col("tags"))).alias("tag"))
-             .join(F.broadcast(rules), "tag"))
+             .join(broadcast_if_bounded(rules, RULE_ROW_BOUND), "tag"))
     listed = cap_per_group(pairs, ["category", "tag"], [F.desc("score"), F.asc("question_id")], per_tag,
                            rank_col="rank")
     return listed.withColumn("cat_pos", F.col("tag_rank").cast("long") * POS_SCALE + F.col("rank"))
@@ -188,6 +229,12 @@ def select_qa(questions: DataFrame, answers: DataFrame, category_tags=R.QA_CATEG
                         "question_id", "left")
     ok = (F.col("answer_pos").isNotNull() & (F.col("answer_score") >= min_answer_score)
           & (F.coalesce(F.length("answer_body"), F.lit(0)) > 0))
+    # The walk reads the candidates 3 times per category (cap, stop value,
+    # seen set); keep them (one narrow row per category and question, bodies
+    # excluded) instead of re-running listing, dedup and answer choice.
+    bodies = cand.select("question_id", "answer_body")
+    cand = cand.withColumn("ok", ok).drop("answer_body").persist(StorageLevel.MEMORY_AND_DISK)
+    ok = F.col("ok")
     seen, out = None, None
     for category in category_tags:
         c = cand.filter(F.col("category") == category)
@@ -198,6 +245,7 @@ def select_qa(questions: DataFrame, answers: DataFrame, category_tags=R.QA_CATEG
         seen_c = c.filter(stop.isNull() | (F.col("cat_pos") <= stop)).select("question_id")
         seen = seen_c if seen is None else seen.unionByName(seen_c)
         out = accepted if out is None else out.unionByName(accepted)
+    out = out.join(bodies.dropDuplicates(["question_id"]), "question_id")
     return out.select("category", "cat_rank", "cat_pos", "question_id", "answer_pos", "answer_score",
                       "is_accepted", "answer_body")
 
@@ -209,7 +257,7 @@ def qa_pairs(selected: DataFrame, questions: DataFrame, max_questions: int = 300
     category, a proven bound, so it is broadcast into the question scan."""
     from glean.functions.html import code_blocks, html_to_text, unescape
 
-    q = questions.join(F.broadcast(selected), "question_id")
+    q = questions.join(broadcast_if_bounded(selected, max_questions * n_categories), "question_id")
     title = unescape(F.coalesce(F.col("title"), F.lit("")))
     text = html_to_text(F.col("body"))
     return q.select(

@@ -259,7 +259,8 @@ select tag, count(*) as n from (select unnest(q.tags) as tag from q join selecte
 def q_tag_counts(spark, sf_dir):
     qv = questions_view(spark, sf_dir)
     sel = S.select_qa(qv, answers_view(spark, sf_dir), max_questions=MAX_QUESTIONS)
-    return tag_counts(qv.join(F.broadcast(sel.select("question_id")), "question_id"))
+    bound = MAX_QUESTIONS * len(R.QA_CATEGORY_TAGS)
+    return tag_counts(qv.join(S.broadcast_if_bounded(sel.select("question_id"), bound), "question_id"))
 
 
 @query("qa_top_tags", "O-54", D_Q + _selection_ctes(MAX_QUESTIONS) + """
@@ -268,7 +269,8 @@ group by tag order by n desc, tag limit 10""")
 def q_top_tags(spark, sf_dir):
     qv = questions_view(spark, sf_dir)
     sel = S.select_qa(qv, answers_view(spark, sf_dir), max_questions=MAX_QUESTIONS)
-    return top_tags(qv.join(F.broadcast(sel.select("question_id")), "question_id"))
+    bound = MAX_QUESTIONS * len(R.QA_CATEGORY_TAGS)
+    return top_tags(qv.join(S.broadcast_if_bounded(sel.select("question_id"), bound), "question_id"))
 
 
 @query("html_to_text", "O-71", f"select page_id, {D.html_to_text('html')} as text from pages")

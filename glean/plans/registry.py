@@ -29,4 +29,4 @@ def query(name: str, survey_id: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every query module (registration happens at import)."""
-    from glean.plans import q_code, q_corpus, q_qa, q_scripts  # noqa: F401
+    from glean.plans import q_code, q_corpus, q_qa, q_repos, q_scripts  # noqa: F401
