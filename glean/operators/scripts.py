@@ -181,21 +181,30 @@ def object_entries_binary(df: DataFrame, text: str = "raw_text", keep=("project"
 
 XML_START_TAG = "<([A-Za-z_][\\w.:-]*)((?:\\s+[\\w.:-]+\\s*=\\s*(?:\"[^\"]*\"|'[^']*'))*)\\s*/?>"
 XML_ATTR = "([\\w.:-]+)\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)')"
+XML_NAME = "\\sName\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)')"
+XML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]
+
+
+def xml_text(c) -> Column:
+    for k, v in XML_ENTITIES:
+        c = F.replace(c, F.lit(k), F.lit(v))
+    return c
 
 
 def object_entries_xml(df: DataFrame, text: str = "text", keep=("project", "file_order")) -> DataFrame:
     """XML repository: every element carrying a ``Name`` attribute becomes an
-    entry (name, tag, all attributes). Start tags are matched directly, so no
-    row tag has to be known in advance."""
+    entry (name, tag, all attributes as key/value pairs). Start tags are
+    matched directly, so no row tag has to be known in advance; attributes stay
+    a list (a malformed element with a repeated attribute must not fail a job)."""
     tags = df.select(*keep, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(XML_START_TAG), 0)).alias("pos", "tag_text"))
-    attrs = F.regexp_extract_all(F.col("tag_text"), F.lit(XML_ATTR), 0)
-    keys = F.transform(attrs, lambda a: F.regexp_extract(a, XML_ATTR, 1))
-    vals = F.transform(attrs, lambda a: F.concat(F.regexp_extract(a, XML_ATTR, 2), F.regexp_extract(a, XML_ATTR, 3)))
-    props = F.map_from_arrays(keys, vals)
+    attrs = F.transform(F.regexp_extract_all(F.col("tag_text"), F.lit(XML_ATTR), 0), lambda a: F.struct(
+        F.regexp_extract(a, XML_ATTR, 1).alias("key"),
+        xml_text(F.concat(F.regexp_extract(a, XML_ATTR, 2), F.regexp_extract(a, XML_ATTR, 3))).alias("value")))
+    name = F.when(F.col("tag_text").rlike(XML_NAME),
+                  xml_text(F.concat(F.regexp_extract("tag_text", XML_NAME, 1), F.regexp_extract("tag_text", XML_NAME, 2))))
     return (tags.select(*keep, "pos", F.regexp_extract("tag_text", XML_START_TAG, 1).alias("entry_type"),
-                        props.alias("properties"))
-                .filter(F.col("properties").getItem("Name").isNotNull())
-                .withColumn("entry_name", F.col("properties").getItem("Name"))
+                        attrs.alias("properties"), name.alias("entry_name"))
+                .filter(F.col("entry_name").isNotNull())
                 .withColumn("raw", F.lit(False)))
 
 

@@ -41,7 +41,8 @@ def code_branch(samples: DataFrame, dedup: bool = True) -> DataFrame:
     df = (with_computed(apply_code_defaults(samples), output=clean_code_col(F.col("code")))
           .filter(code_is_valid(F.col("output"), F.col("language")))
           .withColumn("output_key", output_key(F.col("output")))
-          .withColumn("src_rank", F.lit(RANK_CODE)))
+          .withColumn("src_rank", F.lit(RANK_CODE))
+          .select("output", "output_key", "language", "description", *ORDER))   # raw code stays behind
     if dedup:
         df = dedup_first(df, "output_key", ORDER)
     df = (df.withColumn("task", task_of(F.col("output"), F.col("description")))
@@ -67,7 +68,8 @@ def qa_branch(pairs: DataFrame, dedup: bool = True) -> DataFrame:
                .transform(lambda d: with_computed(d, output=clean_code_col(longest_first(F.col("code_blocks")))))
                .filter(F.length("output") >= R.MIN_CODE_CHARS)
                .withColumn("output_key", output_key(F.col("output")))
-               .withColumn("src_rank", F.lit(RANK_QA)))
+               .withColumn("src_rank", F.lit(RANK_QA))
+               .select("output", "output_key", "title", "question", "tags", *ORDER))
     if dedup:
         df = dedup_first(df, "output_key", ORDER)
     df = (df.withColumn("language", R.language_from_tag_array(F.coalesce(F.col("tags"), F.array().cast("array<string>"))))
@@ -89,7 +91,8 @@ def instruction_branch(samples: DataFrame, dedup: bool = True) -> DataFrame:
                  .transform(lambda d: with_computed(d, output=clean_code_col(F.col("output"))))
                  .filter(F.length("output") >= R.MIN_CODE_CHARS)
                  .withColumn("output_key", output_key(F.col("output")))
-                 .withColumn("src_rank", F.lit(RANK_INSTRUCTIONS)))
+                 .withColumn("src_rank", F.lit(RANK_INSTRUCTIONS))
+                 .select("instruction", "input", "output", "output_key", *ORDER))
     if dedup:
         df = dedup_first(df, "output_key", ORDER)
     df = (df.withColumn("language", F.lit("vbscript"))

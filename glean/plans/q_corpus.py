@@ -261,3 +261,21 @@ def q_roundtrip(spark, sf_dir):
 
 
 __all__ = ["build_corpus", "corpus_rows", "duck_view", "py_strip"]
+
+
+@query("inst_json_roundtrip", "O-03", duck_with("instruction_samples") + """
+, j as (select conv_id, turn, to_json({'instruction': instruction, 'input': input, 'output': output, 'source': 'uft_project',
+    'category': 'function', 'metadata': {'project': 'p' || cast(conv_id as varchar)}}) as line from instruction_samples)
+select conv_id, turn, json_extract_string(line, '$.instruction') as instruction, json_extract_string(line, '$.input') as input,
+  length(json_extract_string(line, '$.output')) as output_chars, json_extract_string(line, '$.metadata.project') as project
+from j""")
+def q_inst_json(spark, sf_dir):
+    """TrainingSample-shaped JSON lines (with a metadata map) parsed with the source schema."""
+    from glean.sources.jsonl import TRAINING_SAMPLE_SCHEMA
+    v = view(spark, sf_dir, "instruction_samples")
+    line = F.to_json(F.struct("instruction", "input", "output", F.lit("uft_project").alias("source"),
+                              F.lit("function").alias("category"),
+                              F.create_map(F.lit("project"), F.concat(F.lit("p"), F.col("conv_id").cast("string"))).alias("metadata")))
+    p = v.select("conv_id", "turn", F.from_json(line, TRAINING_SAMPLE_SCHEMA).alias("r"))
+    return p.select("conv_id", "turn", "r.instruction", "r.input", F.length("r.output").alias("output_chars"),
+                    F.col("r.metadata").getItem("project").alias("project"))

@@ -284,3 +284,21 @@ select question_id, answer_pos, {D.html_to_text('body')} as text from answers"""
 def q_html_answer_text(spark, sf_dir):
     a = answers_view(spark, sf_dir)
     return a.select("question_id", "answer_pos", html_to_text(F.col("body")).alias("text"))
+
+
+@query("qa_json_roundtrip", "O-02", D_Q + """
+, j as (select question_id, to_json({'source': 'stackoverflow', 'question_id': question_id, 'title': title, 'tags': tags,
+    'code_blocks': [body], 'score': score}) as line from q)
+select question_id, json_extract_string(line, '$.title') as title,
+  array_to_string(cast(json_extract(line, '$.tags') as varchar[]), ',') as tags,
+  len(cast(json_extract(line, '$.code_blocks') as varchar[])) as n_blocks, cast(json_extract_string(line, '$.score') as integer) as score
+from j""")
+def q_qa_json(spark, sf_dir):
+    """QAPair-shaped JSON lines (arrays included) parsed with the source schema."""
+    from glean.sources.jsonl import QA_PAIR_SCHEMA, typed
+    qv = questions_view(spark, sf_dir)
+    line = F.to_json(F.struct(F.lit("stackoverflow").alias("source"), "question_id", "title", "tags",
+                              F.array("body").alias("code_blocks"), "score"))
+    p = typed(qv.select(F.from_json(line, QA_PAIR_SCHEMA).alias("r")).select("r.*"))
+    return p.select("question_id", "title", F.array_join("tags", ",").alias("tags"),
+                    F.size("code_blocks").alias("n_blocks"), "score")
