@@ -72,3 +72,11 @@ def test_line_status(spark):
     df = spark.createDataFrame([("{\"k\": 1}",), ("{\"k\"",), ("",), ("  ",), ("42",)], "line string")
     got = [r[0] for r in df.select(J.line_status(F.col("line"))).collect()]
     assert got == ["ok", "malformed", "blank", "blank", "malformed"]
+
+
+def test_project_sink(spark, tmp):
+    from glean.sources.sinks import write_projects
+    df = spark.createDataFrame([("/w/p", "p", 1, "function")], "project string, project_name string, file_id long, category string")
+    assert write_projects(df, f"{tmp}/projects")
+    assert spark.read.parquet(f"{tmp}/projects").count() == 1
+    assert not write_projects(df.limit(0), f"{tmp}/none")
