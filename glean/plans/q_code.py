@@ -116,23 +116,23 @@ def _ext_duck(path: str, language: str) -> str:
     return "(case " + " ".join(parts) + " else false end)"
 
 
-@query("code_file_ext", "O-21", duck_with("code_samples") + f"""
-select doc_id, file_path, {_ext_duck('file_path', 'language')} as ext_ok from code_samples""")
+@query("code_file_ext", "O-21", duck_with("repo_files") + f"""
+select doc_id, file_path, {_ext_duck('file_path', 'language')} as ext_ok from repo_files""")
 def q_code_file_ext(spark, sf_dir):
-    df = code_view(spark, sf_dir)
+    df = view(spark, sf_dir, "repo_files")
     return df.select("doc_id", "file_path", S.extension_ok(F.col("file_path"), S.lang_family(F.col("language"))).alias("ext_ok"))
 
 
-@query("code_file_size", "O-22", duck_with("code_samples") + """
-select doc_id, strlen(code) as n_bytes, strlen(code) < 100000 as size_ok from code_samples""")
+@query("code_file_size", "O-22", duck_with("repo_files") + """
+select doc_id, strlen(code) as n_bytes, strlen(code) < 100000 as size_ok from repo_files""")
 def q_code_file_size(spark, sf_dir):
-    df = code_view(spark, sf_dir)
+    df = view(spark, sf_dir, "repo_files")
     return df.select("doc_id", F.octet_length("code").alias("n_bytes"), S.size_ok(F.col("code")).alias("size_ok"))
 
 
-@query("code_selenium_content", "O-23", duck_with("code_samples") + f"""
+@query("code_selenium_content", "O-23", duck_with("repo_files") + f"""
 select doc_id, {D.contains_any('lower(code)', R.SELENIUM_CONTENT_MARKERS)} as content_ok
-from code_samples where starts_with(language, 'selenium')""")
+from repo_files where starts_with(language, 'selenium')""")
 def q_code_selenium_content(spark, sf_dir):
-    df = code_view(spark, sf_dir).filter(F.startswith(F.col("language"), F.lit("selenium")))
+    df = view(spark, sf_dir, "repo_files").filter(F.startswith(F.col("language"), F.lit("selenium")))
     return df.select("doc_id", S.selenium_content_ok(F.col("code")).alias("content_ok"))

@@ -84,19 +84,19 @@ def q_attach(spark, sf_dir):
         "query_id", "repo_name", "stars", "doc_id")
 
 
-@query("code_selection", "O-85", duck_with("repo_hits", "code_samples") + d_collect("v", None, None)
+@query("code_selection", "O-85", duck_with("repo_hits", "repo_files") + d_collect("v", None, None)
        + d_collect("s", "Python", "(select repo_name from v_all)") + f"""
 select 'vbscript' as collection, r.query_id, r.repo_name, r.stars, c.doc_id, c.file_path
-from v_all r join code_samples c on c.repo_name = r.repo_name
+from v_all r join repo_files c on c.repo_name = r.repo_name
 where {_ext('c.file_path', 'vbscript')} and strlen(c.code) < {R.MAX_FILE_BYTES}
 union all
 select 'selenium_python', r.query_id, r.repo_name, r.stars, c.doc_id, c.file_path
-from s_all r join code_samples c on c.repo_name = r.repo_name
+from s_all r join repo_files c on c.repo_name = r.repo_name
 where {_ext('c.file_path', 'python')} and strlen(c.code) < {R.MAX_FILE_BYTES}
   and {D.contains_any('lower(c.code)', R.SELENIUM_CONTENT_MARKERS)}""")
 def q_code_selection(spark, sf_dir):
     h = hits(spark, sf_dir)
-    files = code_view(spark, sf_dir).select("repo_name", "doc_id", "file_path", "code")
+    files = view(spark, sf_dir, "repo_files").select("repo_name", "doc_id", "file_path", "code")
     bound = len(QUERY_IDS) * CAP
     vb = S.collect_repositories(h, QUERY_IDS, MAX_REPOS)
     sel = S.collect_repositories(h, QUERY_IDS, MAX_REPOS, language="Python", already=vb.select("repo_name"))

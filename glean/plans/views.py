@@ -97,6 +97,13 @@ select distinct '/w/proj' || cast(p_partkey % 40 as string) || '/sub/Inner.tsp'
 select '/w/proj' || cast(p_partkey % 40 as string) as project, p_partkey as file_order, p_name || ' Button' as entry_name, p_type as entry_type,
   p_name || ' Button' || chr(1) || 'ab' || chr(2) || p_type || chr(3) || 'EditBox' || cast(p_size as string) as raw_text
 from {part}
+""",
+    # Repository files: code samples where every sixth file imports Selenium,
+    # so the file-content predicate has files to keep as well as to drop.
+    "repo_files": """
+select doc_id, repo_name, file_path, language,
+  case when doc_id % 6 = 0 then 'from selenium import webdriver' || chr(10) else '' end || code as code
+from {code_samples}
 """,
     # JSON lines with malformed and blank ones.
     "raw_events": """
@@ -111,9 +118,10 @@ def _tables_in(sql: str) -> list[str]:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The named view as a Spark DataFrame over the parquet tables in ``sf_dir``."""
+    """The named view as a Spark DataFrame over the parquet tables in ``sf_dir``
+    (a view may read another view)."""
     sql = VIEWS[name]
-    args = {t: spread_table(spark, sf_dir, t) for t in _tables_in(sql)}
+    args = {t: view(spark, sf_dir, t) if t in VIEWS else spread_table(spark, sf_dir, t) for t in _tables_in(sql)}
     return spark.sql(sql, **args)
 
 
@@ -125,5 +133,17 @@ def duck_view(name: str) -> str:
 
 
 def duck_with(*names: str) -> str:
-    """``WITH`` clause defining the named views for a DuckDB oracle query."""
-    return "with " + ",\n".join(f"{n} as ({duck_view(n)})" for n in names) + "\n"
+    """``WITH`` clause defining the named views (and the views they read) for a
+    DuckDB oracle query."""
+    order: list[str] = []
+
+    def add(n):
+        for dep in _tables_in(VIEWS[n]):
+            if dep in VIEWS:
+                add(dep)
+        if n not in order:
+            order.append(n)
+
+    for n in names:
+        add(n)
+    return "with " + ",\n".join(f"{n} as ({duck_view(n)})" for n in order) + "\n"

@@ -73,3 +73,30 @@ def test_prompt_sections(spark):
     df = spark.createDataFrame([("i", "", "o"), ("i", "x", "o")], "instruction string, input string, output string")
     got = [r["text"] for r in C.format_prompt(df).collect()]
     assert got == ["### Instruction:\ni\n\n### Response:\no", "### Instruction:\ni\n\n### Input:\nx\n\n### Response:\no"]
+
+
+def test_min_length_drops_short_blocks(spark):
+    from glean.plans.branches import qa_branch
+    df = spark.createDataFrame(
+        [("Title?", "q", ["short block here, 24 ch", "x" * 60], ["python"], "p", 1),
+         ("Other", "q", ["tiny but over twenty chars"], ["vbscript"], "p", 2)],
+        "title string, question string, code_blocks array<string>, tags array<string>, src_path string, src_pos long")
+    out = qa_branch(df).collect()
+    assert [r["output"] for r in out] == ["x" * 60]
+    assert out[0]["instruction"] == "Title?" and out[0]["language"] == "selenium_python"
+
+
+def test_second_collection_skips_taken_repos(spark):
+    from glean.operators.select import collect_repositories, select_files
+    hits = spark.createDataFrame(
+        [(0, "a", 50, "Python"), (0, "b", 40, "Python"), (0, "a", 45, "Python"), (1, "c", 30, "Python"),
+         (1, "a", 60, "Python"), (1, "d", 3, "Python"), (1, "e", 20, "Java")],
+        "query_id int, repo_name string, stars int, language string")
+    first = collect_repositories(hits, [0, 1], max_repos=2)                 # cap 2 per query
+    assert sorted((r["query_id"], r["repo_name"]) for r in first.collect()) == [(0, "a"), (0, "b"), (1, "c"), (1, "e")]
+    second = collect_repositories(hits, [0, 1], max_repos=2, language="Python", already=first)
+    assert second.count() == 0                                               # everything left was taken or has < 5 stars
+    files = spark.createDataFrame([("x/t.py", "import selenium"), ("x/u.py", "print(1)"), ("x/v.js", "webdriver")],
+                                  "file_path string, code string")
+    kept = select_files(files, "python", must_contain_selenium=True).collect()
+    assert [r["file_path"] for r in kept] == ["x/t.py"]

@@ -62,6 +62,8 @@ def test_decode_ladder_and_project_scan(spark, tmp):
     write(f"{tmp}/proj/empty.mts", b"")
     write(f"{tmp}/proj/data.xlsx", b"PK")
     write(f"{tmp}/loose/Action9/Script.mts", body.encode("utf-8"))             # standalone project
+    write(f"{tmp}/emptyproj/Test.tsp", b"marker")                              # no scripts: dropped
+    write(f"{tmp}/emptyproj/sheet.xls", b"data")
     files = scan_project_files(spark, tmp)
     got = {os.path.relpath(r["path"], tmp): r["code"] for r in files.collect()}
     norm = body.replace("\r\n", "\n")
@@ -72,9 +74,12 @@ def test_decode_ladder_and_project_scan(spark, tmp):
     assert "proj/empty.mts" not in got          # zero-length files yield no row (blank: nothing to extract)
     assert got["proj/data.xlsx"] is None
     markers = marker_files(spark, tmp)
-    assert markers.count() == 1
+    assert markers.count() == 2
     samples = extract_projects(files.filter(F.col("kind") != "project_marker"), markers)
     rows = samples.collect()
     assert {r["project_name"] for r in rows} == {"proj", "loose"}
+    from glean.operators.projects import projects
+    kept = {r["project"].rsplit("/", 1)[-1] for r in projects(files, markers).collect()}
+    assert kept == {"proj", "loose"}                                           # emptyproj has no action or library
     cats = sorted(r["category"] for r in rows if r["project_name"] == "proj")
     assert cats == ["full_action", "function", "library_function", "library_function", "library_function"]
