@@ -232,7 +232,7 @@ def select_qa(questions: DataFrame, answers: DataFrame, category_tags=R.QA_CATEG
     # The walk reads the candidates 3 times per category (cap, stop value,
     # seen set); keep them (one narrow row per category and question, bodies
     # excluded) instead of re-running listing, dedup and answer choice.
-    bodies = cand.select("question_id", "answer_body")
+    bodies = cand.select("category", "question_id", "answer_body")
     cand = cand.withColumn("ok", ok).drop("answer_body").persist(StorageLevel.MEMORY_AND_DISK)
     ok = F.col("ok")
     seen, out = None, None
@@ -245,7 +245,8 @@ def select_qa(questions: DataFrame, answers: DataFrame, category_tags=R.QA_CATEG
         seen_c = c.filter(stop.isNull() | (F.col("cat_pos") <= stop)).select("question_id")
         seen = seen_c if seen is None else seen.unionByName(seen_c)
         out = accepted if out is None else out.unionByName(accepted)
-    out = out.join(bodies.dropDuplicates(["question_id"]), "question_id")
+    bound = max_questions * len(category_tags)
+    out = bodies.join(broadcast_if_bounded(out, bound), ["category", "question_id"])
     return out.select("category", "cat_rank", "cat_pos", "question_id", "answer_pos", "answer_score",
                       "is_accepted", "answer_body")
 

@@ -34,7 +34,7 @@ def d_bucket(key: str, seed: str) -> str:
 D_INST = f""", inst0 as (select conv_id, turn, coalesce(instruction, '') as instruction, coalesce(input, '') as input,
     coalesce(output, '') as output from instruction_samples),
 inst1 as (select *, {D.clean_code('output')} as c from inst0 where length(instruction) > 0 and length(output) > 0),
-inst_rows as (select 2 as src_rank, conv_id * 1000 + turn as src_pos, 'your_scripts' as source, 'vbscript' as language,
+inst_rows as (select 2::bigint as src_rank, conv_id * 1000 + turn as src_pos, 'your_scripts' as source, 'vbscript' as language,
     instruction, input, c as output, {D.output_key('c')} as output_key from inst1 where length(c) >= 50)
 """
 
@@ -42,12 +42,12 @@ _VALID = f"{D.length_ok('c')} and {D.keywords_ok('c', 'language')}"
 
 D_CODE_ROWS = f""", cvalid as (select doc_id, language, description, c, {D.output_key('c')} as k
   from (select doc_id, language, description, {CLEAN} as c from code_samples) where {_VALID}),
-code_rows as (select 0 as src_rank, doc_id as src_pos, 'github' as source, language,
+code_rows as (select 0::bigint as src_rank, doc_id as src_pos, 'github' as source, language,
   {D.instruction_of(D.task_of('c', 'description'), 'language', 'k')} as instruction, '' as input, c as output, k as output_key
   from cvalid)
 """
 
-D_QA_ROWS = f""", qa_rows as (select 1 as src_rank, cat_rank::bigint * {10 ** 12} + cat_pos as src_pos, 'stackoverflow' as source,
+D_QA_ROWS = f""", qa_rows as (select 1::bigint as src_rank, cat_rank::bigint * {10 ** 12} + cat_pos as src_pos, 'stackoverflow' as source,
   {D.language_from_tags('tags')} as language, {D.title_instruction('title')} as instruction, substr(question, 1, 500) as input,
   output, output_key from kept)
 """
@@ -57,8 +57,8 @@ D_CORPUS = (duck_with("code_samples", "questions", "answers", "instruction_sampl
             + _selection_ctes(MAX_QUESTIONS) + _pairs_cte() + qa_branch_ctes() + D_CODE_ROWS + D_QA_ROWS + D_INST + f"""
 , allrows as (select * from code_rows union all select * from qa_rows union all select * from inst_rows),
 deduped as (select * from allrows qualify row_number() over (partition by output_key order by src_rank, src_pos) = 1),
-augmented as (select *, 0 as aug_pos from deduped
-  union all select src_rank, src_pos, source, language, replace(instruction, 'Write', 'Create'), input, output, output_key, 1
+augmented as (select *, 0::bigint as aug_pos from deduped
+  union all select src_rank, src_pos, source, language, replace(instruction, 'Write', 'Create'), input, output, output_key, 1::bigint
   from deduped where replace(instruction, 'Write', 'Create') <> instruction),
 corpus as (select *, case when {d_bucket('output_key', 'split')} < {VAL_THRESHOLD} then 'val' else 'train' end as split from augmented)
 """)
@@ -96,8 +96,8 @@ def q_inst_branch(spark, sf_dir):
 
 @query("inst_augment", "O-74", duck_with("instruction_samples") + D_INST + """
 , d as (select * from inst_rows qualify row_number() over (partition by output_key order by src_pos) = 1)
-select src_pos, 0 as aug_pos, instruction from d
-union all select src_pos, 1, replace(instruction, 'Write', 'Create') from d where replace(instruction, 'Write', 'Create') <> instruction""")
+select src_pos, 0::bigint as aug_pos, instruction from d
+union all select src_pos, 1::bigint, replace(instruction, 'Write', 'Create') from d where replace(instruction, 'Write', 'Create') <> instruction""")
 def q_inst_augment(spark, sf_dir):
     return C.augment(instruction_branch(inst_view(spark, sf_dir))).select("src_pos", "aug_pos", "instruction")
 
@@ -249,7 +249,7 @@ def q_defaults(spark, sf_dir):
     'code': code, 'stars': stars}) as line from code_samples)
 select doc_id, json_extract_string(line, '$.source') as source, json_extract_string(line, '$.repo_name') as repo_name,
   json_extract_string(line, '$.file_path') as file_path, json_extract_string(line, '$.language') as language,
-  json_extract_string(line, '$.code') = code as code_equal, cast(json_extract(line, '$.stars') as integer) as stars
+  json_extract_string(line, '$.code') = code as code_equal, cast(json_extract(line, '$.stars') as bigint) as stars
 from j join code_samples using (doc_id)""")
 def q_roundtrip(spark, sf_dir):
     from glean.sources.jsonl import CODE_SAMPLE_SCHEMA

@@ -291,7 +291,7 @@ def q_html_answer_text(spark, sf_dir):
     'code_blocks': [body], 'score': score}) as line from q)
 select question_id, json_extract_string(line, '$.title') as title,
   array_to_string(cast(json_extract(line, '$.tags') as varchar[]), ',') as tags,
-  len(cast(json_extract(line, '$.code_blocks') as varchar[])) as n_blocks, cast(json_extract_string(line, '$.score') as integer) as score
+  len(cast(json_extract(line, '$.code_blocks') as varchar[])) as n_blocks, cast(json_extract_string(line, '$.score') as bigint) as score
 from j""")
 def q_qa_json(spark, sf_dir):
     """QAPair-shaped JSON lines (arrays included) parsed with the source schema."""

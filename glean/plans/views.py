@@ -41,7 +41,7 @@ left join {labels} l on l.doc_id = d.doc_id
 """.replace("__PHRASES__", _PHRASES),
     # Repository search hits: one repository found by several queries.
     "repo_hits": """
-select s_nationkey % 5 as query_id, 'src' || cast(s_suppkey % 20 as string) as repo_name,
+select cast(s_nationkey % 5 as bigint) as query_id, 'src' || cast(s_suppkey % 20 as string) as repo_name,
   s_suppkey % 37 as stars,
   case s_suppkey % 3 when 0 then 'Python' when 1 then 'Java' else 'JavaScript' end as language
 from {supplier}

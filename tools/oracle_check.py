@@ -81,6 +81,12 @@ def main():
             print(f"COLS-DIFF  {name}: spark={cols} duck={sorted(dcols)}")
             bad += 1
             continue
+        tmap = {"string": "VARCHAR", "bigint": "BIGINT", "boolean": "BOOLEAN"}
+        stypes = {f.name: tmap.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+        dtypes = {c: str(t) for c, t in zip(dcols, rel.types)}
+        tdiff = {c: (stypes[c], dtypes[c]) for c in cols if stypes[c] != dtypes[c]}
+        if tdiff:
+            print(f"TYPE-DIFF  {name}: {tdiff}")
         drows = [tuple(norm(r[idx[c]]) for c in cols) for r in data]
         hs, ks = digest(srows)
         hd, kd = digest(drows)
