@@ -52,11 +52,18 @@ def length_budget(df: DataFrame, text: str = "text", budgets=BUDGETS) -> DataFra
     return out
 
 
-def padding_account(df: DataFrame, length: str, key: str, n_shards: int = 64, batch_size: int = 4,
+def default_shards(df: DataFrame) -> int:
+    """One shard per shuffle partition: the cluster's own sizing of a task."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def padding_account(df: DataFrame, length: str, key: str, n_shards: int | None = None, batch_size: int = 4,
                     multiple: int = 8) -> DataFrame:
     """Pad-to-longest batches, rounded up to ``multiple``: per batch the padded
     and real token counts. Batches are formed within hash shards of ``key``
-    (``n_shards`` sized to the data), so no window holds more than a shard."""
+    (``n_shards`` sized to the data; by default one per shuffle partition), so
+    no window holds more than a shard."""
+    n_shards = n_shards or default_shards(df)
     w = Window.partitionBy("shard").orderBy(key)
     b = (df.withColumn("shard", F.pmod(F.col(key), F.lit(n_shards)))
            .withColumn("batch", F.floor((F.row_number().over(w) - 1) / batch_size)))
@@ -86,13 +93,15 @@ def _next_fit(budget: int):
     return pack
 
 
-def pack_sequences(df: DataFrame, length: str, key: str, budget: int = 4096, n_shards: int = 64) -> DataFrame:
+def pack_sequences(df: DataFrame, length: str, key: str, budget: int = 4096, n_shards: int | None = None) -> DataFrame:
     """Next-fit packing into sequences of at most ``budget`` tokens (a longer
     sequence is truncated to the budget and fills a pack alone).
 
     Packing is sequential within a shard, so each hash shard of ``key`` is
-    packed by ``applyInPandas``; ``n_shards`` bounds the rows a task holds.
+    packed by ``applyInPandas``; ``n_shards`` bounds the rows a task holds
+    (by default one shard per shuffle partition).
     """
+    n_shards = n_shards or default_shards(df)
     s = df.select(F.pmod(F.col(key), F.lit(n_shards)).cast("long").alias("shard"),
                   F.col(key).cast("long").alias("key"), F.col(length).cast("long").alias("length"))
     return s.groupBy("shard").applyInPandas(_next_fit(budget), PACK_SCHEMA)

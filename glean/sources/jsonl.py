@@ -44,9 +44,13 @@ def with_corrupt(schema: StructType) -> StructType:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists (a glob pattern: when it matches something)."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if any(ch in path for ch in "*?[{"):
+        found = fs.globStatus(hpath)
+        return found is not None and len(found) > 0
     return fs.exists(hpath)
 
 
@@ -60,11 +64,17 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType, glob: str | N
     such as a count of the clean rows). Blank lines are skipped.
     """
     full = with_corrupt(schema)
-    if not path_exists(spark, path):
+    pattern = f"{path.rstrip('/')}/{glob or '*.jsonl'}"      # top-level files only, like a folder glob
+    if not path_exists(spark, path) or not path_exists(spark, pattern):
         empty = spark.createDataFrame([], full)
         return empty.select("*", F.lit(src_rank).alias("src_rank"), F.lit("").alias("src_path"),
                             F.lit(0).cast("long").alias("src_pos"))
-    lines = spark.read.option("pathGlobFilter", glob or "*.jsonl").text(path)
+    return parse_lines(spark.read.text(pattern), schema, src_rank)
+
+
+def parse_lines(lines: DataFrame, schema: StructType, src_rank: int = 0) -> DataFrame:
+    """Text lines (``value``) -> typed rows plus ``_corrupt_record``, positions."""
+    full = with_corrupt(schema)
     lines = lines.select("value", F.col("_metadata.file_path").alias("src_path"),
                          F.monotonically_increasing_id().alias("src_pos"))
     lines = lines.filter(F.length(py_strip(F.col("value"))) > 0)
@@ -106,9 +116,11 @@ def read_instruction_samples(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 
 def read_corpus(spark: SparkSession, train: str, val: str | None = None) -> DataFrame:
-    """Corpus rows for training; the validation file is optional."""
+    """Corpus rows for training (a file or a written folder, snapshot
+    partitions included); the validation path is optional."""
     def one(p, split):
-        return clean(read_jsonl(spark, p, EXAMPLE_SCHEMA, glob="*.json*")).withColumn("split", F.lit(split))
+        rows = parse_lines(spark.read.text(p), EXAMPLE_SCHEMA)
+        return clean(rows).select(*EXAMPLE_SCHEMA.fieldNames()).withColumn("split", F.lit(split))
     df = one(train, "train")
     if val is not None and path_exists(spark, val):
         df = df.unionByName(one(val, "val"))
