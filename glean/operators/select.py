@@ -151,8 +151,12 @@ def attach_repo(files: DataFrame, repos: DataFrame, on: str = "repo_name",
 
 # --- questions and answers ---------------------------------------------------
 
+def question_ok(min_score: int = 0, min_answers: int = 1) -> Column:
+    return (F.col("score") >= min_score) & (F.coalesce(F.col("answer_count"), F.lit(0)) >= min_answers)
+
+
 def filter_questions(questions: DataFrame, min_score: int = 0, min_answers: int = 1) -> DataFrame:
-    return questions.filter((F.col("score") >= min_score) & (F.col("answer_count") >= min_answers))
+    return questions.filter(question_ok(min_score, min_answers))
 
 
 def best_answer_order() -> Column:

@@ -108,9 +108,7 @@ def q_question_dedup(spark, sf_dir):
 @query("qa_filter_questions", "O-25", D_Q + "select question_id, score >= 0 and answer_count >= 1 as passes from q")
 def q_filter_questions(spark, sf_dir):
     qv = questions_view(spark, sf_dir)
-    kept = S.filter_questions(qv).select("question_id", F.lit(True).alias("passes"))
-    return qv.select("question_id").join(kept, "question_id", "left").select(
-        "question_id", F.coalesce("passes", F.lit(False)).alias("passes"))
+    return qv.select("question_id", F.coalesce(S.question_ok(), F.lit(False)).alias("passes"))
 
 
 @query("qa_join_answers", "O-39", D_Q + """select q.question_id, a.answer_pos, q.score, a.score as answer_score
