@@ -34,14 +34,18 @@ def corpus_from_raw(spark: SparkSession, raw_dir: str, val_ratio: float = C.R.VA
 
 
 def build_corpus_job(spark: SparkSession, raw_dir: str, out_dir: str, val_ratio: float = C.R.VAL_RATIO) -> dict:
-    """Write training_data/, train/, val/; returns row counts per output."""
+    """Write the corpus once, partitioned by split: ``training_data/`` holds every
+    row, ``training_data/split=train`` and ``.../split=val`` are the two sides.
+    One pass (the plan is not recomputed per output); returns paths and counts."""
     corpus = corpus_from_raw(spark, raw_dir, val_ratio)
-    out = out_dir.rstrip("/")
-    counts = {}
-    for name, df in [("training_data", corpus), ("train", corpus.filter(F.col("split") == "train")),
-                     ("val", corpus.filter(F.col("split") == "val"))]:
-        written = write_jsonl(df, f"{out}/{name}", columns=EXAMPLE_COLUMNS)
-        counts[name] = spark.read.json(f"{out}/{name}").count() if written else 0
+    out = f"{out_dir.rstrip('/')}/training_data"
+    written = write_jsonl(corpus, out, columns=EXAMPLE_COLUMNS + ["split"], partition_by=["split"])
+    counts = {"training_data": 0, "train": 0, "val": 0}
+    if written:
+        for r in spark.read.json(out).groupBy("split").count().collect():
+            counts[r["split"]] = r["count"]
+        counts["training_data"] = counts["train"] + counts["val"]
+    counts["paths"] = {"training_data": out, "train": f"{out}/split=train", "val": f"{out}/split=val"}
     return counts
 
 

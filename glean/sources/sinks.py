@@ -14,21 +14,24 @@ def run_id(run_ts: str) -> str:
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", run_ts: str | None = None,
-                columns=None) -> bool:
+                columns=None, partition_by=None) -> bool:
     """Write rows as JSON Lines; nulls are written as ``null`` rather than dropped.
 
-    With ``run_ts`` the rows go to ``run_id=<stamp>/`` (one snapshot per run).
-    An empty result writes nothing and returns False.
+    With ``run_ts`` the rows go to ``run_id=<stamp>/`` (one snapshot per run);
+    ``partition_by`` adds further partition folders. An empty result writes
+    nothing and returns False.
     """
     out = df.select(*(columns or df.columns))
     if out.isEmpty():
         return False
-    writer = out
+    parts = list(partition_by or [])
     if run_ts is not None:
-        writer = out.withColumn("run_id", F.lit(run_id(run_ts)))
-        writer.write.mode(mode).option("ignoreNullFields", "false").partitionBy("run_id").json(path)
-    else:
-        writer.write.mode(mode).option("ignoreNullFields", "false").json(path)
+        out = out.withColumn("run_id", F.lit(run_id(run_ts)))
+        parts = ["run_id"] + parts
+    writer = out.write.mode(mode).option("ignoreNullFields", "false")
+    if parts:
+        writer = writer.partitionBy(*parts)
+    writer.json(path)
     return True
 
 

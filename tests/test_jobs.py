@@ -41,12 +41,12 @@ def test_scan_then_build(spark, tmp):
     counts = build_corpus_job(spark, f"{tmp}/raw", f"{tmp}/out")
     # github: 1 kept (copy and short one dropped); Q&A: 1; project samples: 2 -> 4 rows, plus augmentation
     assert counts["training_data"] == counts["train"] + counts["val"]
-    rows = spark.read.json(f"{tmp}/out/training_data").collect()
+    rows = spark.read.json(counts["paths"]["training_data"]).collect()
     outputs = {r["output"] for r in rows}
     assert len(outputs) == 4
     assert any(r["instruction"].startswith("Create") for r in rows) or not any(
         "Write" in r["instruction"] for r in rows)
-    corpus = read_corpus(spark, f"{tmp}/out/train", f"{tmp}/out/val")
+    corpus = read_corpus(spark, counts["paths"]["train"], counts["paths"]["val"])
     assert corpus.count() == counts["training_data"]
 
 
