@@ -56,12 +56,12 @@ select conv_id as question_id,
   case when conv_id % 6 = 0 then null else 'https://q.example.com/' || cast(conv_id as string) end as link
 from {conversations} where role = 'user' and turn <= 1
 """,
-    # Raw answers: nested and tiny code blocks, a comment, a double-encoded entity, empty bodies.
+    # Raw answers: nested and tiny code blocks (whole texts), a comment, a double-encoded entity, empty bodies.
     "answers": """
 select conv_id as question_id, turn as answer_pos, (length(text) % 6) - 1 as score,
   (length(text) + turn) % 5 = 0 as is_accepted,
   case when length(text) % 11 = 0 then ''
-       else '<p>' || substr(text, 1, 30) || ' &amp;amp; more</p><!-- c --><pre><code>' || substr(text, 1, 200) || '</code></pre><code>x</code><code>' || substr(text, 5, 60) || '</code>' end as body
+       else '<p>' || substr(text, 1, 30) || ' &amp;amp; more</p><!-- c --><pre><code>' || text || '</code></pre><code>x</code><code>' || substr(text, 5) || '</code>' end as body
 from {conversations} where role = 'assistant'
 """,
     # Ready-made instruction rows with empty instructions and the word "Write".
