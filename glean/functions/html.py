@@ -138,3 +138,14 @@ def html_to_text(html) -> Column:
     text = F.replace(F.trim(text, F.lit(SEP)), F.lit(SEP), F.lit("\n"))
     text = unescape_twice(text)
     return py_strip(collapse_newlines(text))
+
+
+# --- DataFrame-level forms ---------------------------------------------------------
+
+
+def html_code_blocks(df, html: str = "body", min_len: int = 21, out: str = "code_blocks"):
+    return df.withColumn(out, code_blocks(F.col(html), min_len))
+
+
+def html_text(df, html: str = "body", out: str = "text"):
+    return df.withColumn(out, html_to_text(F.col(html)))

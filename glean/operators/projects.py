@@ -153,3 +153,14 @@ def extract_projects(files: DataFrame, markers: DataFrame) -> DataFrame:
     pm = assign_projects(files, roots).join(per_file(files), "file_id")
     valid = project_file_stats(pm).filter("valid").select("project")
     return generate_samples(pm.join(valid, "project", "left_semi"))
+
+
+def assemble_projects(components: DataFrame) -> DataFrame:
+    """Per project: actions, libraries, functions, data tables (aggregates;
+    a project is never gathered into one row or task)."""
+    return project_stats(components)
+
+
+def drop_empty_projects(stats: DataFrame) -> DataFrame:
+    """Keep projects with at least one action or library."""
+    return stats.filter(F.col("valid"))

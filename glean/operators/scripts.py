@@ -16,6 +16,10 @@ from glean.functions import rules as R
 from glean.functions.text import col_of, py_strip
 
 FUNCTION_RE = "(?isU)" + R.FUNCTION_PATTERN
+# strict=True: the keyword must start a word and the closing End must be a word
+# ("Foo(1)" after an unconsumed "End Sub" is then not a function named Foo).
+FUNCTION_STRICT_RE = "(?isU)(?<![\\w])(?<!End\\s)(?<!End\\s\\s)" + R.FUNCTION_PATTERN.replace(
+    "End\\s+(?:Function|Sub)", "(?<![\\w])End\\s+(?:Function|Sub)(?![\\w])")
 OBJECT_RE = "(?iU)" + R.OBJECT_PATTERN
 DATATABLE_RE = "(?iU)" + R.DATATABLE_PATTERN
 CHECKPOINT_RE = "(?iU)" + R.CHECKPOINT_PATTERN
@@ -99,13 +103,14 @@ def decoded_encoding(content) -> Column:
 # --- extraction ----------------------------------------------------------------
 
 
-def functions_of(code) -> Column:
+def functions_of(code, strict: bool = False) -> Column:
     """array<struct<name, parameters, body, full_code>> of Function/Sub blocks."""
-    matches = F.regexp_extract_all(F.coalesce(col_of(code), F.lit("")), F.lit(FUNCTION_RE), 0)
+    pat = FUNCTION_STRICT_RE if strict else FUNCTION_RE
+    matches = F.regexp_extract_all(F.coalesce(col_of(code), F.lit("")), F.lit(pat), 0)
     return F.transform(matches, lambda m: F.struct(
-        F.regexp_extract(m, FUNCTION_RE, 1).alias("name"),
-        py_strip(F.regexp_extract(m, FUNCTION_RE, 2)).alias("parameters"),
-        py_strip(F.regexp_extract(m, FUNCTION_RE, 3)).alias("body"),
+        F.regexp_extract(m, pat, 1).alias("name"),
+        py_strip(F.regexp_extract(m, pat, 2)).alias("parameters"),
+        py_strip(F.regexp_extract(m, pat, 3)).alias("body"),
         m.alias("full_code")))
 
 
@@ -156,6 +161,40 @@ def extract_components(files: DataFrame, code: str = "code", path: str = "path")
         datatable_refs_of(F.col(code)).alias("datatable_refs"))
 
 
+# --- DataFrame-level forms ---------------------------------------------------------
+
+
+def name_from_path(df: DataFrame, path: str = "path", kind: str = "action", out: str = "name") -> DataFrame:
+    """Action name = parent folder; library name = file stem; project name = folder name."""
+    c = F.col(path)
+    expr = {"action": parent_name(c), "library": file_stem(c), "project": file_name(c)}[kind]
+    return df.withColumn(out, expr)
+
+
+def extract_functions(df: DataFrame, col: str = "code", strict: bool = False) -> DataFrame:
+    """One row per Function/Sub block (fn_pos, name, parameters, body, full_code)."""
+    keep = [c for c in df.columns if c != col]
+    out = df.select(*keep, F.posexplode(functions_of(F.col(col), strict)).alias("fn_pos", "fn"))
+    return out.select(*keep, "fn_pos", "fn.*")
+
+
+def extract_object_refs(df: DataFrame, col: str = "code", out: str = "object_refs") -> DataFrame:
+    return df.withColumn(out, object_refs_of(F.col(col)))
+
+
+def extract_refs(df: DataFrame, col: str = "code", pattern: str = DATATABLE_RE, out: str = "refs") -> DataFrame:
+    """Distinct first-group values of ``pattern`` (DataTable columns by default; pass
+    ``CHECKPOINT_RE`` for checkpoints)."""
+    return df.withColumn(out, group_refs_of(F.col(col), pattern))
+
+
+def extract_events(df: DataFrame, col: str = "code") -> DataFrame:
+    """One row per Reporter.ReportEvent call (ev_pos, status, step, detail)."""
+    keep = [c for c in df.columns if c != col]
+    out = df.select(*keep, F.posexplode(report_events_of(F.col(col))).alias("ev_pos", "ev"))
+    return out.select(*keep, "ev_pos", "ev.*")
+
+
 # --- object repositories -----------------------------------------------------------
 
 PRINTABLE_RUN = "[\\x{20}-\\x{7e}]{4,}"

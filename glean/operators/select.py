@@ -275,3 +275,40 @@ def qa_pairs(selected: DataFrame, questions: DataFrame, max_questions: int = 300
                                            F.col("question_id").cast("string"))).alias("url"),
         F.lit("qa_selection").alias("src_path"),
         (F.col("cat_rank").cast("long") * (POS_SCALE * 1000) + F.col("cat_pos")).alias("src_pos"))
+
+
+def join_answers(questions: DataFrame, answers: DataFrame, key: str = "question_id") -> DataFrame:
+    """Questions with each of their answers (inner equi-join; the planner picks
+    sort-merge or, for a small side, broadcast)."""
+    a = answers.select(*[F.col(c).alias(f"answer_{c}") if c not in (key,) and not c.startswith("answer_") else F.col(c)
+                         for c in answers.columns])
+    return questions.join(a, key)
+
+
+def union_rules(*rule_tables: DataFrame) -> DataFrame:
+    """Rule lists walked as one (e.g. two groups of search queries)."""
+    out = rule_tables[0]
+    for t in rule_tables[1:]:
+        out = out.unionByName(t)
+    return out
+
+
+def select_code(hits: DataFrame, files: DataFrame, query_ids: list, max_repos: int = 30,
+                collections=(("vbscript", None, "vbscript", False),
+                             ("selenium_python", "Python", "python", True),
+                             ("selenium_java", "Java", "java", True),
+                             ("selenium_javascript", "JavaScript", "javascript", True))) -> DataFrame:
+    """Repository code selection, one collection after another (repositories
+    collected earlier are skipped): walk the queries, keep files by extension,
+    size and (Selenium collections) content, copy repository fields onto files.
+    ``files`` needs repo_name, file_path, code."""
+    bound = len(query_ids) * (max_repos // len(query_ids) + 1)
+    taken, out = None, None
+    for label, language, family, selenium in collections:
+        repos = collect_repositories(hits, query_ids, max_repos, language=language, already=taken)
+        kept = select_files(files, family, must_contain_selenium=selenium)
+        rows = attach_repo(kept, repos.select("query_id", "repo_name", "stars"), max_repos=bound) \
+            .withColumn("language", F.lit(label))
+        taken = repos.select("repo_name") if taken is None else taken.unionByName(repos.select("repo_name"))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out

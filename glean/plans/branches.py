@@ -58,6 +58,10 @@ def longest_first(blocks) -> F.Column:
     return F.array_max(indexed)["v"]
 
 
+def longest_block(df: DataFrame, blocks: str = "code_blocks", out: str = "longest") -> DataFrame:
+    return df.withColumn(out, longest_first(F.col(blocks)))
+
+
 def qa_branch(pairs: DataFrame, dedup: bool = True) -> DataFrame:
     """Q&A pairs -> corpus rows: longest code block, clean, min length, title instruction.
 

@@ -97,12 +97,6 @@ where {_ext('c.file_path', 'python')} and strlen(c.code) < {R.MAX_FILE_BYTES}
 def q_code_selection(spark, sf_dir):
     h = hits(spark, sf_dir)
     files = view(spark, sf_dir, "repo_files").select("repo_name", "doc_id", "file_path", "code")
-    bound = len(QUERY_IDS) * CAP
-    vb = S.collect_repositories(h, QUERY_IDS, MAX_REPOS)
-    sel = S.collect_repositories(h, QUERY_IDS, MAX_REPOS, language="Python", already=vb.select("repo_name"))
-    out = []
-    for name, repos, family, content in [("vbscript", vb, "vbscript", False), ("selenium_python", sel, "python", True)]:
-        f = S.select_files(files, family, must_contain_selenium=content)
-        a = S.attach_repo(f, repos.select("query_id", "repo_name", "stars"), max_repos=bound)
-        out.append(a.select(F.lit(name).alias("collection"), "query_id", "repo_name", "stars", "doc_id", "file_path"))
-    return out[0].unionByName(out[1])
+    out = S.select_code(h, files, QUERY_IDS, MAX_REPOS,
+                        collections=(("vbscript", None, "vbscript", False), ("selenium_python", "Python", "python", True)))
+    return out.select(F.col("language").alias("collection"), "query_id", "repo_name", "stars", "doc_id", "file_path")

@@ -83,3 +83,20 @@ def test_decode_ladder_and_project_scan(spark, tmp):
     assert kept == {"proj", "loose"}                                           # emptyproj has no action or library
     cats = sorted(r["category"] for r in rows if r["project_name"] == "proj")
     assert cats == ["full_action", "function", "library_function", "library_function", "library_function"]
+
+
+def test_strict_function_pattern(spark):
+    code = "Sub B\n  x = 1\nEnd Sub\nFoo(1)\nEnd Sub\nFunction Real(a)\n y\nEnd Function"
+    loose = [f["name"] for f in one(spark, SC.functions_of(F.col("x")), code)]
+    strict = [f["name"] for f in one(spark, SC.functions_of(F.col("x"), strict=True), code)]
+    assert loose == ["Foo", "Real"] and strict == ["Real"]
+
+
+def test_dataframe_forms(spark):
+    df = spark.createDataFrame([(1, "/p/Action1/Script.mts", 'Function F(a)\n Browser("b").Sync\nEnd Function\n'
+                                 'Reporter.ReportEvent micPass, "s", "d"')], "id int, path string, code string")
+    assert [r["name"] for r in SC.extract_functions(df).collect()] == ["F"]
+    assert SC.extract_object_refs(df).first()["object_refs"] == ['Browser("b")']
+    assert [tuple(r[c] for c in ("status", "step", "detail")) for r in SC.extract_events(df).collect()] == [("micPass", "s", "d")]
+    assert SC.name_from_path(df, kind="action").first()["name"] == "Action1"
+    assert SC.name_from_path(df, kind="library").first()["name"] == "Script"
