@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glean.operators.scripts import decode_text, script_kind
+from glean.operators.scripts import (decode_text, merge_objects, object_entries_binary, object_entries_xml,
+                                     script_kind)
 
 # File names a project scan looks at (glob semantics, case-sensitive).
 PROJECT_FILE_PATTERN = r"(\.mts|\.qfl|\.vbs|\.tsr|\.tsp|\.xls[^/]*)$"
@@ -43,3 +44,27 @@ def marker_files(spark: SparkSession, root: str, suffix: str = ".tsp") -> DataFr
         if p.endswith(suffix):
             paths.append((p,))
     return spark.createDataFrame(paths, "path string")
+
+
+def scan_object_repositories(spark: SparkSession, root: str, projects: DataFrame) -> DataFrame:
+    """Object repositories (``*.tsr``) of each project, merged (last file wins).
+
+    A file whose decoded text starts (after a BOM and whitespace) with ``<`` is
+    read as XML (elements with a ``Name`` attribute); any other file as binary
+    (printable runs naming an object). ``projects`` holds project folders; a
+    file belongs to every project folder above it.
+    """
+    from glean.operators.projects import assign_projects
+
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+             .filter(F.col("path").endswith(".tsr")))
+    files = files.select(F.regexp_replace("path", "^file:", "").alias("path"), "content")
+    files = files.select("path", F.xxhash64("path").alias("file_id"), decode_text(F.col("content")).alias("text"),
+                         F.decode(F.col("content"), "ISO-8859-1").alias("raw_text"))
+    is_xml = F.regexp_replace(F.col("text"), "^[\\x{feff}\\s]+", "").startswith("<")
+    owned = assign_projects(files.select("file_id", "path"), projects).join(files, "file_id")
+    keep = ("project", "path")
+    xml = object_entries_xml(owned.filter(is_xml), "text", keep).select(*keep, "pos", "entry_name", "entry_type", "raw")
+    binary = object_entries_binary(owned.filter(~is_xml), "raw_text", keep).select(
+        *keep, "pos", "entry_name", "entry_type", "raw")
+    return merge_objects(xml.unionByName(binary), order=("path", "pos"))

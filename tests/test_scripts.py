@@ -100,3 +100,18 @@ def test_dataframe_forms(spark):
     assert [tuple(r[c] for c in ("status", "step", "detail")) for r in SC.extract_events(df).collect()] == [("micPass", "s", "d")]
     assert SC.name_from_path(df, kind="action").first()["name"] == "Action1"
     assert SC.name_from_path(df, kind="library").first()["name"] == "Script"
+
+
+def test_object_repository_files(spark, tmp):
+    from glean.sources.files import scan_object_repositories
+    write(f"{tmp}/p/Test.tsp", b"m")
+    write(f"{tmp}/p/a.tsr", b'<?xml version="1.0"?><Repo><Browser Name="Shop" micclass="Browser">'
+                            b'<Page Name="Cart"/><WebButton Name="Buy &amp; go"/></Browser></Repo>')
+    write(f"{tmp}/p/b.tsr", b"\x00\x01WebButton Buy &amp; go\x00\x02xx\x03PageCart\x00LoginPage\x00zzzz")
+    projects = spark.createDataFrame([(f"{tmp}/p",)], "project string")
+    got = {r["entry_name"]: (r["entry_type"], r["raw"]) for r in scan_object_repositories(spark, tmp, projects).collect()}
+    assert got["Shop"] == ("Browser", False)
+    assert got["Buy & go"] == ("WebButton", False)
+    assert got["LoginPage"] == ("extracted", True)          # binary run mentioning "page"
+    assert got["WebButton Buy &amp; go"] == ("extracted", True)
+    assert "zzzz" not in got
