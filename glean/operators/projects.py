@@ -145,14 +145,22 @@ def generate_samples(pm: DataFrame) -> DataFrame:
 def extract_projects(files: DataFrame, markers: DataFrame) -> DataFrame:
     """Files + markers -> training samples of every valid project.
 
-    The per-file projection (extraction + samples) is joined to the project
-    membership once; statistics and samples both read that join, so Spark
-    reuses its shuffle instead of re-running the extraction.
+    Validity needs only each file's kind and blank flag (no regex), so it is
+    computed from a light projection; the extraction (functions, references,
+    samples) runs once per file and is joined to the valid memberships.
     """
+    from glean.functions.text import py_strip
+    from glean.operators.scripts import script_kind
+
     roots = marker_roots(markers).unionByName(script_mts_roots(files)).distinct()
-    pm = assign_projects(files, roots).join(per_file(files), "file_id")
-    valid = project_file_stats(pm).filter("valid").select("project")
-    return generate_samples(pm.join(valid, "project", "left_semi"))
+    member = assign_projects(files, roots)
+    light = files.select("file_id", script_kind(F.col("path")).alias("kind"),
+                         (F.length(py_strip(F.coalesce(F.col("code"), F.lit("")))) > 0).alias("non_blank"))
+    scripts = (F.col("kind").isin("action", "library")) & F.col("non_blank")
+    valid = (member.join(light, "file_id").groupBy("project").agg(F.count_if(scripts).alias("n_scripts"))
+                   .filter(F.col("n_scripts") > 0).select("project"))
+    kept = member.join(valid, "project", "left_semi")
+    return generate_samples(kept.join(per_file(files).select("file_id", "samples"), "file_id"))
 
 
 def assemble_projects(components: DataFrame) -> DataFrame:
