@@ -91,6 +91,13 @@ def decode_text(content) -> Column:
     return F.regexp_replace(text, "\\r\\n?", "\n")
 
 
+def decode_utf8_ignore(content) -> Column:
+    """``bytes.decode('utf-8', errors='ignore')``: invalid sequences are dropped
+    (``make_valid_utf8`` marks them with U+FFFD, which is then removed; a
+    genuine U+FFFD in the input is dropped too)."""
+    return F.regexp_replace(F.make_valid_utf8(col_of(content).cast("string")), "\\x{fffd}", "")
+
+
 def decoded_encoding(content) -> Column:
     b = col_of(content)
     as_latin1 = F.decode(b, "ISO-8859-1")

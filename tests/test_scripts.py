@@ -115,3 +115,9 @@ def test_object_repository_files(spark, tmp):
     assert got["LoginPage"] == ("extracted", True)          # binary run mentioning "page"
     assert got["WebButton Buy &amp; go"] == ("extracted", True)
     assert "zzzz" not in got
+
+
+def test_decode_utf8_ignore(spark):
+    df = spark.createDataFrame([(bytearray(b"ok \xff\xfe caf\xc3\xa9 \xe2\x82"),)], "b binary")
+    got = df.select(SC.decode_utf8_ignore(F.col("b"))).first()[0]
+    assert got == b"ok \xff\xfe caf\xc3\xa9 \xe2\x82".decode("utf-8", errors="ignore")
