@@ -19,14 +19,16 @@ def main(argv=None) -> None:
     s.add_argument("--run-ts", default=None, help="ISO timestamp of this run (snapshot stamp)")
     args = ap.parse_args(argv)
 
-    from glean.plans.jobs import build_corpus_job, extract_projects_job
+    from glean.plans.jobs import build_corpus_job, extract_projects_job, samples_by_category
     from glean.session import get_session
 
     spark = get_session("glean")
     if args.cmd == "build":
         print(json.dumps(build_corpus_job(spark, args.raw_dir, args.output_dir, args.val_ratio)))
     else:
-        print(json.dumps({"written": extract_projects_job(spark, args.scan_dir, args.output, args.run_ts)}))
+        written = extract_projects_job(spark, args.scan_dir, args.output, args.run_ts)
+        summary = samples_by_category(spark, args.output) if written else {}
+        print(json.dumps({"written": written, "samples_by_category": summary}))
 
 
 if __name__ == "__main__":

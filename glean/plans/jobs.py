@@ -20,6 +20,7 @@ from glean.operators import projects as P
 from glean.plans.branches import code_branch, instruction_branch, qa_branch
 from glean.sources import jsonl as J
 from glean.sources.files import marker_files, scan_project_files
+from glean.operators.stats import count_by, volume_check
 from glean.sources.sinks import write_jsonl, write_projects
 
 EXAMPLE_COLUMNS = ["instruction", "input", "output"]
@@ -46,6 +47,10 @@ def build_corpus_job(spark: SparkSession, raw_dir: str, out_dir: str, val_ratio:
             counts[r["split"]] = r["count"]
         counts["training_data"] = counts["train"] + counts["val"]
     counts["paths"] = {"training_data": out, "train": f"{out}/split=train", "val": f"{out}/split=val"}
+    if written:
+        written_df = spark.read.json(out)
+        vol = volume_check(written_df, C.R.LOW_VOLUME).first()
+        counts["low_volume"] = bool(vol["low_volume"])
     return counts
 
 
@@ -59,3 +64,9 @@ def extract_projects_job(spark: SparkSession, scan_dir: str, out_dir: str, run_t
     wrote = write_jsonl(rows, f"{out}/uft_training_samples", run_ts=run_ts)
     write_projects(samples.drop("metadata"), f"{out}/projects")
     return wrote
+
+
+def samples_by_category(spark: SparkSession, out_dir: str) -> dict:
+    """Summary of a written project scan: samples per category (read back, not recomputed)."""
+    path = f"{out_dir.rstrip('/')}/uft_training_samples"
+    return {r["category"]: r["n"] for r in count_by(spark.read.json(path), "category").collect()}

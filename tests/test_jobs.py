@@ -25,6 +25,8 @@ def test_scan_then_build(spark, tmp):
     write(f"{tmp}/scan/projA/Test.tsp", "marker")
     write(f"{tmp}/scan/projA/Action1/Script.mts", PROJ + "' padding to pass one hundred characters in the action\n")
     assert extract_projects_job(spark, f"{tmp}/scan", f"{tmp}/raw/your_scripts", run_ts="2024-01-02T03:04:05")
+    from glean.plans.jobs import samples_by_category
+    assert samples_by_category(spark, f"{tmp}/raw/your_scripts") == {"full_action": 1, "function": 1}
     samples = spark.read.json(f"{tmp}/raw/your_scripts/uft_training_samples")
     assert {r["category"] for r in samples.collect()} == {"full_action", "function"}
     # the build reads *training*.jsonl files: put the samples there as the processor would
@@ -41,6 +43,7 @@ def test_scan_then_build(spark, tmp):
     counts = build_corpus_job(spark, f"{tmp}/raw", f"{tmp}/out")
     # github: 1 kept (copy and short one dropped); Q&A: 1; project samples: 2 -> 4 rows, plus augmentation
     assert counts["training_data"] == counts["train"] + counts["val"]
+    assert counts["low_volume"] is True          # fewer than 1000 examples
     rows = spark.read.json(counts["paths"]["training_data"]).collect()
     outputs = {r["output"] for r in rows}
     assert len(outputs) == 4
