@@ -41,11 +41,13 @@ def get_session(app: str = "glean", master: str | None = None,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder, setting a scratch one only if unset.
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Return the cluster's checkpoint folder, setting a scratch one only if unset
+    and only in local mode.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...);
-    we never replace it. Local runs (tests) get a fresh folder under /tmp.
+    we never replace it, and never invent a machine-local one there (None is
+    returned). Local runs (tests) get a fresh folder under /tmp.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -53,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        return None
     path = tempfile.mkdtemp(prefix="glean-ckpt-")
     sc.setCheckpointDir(path)
     return path
