@@ -25,3 +25,34 @@ def test_scan_prunes_columns(spark):
     df = QUERIES["script_kinds"](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "p_name" not in plan.split("ReadSchema")[1].split("\n")[0] if "ReadSchema" in plan else True
+
+
+def windows_fed_by_single_partition(plan: str):
+    """Window operators whose input exchange is SinglePartition (a global window)."""
+    lines = plan.split("\n")
+    bad = []
+    for i, line in enumerate(lines):
+        if "Window [" not in line or "WindowGroupLimit" in line:
+            continue
+        depth = len(line) - len(line.lstrip(" :+-"))
+        for below in lines[i + 1:]:
+            d = len(below) - len(below.lstrip(" :+-"))
+            if d <= depth:
+                break
+            if "Exchange" in below:
+                if "SinglePartition" in below:
+                    bad.append(line.strip()[:120])
+                break
+    return bad
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_global_window(spark, name):
+    assert windows_fed_by_single_partition(plan_of(QUERIES[name](spark, SF001))) == []
+
+
+def test_detector_flags_a_global_window(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    df = spark.range(100).withColumn("rn", F.row_number().over(Window.orderBy("id")))
+    assert windows_fed_by_single_partition(plan_of(df)) != []
