@@ -1,12 +1,13 @@
 """Compare every registered query with its DuckDB twin (like the driver's gate).
 
-usage: python tools/oracle_check.py [sf_dir] [name ...]
+usage: [GLEAN_CONF='{"conf": "value"}'] python tools/oracle_check.py [sf_dir] [name ...]
 Prints one line per query: status, rows spark/duck, seconds.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import os
 import sys
@@ -49,7 +50,9 @@ def main():
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
     load_all()
-    spark = get_session("oracle-check")
+    extra = json.loads(os.environ.get("GLEAN_CONF", "{}"))   # e.g. '{"spark.sql.adaptive.enabled": "false"}'
+    spark = get_session("oracle-check", shuffle_partitions=int(extra.pop("spark.sql.shuffle.partitions", 0)) or None,
+                        extra=extra)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
