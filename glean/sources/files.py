@@ -49,10 +49,11 @@ def marker_files(spark: SparkSession, root: str, suffix: str = ".tsp") -> DataFr
 def scan_object_repositories(spark: SparkSession, root: str, projects: DataFrame) -> DataFrame:
     """Object repositories (``*.tsr``) of each project, merged (last file wins).
 
-    A file whose decoded text starts (after a BOM and whitespace) with ``<`` is
-    read as XML (elements with a ``Name`` attribute); any other file as binary
-    (printable runs naming an object). ``projects`` holds project folders; a
-    file belongs to every project folder above it.
+    A file whose decoded text parses as XML (``from_xml`` in PERMISSIVE mode
+    finds no corrupt record, and the text starts with ``<``) is read as XML:
+    elements with a ``Name`` attribute. Any other file, malformed XML included,
+    is read as binary: printable runs naming an object. ``projects`` holds
+    project folders; a file belongs to every project folder above it.
     """
     from glean.operators.projects import assign_projects
 
@@ -61,7 +62,10 @@ def scan_object_repositories(spark: SparkSession, root: str, projects: DataFrame
     files = files.select(F.regexp_replace("path", "^file:", "").alias("path"), "content")
     files = files.select("path", F.xxhash64("path").alias("file_id"), decode_text(F.col("content")).alias("text"),
                          F.decode(F.col("content"), "ISO-8859-1").alias("raw_text"))
-    is_xml = F.regexp_replace(F.col("text"), "^[\\x{feff}\\s]+", "").startswith("<")
+    body = F.regexp_replace(F.col("text"), "^[\\x{feff}\\s]+", "")
+    parsed = F.from_xml(body, "_probe string, _corrupt_record string",
+                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    is_xml = body.startswith("<") & parsed.isNotNull() & parsed["_corrupt_record"].isNull()
     owned = assign_projects(files.select("file_id", "path"), projects).join(files, "file_id")
     keep = ("project", "path")
     xml = object_entries_xml(owned.filter(is_xml), "text", keep).select(*keep, "pos", "entry_name", "entry_type", "raw")

@@ -108,6 +108,7 @@ def test_object_repository_files(spark, tmp):
     write(f"{tmp}/p/a.tsr", b'<?xml version="1.0"?><Repo><Browser Name="Shop" micclass="Browser">'
                             b'<Page Name="Cart"/><WebButton Name="Buy &amp; go"/></Browser></Repo>')
     write(f"{tmp}/p/b.tsr", b"\x00\x01WebButton Buy &amp; go\x00\x02xx\x03PageCart\x00LoginPage\x00zzzz")
+    write(f"{tmp}/p/c.tsr", b'<Repo><WinEdit Name="broken"></Repo>')         # malformed XML: read as binary
     projects = spark.createDataFrame([(f"{tmp}/p",)], "project string")
     got = {r["entry_name"]: (r["entry_type"], r["raw"]) for r in scan_object_repositories(spark, tmp, projects).collect()}
     assert got["Shop"] == ("Browser", False)
@@ -115,6 +116,8 @@ def test_object_repository_files(spark, tmp):
     assert got["LoginPage"] == ("extracted", True)          # binary run mentioning "page"
     assert got["WebButton Buy &amp; go"] == ("extracted", True)
     assert "zzzz" not in got
+    assert got['<Repo><WinEdit Name="broken"></Repo>'] == ("extracted", True)   # the whole printable run ("edit")
+    assert "broken" not in got
 
 
 def test_decode_utf8_ignore(spark):
