@@ -9,7 +9,7 @@ import json
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="glean")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    b = sub.add_parser("build", help="raw JSON Lines sources -> training_data/, train/, val/")
+    b = sub.add_parser("build", help="raw JSON Lines sources -> training_data/ (split=train, split=val partitions)")
     b.add_argument("--raw-dir", required=True)
     b.add_argument("--output-dir", required=True)
     b.add_argument("--val-ratio", type=float, default=0.05)

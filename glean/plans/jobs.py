@@ -3,8 +3,8 @@
 ``build_corpus_job`` reads the three raw JSON Lines sources under ``raw_dir``
 (``github/*.jsonl``, ``stackoverflow/*.jsonl``, ``your_scripts/*training*.jsonl``),
 runs the three branches, the cross-source first-wins dedup, augmentation and
-the group split, and writes ``training_data/`` (every row), ``train/`` and
-``val/`` as JSON Lines. ``extract_projects_job`` scans a folder tree for
+the group split, and writes ``training_data/`` as JSON Lines in one pass,
+partitioned by split (``split=train``, ``split=val``). ``extract_projects_job`` scans a folder tree for
 project files and writes the training samples (JSON Lines, with metadata) and
 the project-keyed component table. ``run_ts`` is passed in (never ``now()``),
 so reruns of a run write the same snapshot.
