@@ -32,7 +32,7 @@ def process_batch(sink: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = (batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-                .withColumn("src_pos", F.monotonically_increasing_id()))
+                .withColumn("src_pos", F.col("_metadata.file_block_start")))
         corpus = code_branch(rows)
         seen = corpus_keys_before(spark, sink, batch_id)
         if seen is not None:
@@ -55,3 +55,47 @@ def start_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str,
     writer = stream.writeStream.foreachBatch(process_batch(sink)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
+
+
+# --- state-store variant ----------------------------------------------------------------
+#
+# The sink-as-state ingest above anti-joins each micro-batch against every key
+# written so far, so its per-trigger work grows with the corpus. This variant
+# keeps the seen-set in Spark's state store instead (one boolean per key,
+# RocksDB-backed on a cluster): per trigger it touches only the keys of that
+# batch. A key seen in an earlier batch emits nothing. Within a batch the first
+# row per key by (file, block offset, content) wins: a streaming file source
+# exposes no line position, so rows of one file block tie-break by content
+# (the foreachBatch variant keeps exact line order). The checkpoint holds the state.
+
+def _first_unseen(key, pdfs, state):
+    import pandas as pd
+
+    if state.exists:
+        return
+    batch = pd.concat(list(pdfs), ignore_index=True)
+    first = batch.sort_values(["src_path", "src_pos", "output", "instruction"], kind="stable").head(1)
+    state.update((True,))
+    yield first
+
+
+def start_ingest_stateful(spark: SparkSession, landing: str, sink: str, checkpoint: str,
+                          available_now: bool = True, max_files_per_trigger: int | None = None):
+    """Incremental ingest with the seen-set in the state store; appends parquet to ``sink``."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    reader = (spark.readStream.schema(with_corrupt(CODE_SAMPLE_SCHEMA))
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .option("pathGlobFilter", "*.jsonl"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    rows = (reader.json(landing).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+            .withColumn("src_path", F.col("_metadata.file_path"))
+            .withColumn("src_pos", F.col("_metadata.file_block_start")))
+    corpus = code_branch(rows, dedup=False)
+    out = corpus.groupBy("output_key").applyInPandasWithState(
+        _first_unseen, outputStructType=corpus.schema, stateStructType="seen boolean",
+        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+    writer = out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start()

@@ -57,3 +57,23 @@ def test_replayed_batch_is_idempotent(spark, tmp):
     assert sorted(r[0] for r in spark.read.parquet(sink).select("output_key").collect()) == first
     run(batch0, 1)                      # the same rows arriving later add nothing
     assert sorted(r[0] for r in spark.read.parquet(sink).select("output_key").collect()) == first
+
+
+def test_state_store_variant_equals_batch(spark, tmp):
+    from glean.streaming.ingest import start_ingest_stateful
+    landing, sink, ckpt = f"{tmp}/landing", f"{tmp}/sink", f"{tmp}/ckpt"
+    os.makedirs(f"{landing}/github")
+    with open(f"{landing}/github/a_1.jsonl", "w") as f:
+        f.write("\n".join([sample(0), sample(1), sample(2), sample(9, dup_of=1)]) + "\n")
+    start_ingest_stateful(spark, f"{landing}/github", sink, ckpt).awaitTermination(180)
+    first = spark.read.parquet(sink)
+    assert first.count() == 3
+    assert first.filter(F.col("output").contains("variant 1")).count() == 1
+    with open(f"{landing}/github/a_2.jsonl", "w") as f:
+        f.write("\n".join([sample(10, dup_of=2), sample(11)]) + "\n")
+    start_ingest_stateful(spark, f"{landing}/github", sink, ckpt).awaitTermination(180)
+    out = spark.read.parquet(sink)
+    keys = [r[0] for r in out.select("output_key").collect()]
+    assert len(keys) == len(set(keys)) == 4
+    batch = code_branch(read_code_samples(spark, tmp + "/landing"))
+    assert set(keys) == {r[0] for r in batch.select("output_key").collect()}
