@@ -276,3 +276,17 @@ def q_inst_json(spark, sf_dir):
     p = v.select("conv_id", "turn", F.from_json(line, TRAINING_SAMPLE_SCHEMA).alias("r"))
     return p.select("conv_id", "turn", "r.instruction", "r.input", F.length("r.output").alias("output_chars"),
                     F.col("r.metadata").getItem("project").alias("project"))
+
+
+@query("prompt_length_budget", "O-61", duck_with("instruction_samples") + D_INST + f"""
+, d as (select * from inst_rows qualify row_number() over (partition by output_key order by src_pos) = 1),
+p as (select src_pos, case when length(input) > 0
+  then '### Instruction:' || chr(10) || instruction || chr(10) || chr(10) || '### Input:' || chr(10) || input || chr(10) || chr(10) || '### Response:' || chr(10) || output
+  else '### Instruction:' || chr(10) || instruction || chr(10) || chr(10) || '### Response:' || chr(10) || output end as text from d),
+t as (select src_pos, len(regexp_extract_all(text, {D.lit(TV.TOKEN)})) as n_tokens from p)
+select src_pos, n_tokens, n_tokens > 1024 as truncated_1024, n_tokens > 2048 as truncated_2048,
+  n_tokens > 4096 as truncated_4096 from t""")
+def q_prompt_length(spark, sf_dir):
+    """The trainers' view: instruction prompts measured against the 1024/2048/4096 budgets."""
+    prompts = C.format_prompt(instruction_branch(inst_view(spark, sf_dir)))
+    return TV.length_budget(prompts).select("src_pos", "n_tokens", "truncated_1024", "truncated_2048", "truncated_4096")
