@@ -50,9 +50,10 @@ def targets(sizes: DataFrame) -> DataFrame:
     weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.col("rank") % len(WEIGHTS) + 1).cast("int")).cast("long")
     s = save(ranked(sizes).withColumn("weight", weight), "weights")
     budget = F.sum("source_size") * BUDGET_NUM
-    total = s.agg(F.coalesce(budget, F.lit(0)).alias("t")).first()["t"]  # BUDGET_DEN times the words to share
+    first = s.agg(F.coalesce(budget, F.lit(0)).alias("t"), F.coalesce(F.sum("weight"), F.lit(1)).alias("w")).first()
+    total = first["t"]  # BUDGET_DEN times the words to share
     # Shares are (weight * num) / (den * free weight): exact integers until the one division.
-    num, den, capped, n_capped = total, 1, F.lit(False), -1
+    num, den, capped, n_capped = total, first["w"], F.lit(False), 0
     while True:
         over = F.col("weight").cast("decimal(38,0)") * F.lit(str(num)).cast("decimal(38,0)") > F.col("source_size").cast("decimal(38,0)") * F.lit(str(MOST * BUDGET_DEN * den)).cast("decimal(38,0)")
         row = s.agg(F.count_if(over).alias("n"), F.sum(F.when(over, F.col("source_size"))).alias("size"), F.sum(F.when(~over, F.col("weight"))).alias("free")).first()

@@ -142,6 +142,7 @@ def mask(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     weak = (scan(docs).filter("rid is not null and spans <> base")
             .select(F.col("doc_id").alias("_d"), F.col("rid").alias("_r"), F.col("spans").alias("_spans")).distinct())
     plain = docs.toDF(*[c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(columns)])
+    names = plain.columns
     joined = plain.join(weak, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.md5(F.col("text").cast("binary")) == F.col("_r")), "left")
 
     def run(batches):
@@ -159,9 +160,9 @@ def mask(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
                         text = "".join(out) + text[last:]
                     texts.append(text)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(texts, part.column(k).type) if k == "text" else part.column(k) for k in plain.columns], plain.columns)
+                    [pa.array(texts, part.column(k).type) if k == "text" else part.column(k) for k in names], names)
 
-    return joined.select(*plain.columns, "_spans").mapInArrow(run, plain.schema).toDF(*columns)
+    return joined.select(*names, "_spans").mapInArrow(run, plain.schema).toDF(*columns)
 
 
 @query("op3_secret_linking")
