@@ -153,8 +153,10 @@ def _training_windows(batches):
 
 def fit(docs: DataFrame) -> Network | None:
     """Learn from text and non-null lang outside the held-out fold."""
-    chosen = (docs.filter("lang is not null and text is not null").filter(~held_out())
-              .orderBy(F.xxhash64(F.col("doc_id"), F.lit(5)), F.md5(F.col("text").cast("binary"))).select("text", "lang").limit(TRAIN_DOCS))
+    usable = docs.filter("lang is not null and text is not null").filter(~held_out()).select(
+        "text", "lang", F.xxhash64(F.col("doc_id"), F.lit(5)).alias("k"), F.xxhash64("text").alias("h"))
+    keys = usable.select("k", "h").distinct().orderBy("k", "h").limit(TRAIN_DOCS)  # texts stay where they are
+    chosen = usable.join(F.broadcast(keys), ["k", "h"]).groupBy("k", "h", "lang").agg(F.min("text").alias("text")).select("text", "lang")
     rows = chosen.mapInArrow(_training_windows, "lang string, x binary").toPandas().sort_values(["lang", "x"], kind="stable")
     if not len(rows):
         return None

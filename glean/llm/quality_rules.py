@@ -88,9 +88,8 @@ def cutoffs(fig: DataFrame, labels: DataFrame) -> DataFrame:
     for name, (figure, grid) in RULES.items():
         counts.append(F.array(*[F.count_if(F.expr(figure) > c) for c in grid]).alias(f"k_{name}"))
     by = held.groupBy("stratum").agg(*counts)
-    n_strata = fig.agg(F.count_distinct("stratum").alias("m"))
-    limit = most_rejections(F.col("n_good"), RISK / len(RULES), F.lit(ERROR) / (F.col("m") * len(RULES)))
-    by = by.join(F.broadcast(n_strata)).withColumn("k_max", limit)  # one row
+    n_strata = fig.agg(F.count_distinct("stratum").alias("m")).first()["m"]
+    by = by.withColumn("k_max", most_rejections(F.col("n_good"), RISK / len(RULES), F.lit(ERROR / max(1, n_strata * len(RULES)))))
     pick = [F.get(F.array(*[F.lit(c) for c in grid]), F.size(F.filter(f"k_{name}", lambda k: k <= F.col("k_max"))) - 1).alias(f"cut_{name}")
             for name, (_, grid) in RULES.items()]
     return by.select("stratum", "n_good", *pick)
