@@ -30,8 +30,10 @@ from glean.llm.hnsw import M, Graph
 from glean.llm.registry import query
 
 COSINE = 0.93
-SHARD, CHUNK = 4096, 1024
+SHARD, CHUNK = 8192, 1024
 BEAM, RECALL, AUDITED = 64, 0.995, 128
+#: A beam over more than 1 / WIDE of a shard costs more than comparing with all of it, which is done instead.
+WIDE = 8
 #: Graph search works in single precision; what it finds below the bound by less than this is verified too.
 SLACK = 1e-4
 
@@ -68,7 +70,7 @@ def links_in_shard(g: Graph, own: np.ndarray, q: np.ndarray, q_double: np.ndarra
     def search(rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         found = []
         while len(rows):
-            if width >= n // 2:  # a beam over most of the shard: compare with all of it
+            if width >= n // WIDE:
                 s = q[rows] @ g.x.T
                 r, c = np.nonzero(s >= COSINE - SLACK)
                 found.append((rows[r], c))
@@ -78,7 +80,7 @@ def links_in_shard(g: Graph, own: np.ndarray, q: np.ndarray, q_double: np.ndarra
             full = hit.all(1)
             r, c = np.nonzero(hit & ~full[:, None])
             found.append((rows[r], ids[r, c]))
-            rows, width = rows[full], width * 2
+            rows, width = rows[full], width * 4
         r, c = (np.concatenate(p) for p in zip(*found)) if found else (np.zeros(0, int),) * 2
         ok = np.zeros(len(r), bool)
         for k in range(0, len(r), 1 << 16):
@@ -89,7 +91,7 @@ def links_in_shard(g: Graph, own: np.ndarray, q: np.ndarray, q_double: np.ndarra
     audit = np.arange(0, len(q), max(1, len(q) // AUDITED))
     true = int((q_unit[audit] @ unit.T >= COSINE).sum())
     width = BEAM
-    while width < n // 2 and len(search(audit, width)[0]) < RECALL * true:
+    while width < n // WIDE and len(search(audit, width)[0]) < RECALL * true:
         width *= 2
     return search(np.arange(len(q)), width)
 

@@ -23,7 +23,7 @@ def _diverse(x: np.ndarray, base: np.ndarray, cand: np.ndarray, sims: np.ndarray
     chosen = np.zeros((n, c), bool)
     count = np.zeros(n, int)
     v = x[np.maximum(cand, 0)]
-    between = np.einsum("ncd,nkd->nck", v, v)
+    between = v @ v.transpose(0, 2, 1)
     for k in range(c):
         worst = np.where(chosen[:, :k], between[:, k, :k], -2).max(1) if k else np.full(n, -2.0)
         ok = (cand[:, k] >= 0) & (count < m) & (worst < sims[:, k])
@@ -90,14 +90,11 @@ class Graph:
         new = np.full((len(nodes), m), -1, np.int32)
         new[np.repeat(np.arange(len(nodes)), count)[rank < m], rank[rank < m]] = src[rank < m]
         cand = np.concatenate([self.layers[layer][nodes], new], 1)
-        dup = np.sort(cand, 1)
-        if (dup[:, 1:] == dup[:, :-1])[dup[:, 1:] >= 0].any():  # already neighbours
-            for row in cand:
-                _, at = np.unique(row, return_index=True)
-                gone = np.ones(len(row), bool)
-                gone[at] = False
-                row[gone] = -1
-        sims = np.where(cand >= 0, np.einsum("nkd,nd->nk", self.x[np.maximum(cand, 0)], self.x[nodes]), -2)
+        by = np.argsort(cand, axis=1, kind="stable")
+        again = np.take_along_axis(cand, by, 1)
+        r, c = np.nonzero(again[:, 1:] == again[:, :-1])
+        cand[r, by[r, c + 1]] = -1  # already neighbours
+        sims = np.where(cand >= 0, (self.x[np.maximum(cand, 0)] @ self.x[nodes][:, :, None])[:, :, 0], -2)
         self.layers[layer][nodes] = _diverse(self.x, nodes, cand, sims, m)
 
     def beam(self, q: np.ndarray, entry: np.ndarray, layer: int, width: int) -> tuple[np.ndarray, np.ndarray]:
