@@ -199,9 +199,10 @@ def _size_class(n):
 def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray) -> DataFrame:
     """Enough verified links (a, b) between distinct sets to connect every component."""
     postings = docs.filter("doc_id is not null").select("text").mapInArrow(_prefixes(heavy, rank), "token bigint, fp bigint, n int, place int")
-    hub = F.struct("fp", "n", "place")
-    lists = postings.groupBy("token").agg(F.min(hub).alias("lo"), F.max(hub).alias("hi")).filter("lo.fp <> hi.fp").withColumnRenamed("token", "t")
+    lists = postings.groupBy("token").agg(F.min("fp").alias("f0"), F.max("fp").alias("f1")).filter("f0 <> f1").select(F.col("token").alias("t"))
     index = save(postings.join(lists, F.col("token") == F.col("t")).drop("t").distinct(), "index-lists")
+    hub = F.struct("fp", "n", "place")
+    hubs = index.groupBy("token").agg(F.min(hub).alias("lo"), F.max(hub).alias("hi"))
     reps = sets.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     used = index.select("fp").distinct().join(reps, "fp").withColumnRenamed("rep", "r")
     texts = save(docs.join(used, F.col("doc_id") == F.col("r")).groupBy("fp").agg(F.min("text").alias("text"))
@@ -209,7 +210,7 @@ def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray)
                  docs.join(used, F.col("doc_id") == F.col("r")).select("fp", "text"), "set-texts")
     pair = lambda h: F.when((F.col("fp") != F.col(f"{h}.fp")) & _possible(F.col("n"), F.col("place"), F.col(f"{h}.n"), F.col(f"{h}.place")),
                             F.struct(F.least("fp", F.col(f"{h}.fp")).alias("a"), F.greatest("fp", F.col(f"{h}.fp")).alias("b")))
-    tried = save(index.select(F.explode(F.array(pair("lo"), pair("hi"))).alias("p")).filter("p is not null").select("p.a", "p.b").distinct(), "hub-pairs")
+    tried = save(index.join(hubs, "token").select(F.explode(F.array(pair("lo"), pair("hi"))).alias("p")).filter("p is not null").select("p.a", "p.b").distinct(), "hub-pairs")
     first = save(verify(tried, texts), "hub-links")
     comp = components(first).withColumnRenamed("node", "f")
     known = index.join(comp, F.col("fp") == F.col("f"), "left").select("token", "fp", "n", "place", F.coalesce("component", "fp").alias("comp"), _size_class(F.col("n")).alias("block"))
