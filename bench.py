@@ -34,12 +34,12 @@ HEADLINE = [
 
 def main() -> None:
     from glean.plans.registry import QUERIES, load_all
-    from glean.session import get_session
+    from glean.session import get_local_session
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     names = [n for n in (sys.argv[1:] or HEADLINE)]
     load_all()
-    spark = get_session("glean-bench")
+    spark = get_local_session("glean-bench")
     # Steady state: run every headline query once on the smallest scale first
     # (class loading, JIT, generated-code cache, Python workers), untimed.
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")

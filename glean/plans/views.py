@@ -49,7 +49,7 @@ from {supplier}
     # Raw questions; tags_csv splits with split(tags_csv, ',').
     "questions": """
 select conv_id as question_id,
-  'Q &amp; A ' || substr(text, 1, 40) || case when conv_id % 3 = 0 then '?' else '' end as title,
+  'Q &amp; A ' || text || case when conv_id % 3 = 0 then '?' else '' end as title,
   case when conv_id % 9 = 0 then '' else '<p>' || text || '</p>' end as body,
   conv_id % 4 - 1 as score, conv_id % 3 as answer_count,
   case conv_id % 5 when 0 then 'vbscript,qtp' when 1 then 'python,selenium' when 2 then 'java' when 3 then 'javascript' else 'webdriver' end as tags_csv,
@@ -61,14 +61,14 @@ from {conversations} where role = 'user' and turn <= 1
 select conv_id as question_id, turn as answer_pos, (length(text) % 6) - 1 as score,
   (length(text) + turn) % 5 = 0 as is_accepted,
   case when length(text) % 11 = 0 then ''
-       else '<p>' || substr(text, 1, 30) || ' &amp;amp; more</p><!-- c --><pre><code>' || text || '</code></pre><code>x</code><code>' || substr(text, 5) || '</code>' end as body
+       else '<p>' || text || ' &amp;amp; more</p><!-- c --><pre><code>' || text || '</code></pre><code>x</code><code>' || text || '</code>' end as body
 from {conversations} where role = 'assistant'
 """,
     # Ready-made instruction rows with empty instructions and the word "Write".
     "instruction_samples": """
 select u.conv_id, u.turn,
   case when length(u.text) % 7 = 0 then '' when length(u.text) % 2 = 0 then 'Write ' || u.text else u.text end as instruction,
-  case when length(a.text) % 3 = 0 then '' else substr(u.text, 1, 60) end as input,
+  case when length(a.text) % 3 = 0 then '' else u.text end as input,
   a.text as output
 from {conversations} u join {conversations} a on a.conv_id = u.conv_id and a.turn = u.turn + 1
 where u.role = 'user' and a.role = 'assistant'

@@ -26,21 +26,28 @@ _BASE_CONF = {
 
 def get_session(app: str = "glean", master: str | None = None,
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session; local defaults only apply when unset."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.appName(app).master(master or f"local[{cpus}]")
+    """Build (or reuse) a session. Master, memory and partitions are the cluster's
+    (spark-submit, spark-defaults) unless the caller names them."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(_BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
-    conf.setdefault("spark.driver.memory", "16g")
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
+def get_local_session(app: str, shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+    """A session on this machine's cores (bench and tools)."""
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    return get_session(app, f"local[{cpus}]", shuffle_partitions or int(cpus), {"spark.driver.memory": "16g", **(extra or {})})
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the cluster's checkpoint folder, setting a scratch one only if unset
     and only in local mode.

@@ -111,8 +111,12 @@ def read_qa(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 
 def read_instruction_samples(spark: SparkSession, raw_dir: str) -> DataFrame:
-    return clean(read_jsonl(spark, f"{raw_dir.rstrip('/')}/your_scripts", TRAINING_SAMPLE_SCHEMA,
-                            glob="*training*.jsonl", src_rank=2))
+    """Hand-placed ``*training*.jsonl`` files and what the project scan wrote (all snapshots, or an unstamped run)."""
+    folder = f"{raw_dir.rstrip('/')}/your_scripts"
+    rows = read_jsonl(spark, folder, TRAINING_SAMPLE_SCHEMA, glob="*training*.jsonl", src_rank=2)
+    for glob in ("*.json", "run_id=*/*.json"):
+        rows = rows.unionByName(read_jsonl(spark, f"{folder}/uft_training_samples", TRAINING_SAMPLE_SCHEMA, glob=glob, src_rank=2))
+    return clean(rows)
 
 
 def read_corpus(spark: SparkSession, train: str, val: str | None = None) -> DataFrame:

@@ -25,10 +25,12 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", run_ts: str |
     if out.isEmpty():
         return False
     parts = list(partition_by or [])
+    writer = out.write.mode(mode).option("ignoreNullFields", "false")
     if run_ts is not None:
         out = out.withColumn("run_id", F.lit(run_id(run_ts)))
         parts = ["run_id"] + parts
-    writer = out.write.mode(mode).option("ignoreNullFields", "false")
+        # an overwrite replaces this run's folders only: other snapshots stay
+        writer = out.write.mode(mode).option("ignoreNullFields", "false").option("partitionOverwriteMode", "dynamic")
     if parts:
         writer = writer.partitionBy(*parts)
     writer.json(path)

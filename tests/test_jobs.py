@@ -29,9 +29,6 @@ def test_scan_then_build(spark, tmp):
     assert samples_by_category(spark, f"{tmp}/raw/your_scripts") == {"full_action": 1, "function": 1}
     samples = spark.read.json(f"{tmp}/raw/your_scripts/uft_training_samples")
     assert {r["category"] for r in samples.collect()} == {"full_action", "function"}
-    # the build reads *training*.jsonl files: put the samples there as the processor would
-    lines = [json.dumps(r.asDict(recursive=True)) for r in samples.drop("run_id").collect()]
-    write(f"{tmp}/raw/your_scripts/uft_training_samples_1.jsonl", "\n".join(lines) + "\n")
     write(f"{tmp}/raw/github/github_samples_1.jsonl", "\n".join([
         json.dumps({"code": VB, "language": "vbscript", "description": "login page"}),
         json.dumps({"code": VB + "\n\n\n", "language": "vbscript", "description": "same code again"}),
@@ -58,3 +55,20 @@ def test_cli_build(spark, tmp, capsys):
     cli(["build", "--raw-dir", f"{tmp}/raw", "--output-dir", f"{tmp}/out"])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["training_data"] >= 1
+
+
+def test_snapshots_of_two_runs_stay(spark, tmp):
+    write(f"{tmp}/scan/projA/Test.tsp", "marker")
+    write(f"{tmp}/scan/projA/Action1/Script.mts", PROJ + "' padding to pass one hundred characters in the action\n")
+    for ts in ("2024-01-02T03:04:05", "2024-02-03T04:05:06"):
+        assert extract_projects_job(spark, f"{tmp}/scan", f"{tmp}/raw/your_scripts", run_ts=ts)
+    runs = {r["run_id"] for r in spark.read.json(f"{tmp}/raw/your_scripts/uft_training_samples").collect()}
+    assert runs == {"20240102_030405", "20240203_040506"}
+
+
+def test_session_keeps_the_clusters_settings(spark):
+    from glean.session import get_session
+
+    before = (spark.sparkContext.master, spark.conf.get("spark.sql.shuffle.partitions"))
+    again = get_session("other")
+    assert (again.sparkContext.master, again.conf.get("spark.sql.shuffle.partitions")) == before

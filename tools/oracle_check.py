@@ -44,14 +44,14 @@ def main():
 
     from glean.plans.registry import ORACLES, QUERIES, load_all
     from glean.plans.tables import TABLES
-    from glean.session import get_session
+    from glean.session import get_local_session
 
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
     load_all()
     extra = json.loads(os.environ.get("GLEAN_CONF", "{}"))   # e.g. '{"spark.sql.adaptive.enabled": "false"}'
-    spark = get_session("oracle-check", shuffle_partitions=int(extra.pop("spark.sql.shuffle.partitions", 0)) or None,
+    spark = get_local_session("oracle-check", shuffle_partitions=int(extra.pop("spark.sql.shuffle.partitions", 0)) or None,
                         extra=extra)
     con = duckdb.connect()
     for t in TABLES:

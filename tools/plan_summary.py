@@ -47,11 +47,11 @@ def summarise(plan: str) -> dict:
 
 def main():
     from glean.plans.registry import ORACLES, QUERIES, SURVEY_IDS, load_all
-    from glean.session import get_session
+    from glean.session import get_local_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     load_all()
-    spark = get_session("plan-summary")
+    spark = get_local_session("plan-summary")
     print("# Physical plans at a glance\n")
     print(f"Generated by `tools/plan_summary.py` on `{sf_dir}` (initial adaptive plans; AQE may still "
           "turn a sort-merge join into a broadcast join at run time). Not in the list: row-at-a-time "
