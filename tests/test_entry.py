@@ -18,8 +18,9 @@ def test_entry_runs(spark):
 def test_keys_consistent():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert all(SURVEY_IDS[k] for k in q)
-    assert not any(k.startswith("op") or k == "pipeline" for k in q)
+    extra = {k for k in q if k.startswith("op") or k == "pipeline"}  # there with the training-data package only
+    assert all(SURVEY_IDS[k] for k in set(q) - extra)
+    assert len(extra) in (0, 11)
 
 
 CHEAP = ["code_branch", "qa_best_answer", "script_functions", "project_samples", "inst_augment",
