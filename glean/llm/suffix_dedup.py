@@ -14,7 +14,7 @@ Strings of LENGTH bytes ("windows") of all documents are compared, without a tab
    Longest common prefixes in bytes give, for any length, the classes of suffixes that
    agree so far; a window repeats if another one has the class of its first phrase
    start and the same bytes before it.
-4. Contexts that share their key with more than ``HOT`` others (8 MB of text) would make
+4. Contexts that share their key with more than ``HOT`` others (1 MB of text) would make
    a block too large: their windows are counted one by one by 128-bit hashes instead (a
    pre-aggregated count, whatever the number).
 
@@ -43,7 +43,7 @@ LENGTH, SPAN = 400, 192
 KEY = LENGTH - SPAN + 1
 PHRASE_SPAN = 64
 PHRASE = PHRASE_SPAN + 8
-HOT, BLOCK_CONTEXTS = 16000, 1000
+HOT, BLOCK_CONTEXTS = 2000, 1000
 _LOW = np.uint64(0xFFFFFFFF)
 
 
