@@ -15,8 +15,11 @@ Two set relations save work:
 * Derived answers. Sets of one list are first compared with two hubs of the list only.
   A set that links with a hub has, as far as components go, the answer already
   computed for the hub: all sets linked with either are one component, and pairs
-  within a component are never looked up again. Second, the lists are read again for
-  pairs of sets from different components; these are all verified.
+  within a component are never looked up again. A second round takes the set that
+  shares most as the hub. Then the lists are read again for pairs of sets from
+  different components. What two such sets have in common occurs in more than one
+  component; counted by class of hash, those shingles bound the intersection. Pairs
+  whose bound allows a link are all verified.
 
 So no link between components is lost and no pairs within a group of copies are made.
 Equal sets are one set (told apart by a 64-bit hash, as shingles are). Candidates are
@@ -40,6 +43,8 @@ from glean.llm.registry import query
 WORDS, PERCENT = 5, 75
 #: Bound of the list of heavy shingles (512 kB): it orders shingles, and drops none.
 HEAVY = 1 << 16
+#: Classes of shingles (by hash) in which shared ones are counted: an upper bound of an intersection.
+CLASSES = 32
 _STEP = splitmix(np.arange(101, 101 + WORDS, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -196,6 +201,46 @@ def _size_class(n):
     return F.floor(F.log(n) / F.log(F.lit(100.0 / PERCENT)) + 1e-9).cast("int")
 
 
+def _own_shingles(batches):
+    """(token, fp, comp) of every shingle of the texts."""
+    for b in batches:
+        for i, j, buf, off in blocks(b.column("text")):
+            sets = shingles(buf, off)
+            sizes = [len(s) for s in sets]
+            fp, comp = (np.repeat(b.column(c).slice(i, j - i).to_numpy(zero_copy_only=False), sizes) for c in ("fp", "comp"))
+            token = np.concatenate(sets).view(np.int64)
+            for at in range(0, len(token), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(x[at:at + (1 << 16)]) for x in (token, fp, comp)], ["token", "fp", "comp"])
+
+
+def sharing(grams: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of sets (fp, n, comp) those that may link outside their component, with ``s`` and ``sig``.
+
+    Sets of different components can have no other shingles in common than those that occur in more than
+    one component: ``s`` of a set's shingles, ``sig`` of them by class of hash. A link takes PERCENT of n at least.
+    """
+    met = grams.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("token")
+    kind = F.pmod(F.shiftright("token", 7), F.lit(CLASSES))
+    counts = grams.join(met, "token").groupBy("fp").agg(
+        F.count("*").cast("int").alias("s"), *[F.count_if(kind == c).cast("int").alias(f"k{c}") for c in range(CLASSES)])
+    return counts.join(sets, "fp").filter(100 * F.col("s") >= PERCENT * F.col("n")).select(
+        "fp", "n", "comp", "s", F.array(*[f"k{c}" for c in range(CLASSES)]).alias("sig"))
+
+
+def _may_share(n, sig, m, other):
+    """Can sets with these counts by class have as many shingles in common as a link takes?"""
+    most = F.aggregate(F.zip_with(sig, other, lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    return most >= F.ceil((n + m) * PERCENT / (100 + PERCENT) - 1e-9)
+
+
+def _open_lists(index: DataFrame, found: DataFrame) -> DataFrame:
+    """The lists that hold sets of more than one component of the links found, with component and size block."""
+    comp = components(found).withColumnRenamed("node", "f")
+    known = index.join(comp, F.col("fp") == F.col("f"), "left").select("token", "fp", "n", "place", F.coalesce("component", "fp").alias("comp"), _size_class(F.col("n")).alias("block"))
+    open_ = known.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("token")
+    return save(known.join(open_, "token"), "open-lists")
+
+
 def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray) -> DataFrame:
     """Enough verified links (a, b) between distinct sets to connect every component."""
     postings = docs.filter("doc_id is not null").select("text").mapInArrow(_prefixes(heavy, rank), "token bigint, fp bigint, n int, place int")
@@ -212,10 +257,23 @@ def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray)
                             F.struct(F.least("fp", F.col(f"{h}.fp")).alias("a"), F.greatest("fp", F.col(f"{h}.fp")).alias("b")))
     tried = save(index.join(hubs, "token").select(F.explode(F.array(pair("lo"), pair("hi"))).alias("p")).filter("p is not null").select("p.a", "p.b").distinct(), "hub-pairs")
     first = save(verify(tried, texts), "hub-links")
-    comp = components(first).withColumnRenamed("node", "f")
-    known = index.join(comp, F.col("fp") == F.col("f"), "left").select("token", "fp", "n", "place", F.coalesce("component", "fp").alias("comp"), _size_class(F.col("n")).alias("block"))
-    open_ = known.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("token")
-    known = save(known.join(open_, "token"), "open-lists")
+    known = _open_lists(index, first)
+    # sets that share too little with all other components have no links left to find
+    nodes = known.select("fp", "n", "comp").distinct()
+    grams = save(texts.join(nodes, "fp").select("fp", "comp", "text").mapInArrow(_own_shingles, "token bigint, fp bigint, comp bigint"), "open-shingles")
+    alive = save(sharing(grams, nodes), "sharing-sets")
+    # second hub of each list: the set that shares most
+    rich = known.select("token", "fp", "place").join(alive.select("fp", "n", "s", "sig"), "fp")
+    best = rich.groupBy("token").agg(F.max(F.struct("s", "fp", "n", "place")).alias("hi"))
+    best = best.join(alive.select(F.col("fp").alias("h"), F.col("sig").alias("hsig")), F.col("hi.fp") == F.col("h"))
+    second = save(rich.join(best, "token").filter(_may_share(F.col("n"), F.col("sig"), F.col("hi.n"), F.col("hsig"))).select(pair("hi").alias("p"))
+                  .filter("p is not null").select("p.a", "p.b").distinct().join(tried, ["a", "b"], "left_anti"), "hub-pairs")
+    first = first.unionByName(save(verify(second, texts), "hub-links"))
+    tried = tried.unionByName(second)
+    known = _open_lists(index.join(alive.select("fp"), "fp", "left_semi"), first)
+    nodes = known.select("fp", "n", "comp").distinct()
+    alive = save(sharing(grams.drop("comp").join(nodes.select("fp", "comp"), "fp"), nodes), "sharing-sets")
+    known = save(known.join(alive.select("fp", "sig"), "fp"), "open-lists")
     # blocks: sizes, places and components in short; a posting stays if some block of its list may hold a partner
     head = known.groupBy("token", "block").agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.max(F.col("n") - F.col("place")).alias("behind"),
                                                F.min("comp").alias("c0"), F.max("comp").alias("c1"))
@@ -225,10 +283,13 @@ def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray)
     probe = known.join(head, (F.col("token") == F.col("t")) & (F.col("block") == F.col("of")) & ~((F.col("c0") == F.col("comp")) & (F.col("c1") == F.col("comp")))
                        & (100 * F.col("n1") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("n0"))
                        & (F.least(F.col("n") - F.col("place"), F.col("behind")) >= least_need))
-    probe = probe.select("token", "other", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("place").alias("ia"), F.col("comp").alias("ca"))
-    listed = known.select(F.col("token").alias("t"), F.col("block").alias("bk"), F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("place").alias("ib"), F.col("comp").alias("cb"))
+    probe = probe.select("token", "other", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("place").alias("ia"), F.col("comp").alias("ca"),
+                         F.col("sig").alias("sa"))
+    listed = known.select(F.col("token").alias("t"), F.col("block").alias("bk"), F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("place").alias("ib"), F.col("comp").alias("cb"),
+                          F.col("sig").alias("sb"))
     more = (probe.join(listed, (F.col("token") == F.col("t")) & (F.col("other") == F.col("bk")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                       & _possible(F.col("na"), F.col("ia"), F.col("nb"), F.col("ib"))).select("a", "b").distinct()
+                       & _possible(F.col("na"), F.col("ia"), F.col("nb"), F.col("ib"))
+                       & _may_share(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb"))).select("a", "b").distinct()
             .join(tried, ["a", "b"], "left_anti"))
     return first.unionByName(verify(save(more, "cross-pairs"), texts))
 
