@@ -227,10 +227,11 @@ def sharing(grams: DataFrame, sets: DataFrame) -> DataFrame:
         "fp", "n", "comp", "s", F.array(*[f"k{c}" for c in range(CLASSES)]).alias("sig"))
 
 
-def _may_share(n, sig, m, other):
-    """Can sets with these counts by class have as many shingles in common as a link takes?"""
+def _may_share(n, s, sig, m, t, other):
+    """Can sets of n and m shingles, s and t of them shared, have as many in common as a link takes?"""
+    need = F.ceil((n + m) * PERCENT / (100 + PERCENT) - 1e-9)
     most = F.aggregate(F.zip_with(sig, other, lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    return most >= F.ceil((n + m) * PERCENT / (100 + PERCENT) - 1e-9)
+    return (F.least(s, t) >= need) & (most >= need)
 
 
 def _open_lists(index: DataFrame, found: DataFrame) -> DataFrame:
@@ -266,14 +267,14 @@ def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray)
     rich = known.select("token", "fp", "place").join(alive.select("fp", "n", "s", "sig"), "fp")
     best = rich.groupBy("token").agg(F.max(F.struct("s", "fp", "n", "place")).alias("hi"))
     best = best.join(alive.select(F.col("fp").alias("h"), F.col("sig").alias("hsig")), F.col("hi.fp") == F.col("h"))
-    second = save(rich.join(best, "token").filter(_may_share(F.col("n"), F.col("sig"), F.col("hi.n"), F.col("hsig"))).select(pair("hi").alias("p"))
+    second = save(rich.join(best, "token").filter(_may_share(F.col("n"), F.col("s"), F.col("sig"), F.col("hi.n"), F.col("hi.s"), F.col("hsig"))).select(pair("hi").alias("p"))
                   .filter("p is not null").select("p.a", "p.b").distinct().join(tried, ["a", "b"], "left_anti"), "hub-pairs")
     first = first.unionByName(save(verify(second, texts), "hub-links"))
     tried = tried.unionByName(second)
     known = _open_lists(index.join(alive.select("fp"), "fp", "left_semi"), first)
     nodes = known.select("fp", "n", "comp").distinct()
     alive = save(sharing(grams.drop("comp").join(nodes.select("fp", "comp"), "fp"), nodes), "sharing-sets")
-    known = save(known.join(alive.select("fp", "sig"), "fp"), "open-lists")
+    known = save(known.join(alive.select("fp", "s", "sig"), "fp"), "open-lists")
     # blocks: sizes, places and components in short; a posting stays if some block of its list may hold a partner
     head = known.groupBy("token", "block").agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.max(F.col("n") - F.col("place")).alias("behind"),
                                                F.min("comp").alias("c0"), F.max("comp").alias("c1"))
@@ -284,12 +285,12 @@ def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray)
                        & (100 * F.col("n1") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("n0"))
                        & (F.least(F.col("n") - F.col("place"), F.col("behind")) >= least_need))
     probe = probe.select("token", "other", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("place").alias("ia"), F.col("comp").alias("ca"),
-                         F.col("sig").alias("sa"))
+                         F.col("s").alias("ta"), F.col("sig").alias("sa"))
     listed = known.select(F.col("token").alias("t"), F.col("block").alias("bk"), F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("place").alias("ib"), F.col("comp").alias("cb"),
-                          F.col("sig").alias("sb"))
+                          F.col("s").alias("tb"), F.col("sig").alias("sb"))
     more = (probe.join(listed, (F.col("token") == F.col("t")) & (F.col("other") == F.col("bk")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
                        & _possible(F.col("na"), F.col("ia"), F.col("nb"), F.col("ib"))
-                       & _may_share(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb"))).select("a", "b").distinct()
+                       & _may_share(F.col("na"), F.col("ta"), F.col("sa"), F.col("nb"), F.col("tb"), F.col("sb"))).select("a", "b").distinct()
             .join(tried, ["a", "b"], "left_anti"))
     return first.unionByName(verify(save(more, "cross-pairs"), texts))
 
