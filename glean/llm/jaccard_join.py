@@ -242,6 +242,27 @@ def _open_lists(index: DataFrame, found: DataFrame) -> DataFrame:
     return save(known.join(open_, "token"), "open-lists")
 
 
+def _probes(known: DataFrame):
+    """Postings that some block of their list may hold a partner for, the listed postings, and when two of them may link.
+
+    Blocks are known in short: their sizes, places and components.
+    """
+    head = known.groupBy("token", "block").agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.max(F.col("n") - F.col("place")).alias("behind"),
+                                               F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    head = head.withColumn("of", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1))).select(
+        F.col("token").alias("t"), "of", F.col("block").alias("other"), "n0", "n1", "behind", "c0", "c1")
+    least_need = F.ceil((F.col("n") + F.greatest(F.col("n0"), F.ceil(F.col("n") * PERCENT / 100))) * PERCENT / (100 + PERCENT) - 1e-9)
+    probe = known.join(head, (F.col("token") == F.col("t")) & (F.col("block") == F.col("of")) & ~((F.col("c0") == F.col("comp")) & (F.col("c1") == F.col("comp")))
+                       & (100 * F.col("n1") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("n0"))
+                       & (F.least(F.col("n") - F.col("place"), F.col("behind")) >= least_need))
+    counts = "sig" in known.columns
+    side = lambda x: [F.col("fp").alias(x), F.col("n").alias(f"n{x}"), F.col("place").alias(f"i{x}"), F.col("comp").alias(f"c{x}"),
+                      *([F.col("s").alias(f"t{x}"), F.col("sig").alias(f"s{x}")] if counts else [])]
+    match = ((F.col("token") == F.col("t")) & (F.col("other") == F.col("bk")) & (F.col("ca") != F.col("cb"))
+             & _possible(F.col("na"), F.col("ia"), F.col("nb"), F.col("ib")))
+    return probe.select("token", "other", *side("a")), known.select(F.col("token").alias("t"), F.col("block").alias("bk"), *side("b")), match
+
+
 def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray) -> DataFrame:
     """Enough verified links (a, b) between distinct sets to connect every component."""
     postings = docs.filter("doc_id is not null").select("text").mapInArrow(_prefixes(heavy, rank), "token bigint, fp bigint, n int, place int")
@@ -259,8 +280,10 @@ def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray)
     tried = save(index.join(hubs, "token").select(F.explode(F.array(pair("lo"), pair("hi"))).alias("p")).filter("p is not null").select("p.a", "p.b").distinct(), "hub-pairs")
     first = save(verify(tried, texts), "hub-links")
     known = _open_lists(index, first)
-    # sets that share too little with all other components have no links left to find
-    nodes = known.select("fp", "n", "comp").distinct()
+    # sets with possible partners outside their component; those that share too little have no links left to find
+    probe, listed, match = _probes(known)
+    asking = probe.join(listed, match, "left_semi").select(F.col("a").alias("fp")).distinct()
+    nodes = save(known.select("fp", "n", "comp").distinct().join(asking, "fp"), "asking-sets")
     grams = save(texts.join(nodes, "fp").select("fp", "comp", "text").mapInArrow(_own_shingles, "token bigint, fp bigint, comp bigint"), "open-shingles")
     alive = save(sharing(grams, nodes), "sharing-sets")
     # second hub of each list: the set that shares most
@@ -275,23 +298,9 @@ def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray)
     nodes = known.select("fp", "n", "comp").distinct()
     alive = save(sharing(grams.drop("comp").join(nodes.select("fp", "comp"), "fp"), nodes), "sharing-sets")
     known = save(known.join(alive.select("fp", "s", "sig"), "fp"), "open-lists")
-    # blocks: sizes, places and components in short; a posting stays if some block of its list may hold a partner
-    head = known.groupBy("token", "block").agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.max(F.col("n") - F.col("place")).alias("behind"),
-                                               F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-    head = head.withColumn("of", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1))).select(
-        F.col("token").alias("t"), "of", F.col("block").alias("other"), "n0", "n1", "behind", "c0", "c1")
-    least_need = F.ceil((F.col("n") + F.greatest(F.col("n0"), F.ceil(F.col("n") * PERCENT / 100))) * PERCENT / (100 + PERCENT) - 1e-9)
-    probe = known.join(head, (F.col("token") == F.col("t")) & (F.col("block") == F.col("of")) & ~((F.col("c0") == F.col("comp")) & (F.col("c1") == F.col("comp")))
-                       & (100 * F.col("n1") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("n0"))
-                       & (F.least(F.col("n") - F.col("place"), F.col("behind")) >= least_need))
-    probe = probe.select("token", "other", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("place").alias("ia"), F.col("comp").alias("ca"),
-                         F.col("s").alias("ta"), F.col("sig").alias("sa"))
-    listed = known.select(F.col("token").alias("t"), F.col("block").alias("bk"), F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("place").alias("ib"), F.col("comp").alias("cb"),
-                          F.col("s").alias("tb"), F.col("sig").alias("sb"))
-    more = (probe.join(listed, (F.col("token") == F.col("t")) & (F.col("other") == F.col("bk")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                       & _possible(F.col("na"), F.col("ia"), F.col("nb"), F.col("ib"))
-                       & _may_share(F.col("na"), F.col("ta"), F.col("sa"), F.col("nb"), F.col("tb"), F.col("sb"))).select("a", "b").distinct()
-            .join(tried, ["a", "b"], "left_anti"))
+    probe, listed, match = _probes(known)
+    share = _may_share(F.col("na"), F.col("ta"), F.col("sa"), F.col("nb"), F.col("tb"), F.col("sb"))
+    more = probe.join(listed, match & (F.col("a") < F.col("b")) & share).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     return first.unionByName(verify(save(more, "cross-pairs"), texts))
 
 
