@@ -18,8 +18,9 @@ Two set relations save work:
   within a component are never looked up again. A second round takes the set that
   shares most as the hub. Then the lists are read again for pairs of sets from
   different components. What two such sets have in common occurs in more than one
-  component; counted by class of hash, those shingles bound the intersection. Pairs
-  whose bound allows a link are all verified.
+  component; counted by class of hash, those shingles bound the intersection (for
+  sets in crowded lists only). Pairs whose bound allows a link are all verified, and so
+  are pairs with a set whose shingles are not counted.
 
 So no link between components is lost and no pairs within a group of copies are made.
 Equal sets are one set (told apart by a 64-bit hash, as shingles are). Candidates are
@@ -45,6 +46,8 @@ WORDS, PERCENT = 5, 75
 HEAVY = 1 << 16
 #: Classes of shingles (by hash) in which shared ones are counted: an upper bound of an intersection.
 CLASSES = 32
+#: Postings in reach of a posting from which on its set's shared shingles are counted; no pair is left out for it.
+CROWD = 64
 _STEP = splitmix(np.arange(101, 101 + WORDS, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -247,10 +250,10 @@ def _probes(known: DataFrame):
 
     Blocks are known in short: their sizes, places and components.
     """
-    head = known.groupBy("token", "block").agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.max(F.col("n") - F.col("place")).alias("behind"),
+    head = known.groupBy("token", "block").agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.max(F.col("n") - F.col("place")).alias("behind"), F.count("*").alias("crowd"),
                                                F.min("comp").alias("c0"), F.max("comp").alias("c1"))
     head = head.withColumn("of", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1))).select(
-        F.col("token").alias("t"), "of", F.col("block").alias("other"), "n0", "n1", "behind", "c0", "c1")
+        F.col("token").alias("t"), "of", F.col("block").alias("other"), "n0", "n1", "behind", "crowd", "c0", "c1")
     least_need = F.ceil((F.col("n") + F.greatest(F.col("n0"), F.ceil(F.col("n") * PERCENT / 100))) * PERCENT / (100 + PERCENT) - 1e-9)
     probe = known.join(head, (F.col("token") == F.col("t")) & (F.col("block") == F.col("of")) & ~((F.col("c0") == F.col("comp")) & (F.col("c1") == F.col("comp")))
                        & (100 * F.col("n1") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("n0"))
@@ -260,7 +263,7 @@ def _probes(known: DataFrame):
                       *([F.col("s").alias(f"t{x}"), F.col("sig").alias(f"s{x}")] if counts else [])]
     match = ((F.col("token") == F.col("t")) & (F.col("other") == F.col("bk")) & (F.col("ca") != F.col("cb"))
              & _possible(F.col("na"), F.col("ia"), F.col("nb"), F.col("ib")))
-    return probe.select("token", "other", *side("a")), known.select(F.col("token").alias("t"), F.col("block").alias("bk"), *side("b")), match
+    return probe.select("token", "other", "crowd", *side("a")), known.select(F.col("token").alias("t"), F.col("block").alias("bk"), *side("b")), match
 
 
 def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray) -> DataFrame:
@@ -280,9 +283,10 @@ def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray)
     tried = save(index.join(hubs, "token").select(F.explode(F.array(pair("lo"), pair("hi"))).alias("p")).filter("p is not null").select("p.a", "p.b").distinct(), "hub-pairs")
     first = save(verify(tried, texts), "hub-links")
     known = _open_lists(index, first)
-    # sets with possible partners outside their component; those that share too little have no links left to find
+    # sets in crowded lists; those that share too little with each other have no links left to find among them
     probe, listed, match = _probes(known)
-    asking = probe.join(listed, match, "left_semi").select(F.col("a").alias("fp")).distinct()
+    asking = probe.filter(F.col("crowd") > CROWD).join(listed, match, "left_semi").select(F.col("a").alias("fp")).distinct()
+    asking = save(asking, "asking")
     nodes = save(known.select("fp", "n", "comp").distinct().join(asking, "fp"), "asking-sets")
     grams = save(texts.join(nodes, "fp").select("fp", "comp", "text").mapInArrow(_own_shingles, "token bigint, fp bigint, comp bigint"), "open-shingles")
     alive = save(sharing(grams, nodes), "sharing-sets")
@@ -294,13 +298,15 @@ def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray)
                   .filter("p is not null").select("p.a", "p.b").distinct().join(tried, ["a", "b"], "left_anti"), "hub-pairs")
     first = first.unionByName(save(verify(second, texts), "hub-links"))
     tried = tried.unionByName(second)
-    known = _open_lists(index.join(alive.select("fp"), "fp", "left_semi"), first)
-    nodes = known.select("fp", "n", "comp").distinct()
+    known = _open_lists(index, first)
+    nodes = save(known.select("fp", "n", "comp").distinct().join(asking, "fp"), "asking-sets")
     alive = save(sharing(grams.drop("comp").join(nodes.select("fp", "comp"), "fp"), nodes), "sharing-sets")
-    known = save(known.join(alive.select("fp", "s", "sig"), "fp"), "open-lists")
+    counts = nodes.select("fp").join(alive.select("fp", "s", "sig"), "fp", "left").select("fp", F.coalesce("s", F.lit(0)).alias("s"), "sig")
+    known = save(known.join(counts, "fp", "left"), "open-lists")
     probe, listed, match = _probes(known)
     share = _may_share(F.col("na"), F.col("ta"), F.col("sa"), F.col("nb"), F.col("tb"), F.col("sb"))
-    more = probe.join(listed, match & (F.col("a") < F.col("b")) & share).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    uncounted = F.col("ta").isNull() | F.col("tb").isNull()
+    more = probe.join(listed, match & (F.col("a") < F.col("b")) & (uncounted | share)).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     return first.unionByName(verify(save(more, "cross-pairs"), texts))
 
 
