@@ -12,7 +12,7 @@ from glean.operators.stats import count_by, volume_check
 from glean.plans import duck as D
 from glean.plans.branches import code_branch, instruction_branch, qa_branch
 from glean.plans.q_code import CLEAN, code_view
-from glean.plans.q_qa import MAX_QUESTIONS, _pairs_cte, _pairs_spark, _selection_ctes, qa_branch_ctes
+from glean.plans.q_qa import answered, answered_ctes, qa_branch_ctes
 from glean.plans.registry import query
 from glean.plans.tables import spread_table
 from glean.plans.views import duck_with, view
@@ -46,14 +46,14 @@ code_rows as (select 0::bigint as src_rank, doc_id as src_pos, 'github' as sourc
   from cvalid)
 """
 
-D_QA_ROWS = f""", qa_rows as (select 1::bigint as src_rank, cat_rank::bigint * {10 ** 12} + cat_pos as src_pos, 'stackoverflow' as source,
+D_QA_ROWS = f""", qa_rows as (select 1::bigint as src_rank, question_id as src_pos, 'stackoverflow' as source,
   {D.language_from_tags('tags')} as language, {D.title_instruction('title')} as instruction, substr(question, 1, 500) as input,
   output, output_key from kept)
 """
 
 D_CORPUS = (duck_with("code_samples", "questions", "answers", "instruction_samples")
             + ", q as (select *, string_split(tags_csv, ',') as tags from questions)\n"
-            + _selection_ctes(MAX_QUESTIONS) + _pairs_cte() + qa_branch_ctes() + D_CODE_ROWS + D_QA_ROWS + D_INST + f"""
+            + answered_ctes() + qa_branch_ctes() + D_CODE_ROWS + D_QA_ROWS + D_INST + f"""
 , allrows as (select * from code_rows union all select * from qa_rows union all select * from inst_rows),
 deduped as (select * from allrows qualify row_number() over (partition by output_key order by src_rank, src_pos) = 1),
 augmented as (select *, 0::bigint as aug_pos from deduped
@@ -66,7 +66,7 @@ corpus as (select *, case when {d_bucket('output_key', 'split')} < {VAL_THRESHOL
 def corpus_rows(spark, sf_dir):
     """The three branches without dedup (each with src_rank/src_path/src_pos)."""
     code = code_branch(code_view(spark, sf_dir), dedup=False)
-    qa = qa_branch(_pairs_spark(spark, sf_dir), dedup=False)
+    qa = qa_branch(answered(spark, sf_dir), dedup=False)
     inst = instruction_branch(inst_view(spark, sf_dir), dedup=False)
     return C.union_sources(code, qa, inst)
 
@@ -158,7 +158,7 @@ def q_seeded_order(spark, sf_dir):
 , qa_first as (select * from qa_rows qualify row_number() over (partition by output_key order by src_pos) = 1)
 select src_pos, output_key from qa_first where output_key not in (select output_key from inst_rows)""")
 def q_anti(spark, sf_dir):
-    new = qa_branch(_pairs_spark(spark, sf_dir))
+    new = qa_branch(answered(spark, sf_dir))
     existing = instruction_branch(inst_view(spark, sf_dir), dedup=False)
     return anti_dedup(new, existing).select("src_pos", "output_key")
 

@@ -73,13 +73,13 @@ seen{ci} as ({f'select question_id from seen{ci - 1} union all ' if ci else ''}s
     return s + ",\nselected as (" + " union all ".join(parts) + ")\n"
 
 
-def _pairs_cte() -> str:
+def _pairs_cte(selected: str = "selected", columns: str = "s.category, s.cat_rank, s.cat_pos, ") -> str:
     title = D.unescape("coalesce(q.title, '')")
-    return f""", pairs0 as (select s.category, s.cat_rank, s.cat_pos, q.question_id, s.answer_pos, q.tags, q.score, s.answer_score,
+    return f""", pairs0 as (select {columns}q.question_id, s.answer_pos, q.tags, q.score, s.answer_score,
     {title} as title, {D.html_to_text('q.body')} as qtext, {D.html_to_text('s.answer_body')} as answer,
     {D.code_blocks_from(D.mark_blocks('s.answer_body'))} as code_blocks,
     coalesce(q.link, 'https://stackoverflow.com/q/' || cast(q.question_id as varchar)) as url
-  from q join selected s using (question_id)),
+  from q join {selected} s using (question_id)),
 pairs as (select *, case when length(qtext) > 0 then qtext else title end as question from pairs0)
 """
 
@@ -87,7 +87,16 @@ pairs as (select *, case when length(qtext) > 0 then qtext else title end as que
 def _pairs_spark(spark, sf_dir, max_questions=MAX_QUESTIONS):
     qv = questions_view(spark, sf_dir)
     sel = S.select_qa(qv, answers_view(spark, sf_dir), max_questions=max_questions)
-    return S.qa_pairs(sel, qv, max_questions=max_questions)
+    return S.qa_pairs(sel, qv)
+
+
+def answered_ctes() -> str:
+    """CTE ``pairs`` of every answered question (what corpus queries read), on top of D_Q."""
+    return ", " + D_BEST + _pairs_cte("best", "")
+
+
+def answered(spark, sf_dir):
+    return S.answered_pairs(questions_view(spark, sf_dir), answers_view(spark, sf_dir))
 
 
 # --- queries -------------------------------------------------------------------
@@ -114,8 +123,8 @@ def q_filter_questions(spark, sf_dir):
 @query("qa_join_answers", "O-39", D_Q + """select q.question_id, a.answer_pos, q.score, a.score as answer_score
 from q join answers a on a.question_id = q.question_id""")
 def q_join_answers(spark, sf_dir):
-    a = answers_view(spark, sf_dir).select("question_id", "answer_pos", F.col("score").alias("answer_score"))
-    return questions_view(spark, sf_dir).select("question_id", "score").join(a, "question_id")
+    a = answers_view(spark, sf_dir).select("question_id", "answer_pos", "score")
+    return S.join_answers(questions_view(spark, sf_dir).select("question_id", "score"), a)
 
 
 @query("qa_best_answer", "O-41", D_Q + ", " + D_BEST + "\nselect question_id, answer_pos, answer_score, is_accepted from best")
@@ -162,16 +171,14 @@ kept as (select *, {D.output_key('output')} as output_key from cleaned where len
 """
 
 
-@query("qa_branch", "O-82", D_Q + _selection_ctes(MAX_QUESTIONS) + _pairs_cte() + qa_branch_ctes() + f"""
-, firsts2 as (select * from kept qualify row_number() over (partition by output_key order by cat_rank, cat_pos) = 1)
+@query("qa_branch", "O-82", D_Q + answered_ctes() + qa_branch_ctes() + f"""
+, firsts2 as (select * from kept qualify row_number() over (partition by output_key order by question_id) = 1)
 select question_id, {D.title_instruction('title')} as instruction, substr(question, 1, 500) as input, output, output_key,
   {D.language_from_tags('tags')} as language
 from firsts2""")
 def q_qa_branch(spark, sf_dir):
-    pairs = _pairs_spark(spark, sf_dir)
-    out = qa_branch(pairs.withColumnRenamed("question_id", "qid"))
-    ids = pairs.select(F.col("src_pos"), F.col("question_id"))
-    return out.join(ids, "src_pos").select("question_id", "instruction", "input", "output", "output_key", "language")
+    out = qa_branch(answered(spark, sf_dir))       # src_pos is the question's id
+    return out.select(F.col("src_pos").alias("question_id"), "instruction", "input", "output", "output_key", "language")
 
 
 @query("qa_code_blocks", "O-70", duck_with("answers") + f"""

@@ -22,17 +22,24 @@ def hits(spark, sf_dir):
     return view(spark, sf_dir, "repo_hits")
 
 
-def d_collect(prefix: str, language: str | None, prev: str | None) -> str:
-    """CTEs walking QUERY_IDS; ``{prefix}_all`` holds the collected repositories."""
+# code_selection: each collection has its own queries, and few repositories are taken from each, so that
+# all four find some among the fixture's 20.
+COLLECTION_QUERIES = {"vbscript": [0, 1], "selenium_python": [1, 2], "selenium_java": [2, 3],
+                      "selenium_javascript": [3, 4]}
+COLLECTION_REPOS = 4
+
+
+def d_collect(prefix: str, language: str | None, prev: str | None, query_ids=QUERY_IDS, cap=CAP) -> str:
+    """CTEs walking ``query_ids``; ``{prefix}_all`` holds the collected repositories."""
     lang = f" and language = {D.lit(language)}" if language else ""
     parts, seen = [], prev
     out = f""",
 {prefix}c as (select * from repo_hits where stars >= 5{lang}
   qualify row_number() over (partition by query_id, repo_name order by stars desc) = 1)"""
-    for q in QUERY_IDS:
+    for q in query_ids:
         excl = f" and repo_name not in (select repo_name from {seen})" if seen else ""
         out += f""",
-{prefix}{q} as (select * from {prefix}c where query_id = {q}{excl} order by stars desc, repo_name limit {CAP}),
+{prefix}{q} as (select * from {prefix}c where query_id = {q}{excl} order by stars desc, repo_name limit {cap}),
 {prefix}seen{q} as ({f'select repo_name from {seen} union all ' if seen else ''}select repo_name from {prefix}{q})"""
         seen = f"{prefix}seen{q}"
         parts.append(f"select * from {prefix}{q}")
@@ -70,8 +77,7 @@ where query_id in ({', '.join(map(str, GROUPS['uft']))}) or query_id in ({', '.j
 def q_repo_union(spark, sf_dir):
     h = hits(spark, sf_dir)
     parts = [h.filter(F.col("query_id").isin(ids)).withColumn("query_group", F.lit(g)) for g, ids in GROUPS.items()]
-    u = parts[0].unionByName(parts[1])
-    return u.select("query_group", "query_id", "repo_name", "stars")
+    return S.union_rules(*parts).select("query_group", "query_id", "repo_name", "stars")
 
 
 @query("repo_attach_files", "O-40", duck_with("repo_hits", "code_samples") + d_collect("v", None, None) + """
@@ -84,19 +90,23 @@ def q_attach(spark, sf_dir):
         "query_id", "repo_name", "stars", "doc_id")
 
 
-@query("code_selection", "O-85", duck_with("repo_hits", "repo_files") + d_collect("v", None, None)
-       + d_collect("s", "Python", "(select repo_name from v_all)") + f"""
-select 'vbscript' as collection, r.query_id, r.repo_name, r.stars, c.doc_id, c.file_path
-from v_all r join repo_files c on c.repo_name = r.repo_name
-where {_ext('c.file_path', 'vbscript')} and strlen(c.code) < {R.MAX_FILE_BYTES}
-union all
-select 'selenium_python', r.query_id, r.repo_name, r.stars, c.doc_id, c.file_path
-from s_all r join repo_files c on c.repo_name = r.repo_name
-where {_ext('c.file_path', 'python')} and strlen(c.code) < {R.MAX_FILE_BYTES}
-  and {D.contains_any('lower(c.code)', R.SELENIUM_CONTENT_MARKERS)}""")
+def d_code_selection() -> str:
+    ctes, selects, prev = "", [], None
+    for i, (label, language, family, selenium) in enumerate(S.COLLECTIONS):
+        ids, p = COLLECTION_QUERIES[label], f"x{i}_"
+        ctes += d_collect(p, language, prev, ids, COLLECTION_REPOS // len(ids) + 1)
+        ctes += f",\n{p}taken as ({f'select * from {prev} union all ' if prev else ''}select repo_name from {p}_all)"
+        prev = f"{p}taken"
+        selects.append(f"""select {D.lit(label)} as collection, r.query_id, r.repo_name, r.stars, r.description, r.url, c.doc_id, c.file_path
+from {p}_all r join repo_files c on c.repo_name = r.repo_name
+where {_ext('c.file_path', family)} and strlen(c.code) < {R.MAX_FILE_BYTES}"""
+                       + (f" and {D.contains_any('lower(c.code)', R.SELENIUM_CONTENT_MARKERS)}" if selenium else ""))
+    return ctes + "\n" + "\nunion all\n".join(selects)
+
+
+@query("code_selection", "O-85", duck_with("repo_hits", "repo_files") + d_code_selection())
 def q_code_selection(spark, sf_dir):
-    h = hits(spark, sf_dir)
     files = view(spark, sf_dir, "repo_files").select("repo_name", "doc_id", "file_path", "code")
-    out = S.select_code(h, files, QUERY_IDS, MAX_REPOS,
-                        collections=(("vbscript", None, "vbscript", False), ("selenium_python", "Python", "python", True)))
-    return out.select(F.col("language").alias("collection"), "query_id", "repo_name", "stars", "doc_id", "file_path")
+    out = S.select_code(hits(spark, sf_dir), files, COLLECTION_QUERIES, COLLECTION_REPOS)
+    return out.select(F.col("language").alias("collection"), "query_id", "repo_name", "stars", "description", "url",
+                      "doc_id", "file_path")

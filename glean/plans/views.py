@@ -43,26 +43,30 @@ left join {labels} l on l.doc_id = d.doc_id
     "repo_hits": """
 select cast(s_nationkey % 5 as bigint) as query_id, 'src' || cast(s_suppkey % 20 as string) as repo_name,
   s_suppkey % 37 as stars,
-  case s_suppkey % 3 when 0 then 'Python' when 1 then 'Java' else 'JavaScript' end as language
+  case s_suppkey % 3 when 0 then 'Python' when 1 then 'Java' else 'JavaScript' end as language,
+  s_name || ' automation' as description, 'https://git.example.com/src' || cast(s_suppkey % 20 as string) as url
 from {supplier}
 """,
-    # Raw questions; tags_csv splits with split(tags_csv, ',').
+    # Raw questions, one per user turn; tags_csv splits with split(tags_csv, ',').
     "questions": """
-select conv_id as question_id,
+select conv_id * 1000000 + turn as question_id,
   'Q &amp; A ' || text || case when conv_id % 3 = 0 then '?' else '' end as title,
   case when conv_id % 9 = 0 then '' else '<p>' || text || '</p>' end as body,
   conv_id % 4 - 1 as score, conv_id % 3 as answer_count,
   case conv_id % 5 when 0 then 'vbscript,qtp' when 1 then 'python,selenium' when 2 then 'java' when 3 then 'javascript' else 'webdriver' end as tags_csv,
   case when conv_id % 6 = 0 then null else 'https://q.example.com/' || cast(conv_id as string) end as link
-from {conversations} where role = 'user' and turn <= 1
+from {conversations} where role = 'user'
 """,
-    # Raw answers: nested and tiny code blocks (whole texts), a comment, a double-encoded entity, empty bodies.
+    # Raw answers, each of the user turn before it: nested and tiny code blocks (whole texts), a comment, a
+    # double-encoded entity, empty bodies.
     "answers": """
-select conv_id as question_id, turn as answer_pos, (length(text) % 6) - 1 as score,
+select conv_id * 1000000 + user_turn as question_id, turn as answer_pos, (length(text) % 6) - 1 as score,
   (length(text) + turn) % 5 = 0 as is_accepted,
   case when length(text) % 11 = 0 then ''
        else '<p>' || text || ' &amp;amp; more</p><!-- c --><pre><code>' || text || '</code></pre><code>x</code><code>' || text || '</code>' end as body
-from {conversations} where role = 'assistant'
+from (select *, max(case when role = 'user' then turn end) over (partition by conv_id order by turn) as user_turn
+      from {conversations})
+where role = 'assistant' and user_turn is not null
 """,
     # Ready-made instruction rows with empty instructions and the word "Write".
     "instruction_samples": """

@@ -48,6 +48,14 @@ def get_local_session(app: str, shuffle_partitions: int | None = None, extra: di
     return get_session(app, f"local[{cpus}]", shuffle_partitions or int(cpus), {"spark.driver.memory": "16g", **(extra or {})})
 
 
+def cut_lineage(df):
+    """``df`` written to the shared checkpoint folder and read back from it, so that steps
+    which read it several times neither repeat what is below nor carry it in their plans."""
+    if ensure_checkpoint_dir(df.sparkSession) is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return df.checkpoint()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the cluster's checkpoint folder, setting a scratch one only if unset
     and only in local mode.
