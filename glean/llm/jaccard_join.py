@@ -62,11 +62,20 @@ def shingles(buf: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
     for k in range(WORDS):
         mixed += h[k:k + len(mixed)] * _STEP[k]
     mixed = splitmix(mixed)
+    windows = np.maximum(per_row - WORDS + 1, 0)
+    for a, w in zip(at.tolist(), windows.tolist()):
+        mixed[a:a + w].sort()
+    of = row[:len(mixed)]
+    fresh = np.ones(len(mixed), bool)
+    fresh[1:] = (mixed[1:] != mixed[:-1]) | (of[1:] != of[:-1])
+    fresh &= np.arange(len(mixed)) - at[of] < windows[of]
+    flat = mixed[fresh]
+    cut = np.concatenate([[0], np.cumsum(np.bincount(of[fresh], minlength=n))]).tolist()
     out = []
     for k in range(n):
         a, m = at[k], per_row[k]
         if m >= WORDS:
-            out.append(np.unique(mixed[a:a + m - WORDS + 1]))
+            out.append(flat[cut[k]:cut[k + 1]])
         elif m:
             whole = (h[a:a + m] * _STEP[:m]).sum(dtype=np.uint64) + np.uint64(m)
             out.append(splitmix(np.array([whole])))
@@ -75,10 +84,13 @@ def shingles(buf: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def fingerprint(s: np.ndarray) -> int:
-    """A 64-bit hash of a set, as a signed integer."""
-    total = splitmix(np.array([splitmix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) + np.uint64(len(s))]))
-    return int(total.view(np.int64)[0])
+def fingerprints(sets: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit hash of each set, as signed integers."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    flat = np.concatenate([np.zeros(0, np.uint64), *sets])
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(splitmix(flat ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
+    end = np.cumsum(sizes)
+    return splitmix(total[end] - total[end - sizes] + sizes.astype(np.uint64)).view(np.int64)
 
 
 def _sets_and_heavy(batches):
@@ -104,7 +116,7 @@ def _sets_and_heavy(batches):
     for b in batches:
         for i, j, buf, off in blocks(b.column("text")):
             sets = shingles(buf, off)
-            fps = [fingerprint(s) for s in sets]
+            fps = fingerprints(sets).tolist()
             for s, fp in zip(sets, fps):
                 if fp not in seen:
                     seen.add(fp)
@@ -129,40 +141,52 @@ def prefix_length(n: int) -> int:
     return n - -(-PERCENT * n // 100) + 1
 
 
-def _prefixes(heavy: np.ndarray, rank: np.ndarray):
-    """Postings (token, fp, n, place in the set's order) of each distinct set; ``heavy`` ascending, ``rank`` rarest first."""
+def _prefixes(heavy: np.ndarray, rank: np.ndarray, places: bool = True):
+    """Postings (token, fp and, with ``places``, n and place in the set's order) of each distinct set;
+    ``heavy`` ascending, ``rank`` rarest first."""
+    near = np.zeros(1 << 20, bool)  # leading bits of heavy shingles: most others are told apart by them
+    near[heavy >> np.uint64(44)] = True
+
+    def hot_places(flat):
+        out = np.zeros(len(flat), bool)
+        if len(heavy):
+            maybe = np.flatnonzero(near[flat >> np.uint64(44)])
+            at = np.minimum(np.searchsorted(heavy, flat[maybe]), len(heavy) - 1)
+            out[maybe[heavy[at] == flat[maybe]]] = True
+        return out
 
     def run(batches):
         seen: set[int] = set()
         for b in batches:
             for i, j, buf, off in blocks(b.column("text")):
-                toks, fps, ns, places = [], [], [], []
-                for s in shingles(buf, off):
-                    if not len(s):
-                        continue
-                    fp = fingerprint(s)
-                    if fp in seen:
+                toks, fps, ns = [], [], []
+                sets = shingles(buf, off)
+                hot_of = hot_places(np.concatenate(sets))
+                end = 0
+                for s, fp in zip(sets, fingerprints(sets).tolist()):
+                    hot = hot_of[end:end + len(s)]
+                    end += len(s)
+                    if not len(s) or fp in seen:
                         continue
                     seen.add(fp)
                     p = prefix_length(len(s))
-                    if len(heavy):
-                        at = np.minimum(np.searchsorted(heavy, s), len(heavy) - 1)
-                        hot = heavy[at] == s
-                        first = s[~hot][:p]
-                        if len(first) < p:
-                            late = s[hot][np.argsort(rank[at[hot]], kind="stable")]
-                            first = np.concatenate([first, late[:p - len(first)]])
-                    else:
-                        first = s[:p]
+                    first = s[~hot][:p]
+                    if len(first) < p:
+                        late = s[hot]
+                        late = late[np.argsort(rank[np.searchsorted(heavy, late)], kind="stable")]
+                        first = np.concatenate([first, late[:p - len(first)]])
                     toks.append(first)
-                    fps.append(np.full(len(first), fp, np.int64))
-                    ns.append(np.full(len(first), len(s), np.int32))
-                    places.append(np.arange(len(first), dtype=np.int32))
+                    fps.append(fp)
+                    ns.append(len(s))
                 if len(seen) > 1 << 18:
                     seen.clear()
                 if toks:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(toks).view(np.int64)), pa.array(np.concatenate(fps)),
-                                                      pa.array(np.concatenate(ns)), pa.array(np.concatenate(places))], ["token", "fp", "n", "place"])
+                    sizes = np.array([len(t) for t in toks])
+                    columns = [pa.array(np.concatenate(toks).view(np.int64)), pa.array(np.repeat(np.array(fps, np.int64), sizes))]
+                    if places:
+                        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                        columns += [pa.array(np.repeat(np.array(ns, np.int32), sizes)), pa.array(place.astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays(columns, ["token", "fp", "n", "place"][:len(columns)])
 
     return run
 
@@ -268,9 +292,13 @@ def _probes(known: DataFrame):
 
 def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray) -> DataFrame:
     """Enough verified links (a, b) between distinct sets to connect every component."""
-    postings = docs.filter("doc_id is not null").select("text").mapInArrow(_prefixes(heavy, rank), "token bigint, fp bigint, n int, place int")
-    lists = postings.groupBy("token").agg(F.min("fp").alias("f0"), F.max("fp").alias("f1")).filter("f0 <> f1").select(F.col("token").alias("t"))
-    index = save(postings.join(lists, F.col("token") == F.col("t")).drop("t").distinct(), "index-lists")
+    named = docs.filter("doc_id is not null").select("text")
+    postings = named.mapInArrow(_prefixes(heavy, rank), "token bigint, fp bigint, n int, place int")
+    # n and place travel as one number
+    postings = postings.select("token", "fp", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("place")).alias("np"))
+    lists = named.mapInArrow(_prefixes(heavy, rank, places=False), "token bigint, fp bigint").groupBy("token").agg(F.min("fp").alias("f0"), F.max("fp").alias("f1")).filter("f0 <> f1").select(F.col("token").alias("t"))
+    index = postings.join(lists, F.col("token") == F.col("t")).drop("t").distinct()
+    index = save(index.select("token", "fp", F.shiftright("np", 32).cast("int").alias("n"), F.col("np").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")), "index-lists")
     hub = F.struct("fp", "n", "place")
     hubs = index.groupBy("token").agg(F.min(hub).alias("lo"), F.max(hub).alias("hi"))
     reps = sets.groupBy("fp").agg(F.min("doc_id").alias("rep"))
