@@ -2,10 +2,12 @@
 
 Vectors of a label are dealt by a hash into shards of about ``SHARD`` vectors; each
 shard gets its own graph. Every vector queries every shard of its label. Per shard
-and chunk of queries, beams are widened until the audit passes (audited queries are
-compared with the whole shard; at least ``RECALL`` of the links must be found), and a
-query whose beam is full of links goes on with a wider one, in the end with the whole
-shard. Found pairs are verified by their cosine in double precision; components are
+and block of queries, beams are widened until the audit passes, and a query whose beam
+is full of links goes on with a wider one, in the end with the whole shard. Audited
+queries are compared with the whole shard, as many as it takes to have ``AUDITED`` with
+links that fit a beam; of those that the graph answers, at least ``RECALL`` must get
+every link. A block with fewer such queries, or a shard in which no beam is less than
+1 / ``WIDE`` of it, is compared with the whole shard. Found pairs are verified by their cosine in double precision; components are
 the union over all shards.
 
 Equal vectors of a label are one class and are searched once. Links leave a task as
@@ -67,13 +69,15 @@ def links_in_shard(g: Graph, own: np.ndarray, q: np.ndarray, q_double: np.ndarra
     unit = own / np.linalg.norm(own, axis=1)[:, None]
     q_unit = q_double / np.linalg.norm(q_double, axis=1)[:, None]
 
-    def search(rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        found = []
+    def search(rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Links of ``rows``, and of all queries whether they were compared with the whole shard."""
+        found, whole = [], np.zeros(len(q), bool)
         while len(rows):
             if width >= n // WIDE:
                 s = q[rows] @ g.x.T
                 r, c = np.nonzero(s >= COSINE - SLACK)
                 found.append((rows[r], c))
+                whole[rows] = True
                 break
             ids, sims = g.search(q[rows], width)
             hit = sims >= COSINE - SLACK
@@ -86,14 +90,39 @@ def links_in_shard(g: Graph, own: np.ndarray, q: np.ndarray, q_double: np.ndarra
         for k in range(0, len(r), 1 << 16):
             part = slice(k, k + (1 << 16))
             ok[part] = np.einsum("nd,nd->n", q_unit[r[part]], unit[c[part]]) >= COSINE
-        return r[ok], c[ok]
+        return r[ok], c[ok], whole
 
-    audit = np.arange(0, len(q), max(1, len(q) // AUDITED))
-    true = int((q_unit[audit] @ unit.T >= COSINE).sum())
-    width = BEAM
-    while width < n // WIDE and len(search(audit, width)[0]) < RECALL * true:
+    def others(r: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Links of each query with vectors other than its own."""
+        out = np.zeros(len(q), int)
+        for k in range(0, len(r), 1 << 16):
+            part = slice(k, k + (1 << 16))
+            np.add.at(out, r[part], (q_double[r[part]] != own[c[part]]).any(1))
+        return out
+
+    everyone = np.arange(len(q))
+    if n // WIDE <= BEAM:
+        return search(everyone, n)[:2]
+    # compare with the whole shard until AUDITED queries are known whose links fit a beam, or all queries are answered
+    step = max(1, len(q) // AUDITED)
+    known, true = [], np.zeros(len(q), int)
+    for k in range(step):
+        known.append(search(everyone[k::step], n)[:2])
+        true += others(*known[-1])
+        if ((true > 0) & (true < BEAM)).sum() >= AUDITED:
+            break
+    audited = everyone % step <= k
+    # judged one by one: a query with many links must not make up for others, and what the whole shard answers proves nothing
+    width, asked = BEAM, everyone[audited & (true > 0)]
+    while width < n // WIDE and not audited.all():
+        r, c, whole = search(asked, width)
+        judged = asked[~whole[asked]]
+        if (others(r, c)[judged] == true[judged]).sum() >= RECALL * len(judged):
+            break
         width *= 2
-    return search(np.arange(len(q)), width)
+    known.append(search(everyone[~audited], width)[:2])
+    r, c = (np.concatenate(p) for p in zip(*known))
+    return r, c
 
 
 def answer(key, queries: pd.DataFrame, graphs: pd.DataFrame) -> pd.DataFrame:

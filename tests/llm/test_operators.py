@@ -138,6 +138,21 @@ def test_graph_search_finds_links():
     assert len(r) >= 0.99 * (unit[:800] @ unit.T >= 0.93).sum()
 
 
+def test_graph_audit_judges_each_query():
+    """A third of the shard is one group, the others are pairs that the graph can't reach: their links must not be lost."""
+    rng = np.random.default_rng(6)
+    own = np.repeat(rng.normal(size=(1000, 16)), 2, axis=0) + rng.normal(size=(2000, 16)) * 0.02
+    own = np.concatenate([own, rng.normal(size=16) + rng.normal(size=(1000, 16)) * 0.02])
+    own, x = embedding_dedup._unit(own)
+    reached = np.full((3000, 24), -1, np.int32)
+    reached[2000:] = 2000 + (np.arange(1000)[:, None] + np.concatenate([np.arange(1, 13), -np.arange(1, 13)])) % 1000
+    g = embedding_dedup.Graph(x, [reached], 2000)
+    unit = own / np.linalg.norm(own, axis=1)[:, None]
+    ask = rng.permutation(3000)[:512]
+    r, c = embedding_dedup.links_in_shard(g, own, x[ask], own[ask])
+    assert sorted(zip(r, c)) == sorted(zip(*np.nonzero(unit[ask] @ unit.T >= 0.93)))
+
+
 def test_quality_classifier(docs, labels):
     got = collect(mil_quality.classify(docs, labels))
     assert len(got) == docs.count()
