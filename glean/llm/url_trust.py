@@ -5,7 +5,9 @@ graph of hosts (an edge where a page of one host links to another host): trust i
 personalised PageRank from hosts whose pages the rules allow, along links; distrust
 starts at hosts whose pages the rules block and flows against the links, to those who
 link to them. A host's seed is the share of its pages; scores are scaled so that a
-host without links scores its seed. A page without a rule is blocked if its host's
+host without links scores its seed. Rounds go on until all that can still move, summed
+over hosts, is at most ``SETTLED``: a round moves at most ``DAMPING`` times what the one
+before moved, so the mass of the seeds says after how many rounds that holds. A page without a rule is blocked if its host's
 distrust exceeds its trust by more than ``MARGIN``.
 
 Edge cases: null urls and urls without ``://`` have an empty host and path, fit no
@@ -15,6 +17,8 @@ rows are judged each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +33,7 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-DAMPING, MARGIN, ROUNDS, SETTLED = 0.85, 0.5, 30, 1e-6
+DAMPING, MARGIN, SETTLED = 0.85, 0.5, 1e-6
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -69,7 +73,9 @@ def scores(judged: DataFrame) -> DataFrame:
     base = save(seeds.join(linked, "host", "full").select("host", F.coalesce("good", F.lit(0.0)).alias("good"),
                                                            F.coalesce("bad", F.lit(0.0)).alias("bad")), "host-seeds")
     now = base.select("host", "good", "bad", F.col("good").alias("trust"), F.col("bad").alias("distrust"))
-    for _ in range(ROUNDS):
+    mass = base.agg(F.coalesce(F.sum(F.col("good") + F.col("bad")), F.lit(0.0)).alias("m")).first()["m"]
+    rest = DAMPING / (1 - DAMPING)  # all later moves together, per unit of the last one
+    for _ in range(2 + max(0, math.ceil(math.log(max(mass, 1.0) * rest / SETTLED) / -math.log(DAMPING)))):
         state = now.select("host", "trust", "distrust")
         flow = (e.join(state, e["src"] == state["host"]).select(F.col("dst").alias("h"), (F.col("trust") * F.col("w_out")).alias("t"), F.lit(0.0).alias("d"))
                 .unionByName(e.join(state, e["dst"] == state["host"]).select(F.col("src").alias("h"), F.lit(0.0).alias("t"), (F.col("distrust") * F.col("w_in")).alias("d")))
@@ -78,10 +84,12 @@ def scores(judged: DataFrame) -> DataFrame:
             "host", "good", "bad", F.col("trust").alias("t0"), F.col("distrust").alias("d0"),
             (F.col("good") + DAMPING * F.coalesce("t", F.lit(0.0))).alias("trust"), (F.col("bad") + DAMPING * F.coalesce("d", F.lit(0.0))).alias("distrust"))
         step = save(step, "host-scores")
-        moved = step.agg(F.coalesce(F.max(F.greatest(F.abs(F.col("trust") - F.col("t0")), F.abs(F.col("distrust") - F.col("d0")))), F.lit(0.0)).alias("m")).first()["m"]
+        moved = step.agg(F.coalesce(F.sum(F.abs(F.col("trust") - F.col("t0")) + F.abs(F.col("distrust") - F.col("d0"))), F.lit(0.0)).alias("m")).first()["m"]
         now = step.drop("t0", "d0")
-        if moved <= SETTLED:
+        if moved * rest <= SETTLED:
             break
+    else:
+        raise RuntimeError("scores did not settle")
     return now.select("host", "trust", "distrust")
 
 

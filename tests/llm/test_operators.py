@@ -259,6 +259,22 @@ def test_urls(spark):
     assert got[6]["verdict"] == "block" and got[6]["distrust"] == pytest.approx(0.85)  # it links to a host whose pages are all blocked
 
 
+def test_url_scores_settle(spark):
+    """Cycles of hosts and a hub against an exact solve."""
+    edges = [("a.com", "b.com"), ("b.com", "c.com"), ("c.com", "a.com"), ("c.com", "hub.org"), ("x.net", "y.net"), ("y.net", "x.net"), ("hub.org", "x.net")]
+    urls = {"a.com": "/", "b.com": "/", "c.com": "/", "x.net": "/es/", "y.net": "/es/", "hub.org": "/"}
+    pages = [(k, f"http://{h}{p}", "".join(f'<a href="http://{d}/">' for s, d in edges if s == h)) for k, (h, p) in enumerate(urls.items())]
+    got = {r["host"]: r for r in collect(url_trust.judge(spark.createDataFrame(pages, "page_id long, url string, html string")))}
+    hosts = list(urls)
+    w = np.array([[(a, b) in edges for b in hosts] for a in hosts], float)
+    good, bad = (np.array([h.endswith(e) for h in hosts], float) for e in (".com", ".net"))
+    trust = np.linalg.solve(np.eye(6) - 0.85 * (w / np.maximum(w.sum(1, keepdims=True), 1)).T, good)
+    distrust = np.linalg.solve(np.eye(6) - 0.85 * (w / np.maximum(w.sum(0), 1)), bad)
+    for k, h in enumerate(hosts):
+        assert got[h]["trust"] == pytest.approx(trust[k], abs=1e-6) and got[h]["distrust"] == pytest.approx(distrust[k], abs=1e-6)
+    assert got["hub.org"]["verdict"] == ("block" if distrust[5] - trust[5] > 0.5 else "allow")
+
+
 def test_language(docs):
     network = byte_language.fit(docs)
     got = collect(byte_language.identify(docs, network))
