@@ -2,16 +2,17 @@
 
 Strong spans (assignments, access ids, long hex strings) are reported always. Weak
 candidates - user names, bare high-variety tokens, endpoints - are reported only
-when complementary parts co-occur: an interval join links parts of one scope (a
-paragraph) whose spans lie at most ``REACH`` code points apart.
+when complementary parts co-occur: an interval join places parts in scopes
+(paragraphs: what lies between blank lines), and all parts of a scope are linked,
+however far apart.
 
-* a user name needs a secret near by;
-* a bare token needs an identifier or an endpoint near by;
-* an endpoint needs an identifier and a secret near by.
+* a user name needs a secret in its scope;
+* a bare token needs an identifier or an endpoint in its scope;
+* an endpoint needs an identifier and a secret in its scope.
 
-The interval join is a sweep: parts of a scope in order of their start, running
-maxima of the ends before and running minima of the starts after, for each role. It
-costs a sort, however many parts lie close together, and emits no pairs.
+Parts of each role are counted by scope: no pairs are made, however many parts a
+scope has. A bare token has letters and digits of all three classes (digits, upper and
+lower case), or of two with at least ``VARIETY`` different characters.
 
 Edge cases: null and empty texts have no spans; a repeated (doc_id, text) row gets
 the same result each time; a null doc_id is a value like any other.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from glean.llm.common import save, table, with_columns_of
 from glean.llm.registry import query
 
-REACH = 400
+VARIETY = 10
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
@@ -59,8 +60,9 @@ def weak_spans(text: str, strong: list[tuple[int, int, int]]) -> list[tuple[int,
         out += [(m.start(), 5, m.end()) for m in _URL.finditer(text)]
     if any(len(w) >= 20 for w in text.split()):
         for m in _TOKEN.finditer(text):
-            w = m.group()
-            if any(c.isdigit() for c in w) and any("A" <= c <= "Z" for c in w) and any("a" <= c <= "z" for c in w):
+            w = set(m.group())
+            classes = any("0" <= c <= "9" for c in w) + any("A" <= c <= "Z" for c in w) + any("a" <= c <= "z" for c in w)
+            if classes == 3 or (classes == 2 and sum(c.isalnum() for c in w) >= VARIETY):
                 out.append((m.start(), 4, m.end()))
     if not out:
         return out
@@ -109,13 +111,11 @@ def _scan(batches):
 def linked(parts: DataFrame) -> DataFrame:
     """Interval join within scopes: of the exploded ``parts`` (doc_id, rid, scope, start, kind, end), the ones to report."""
     role = F.element_at(F.array(*[F.lit(ROLE[k]) for k in KINDS]), F.col("kind") + 1)
-    by = Window.partitionBy("doc_id", "rid", "scope").orderBy("start", "kind", "end")
-    before, after = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(1, Window.unboundedFollowing)
+    scope = Window.partitionBy("doc_id", "rid", "scope")
     p = parts.withColumn("role", role)
     for r in ("id", "secret", "endpoint"):
         mine = F.col("role") == r
-        p = p.withColumn(f"near_{r}", F.coalesce(F.max(F.when(mine, F.col("end"))).over(before) >= F.col("start") - REACH, F.lit(False))
-                         | F.coalesce(F.min(F.when(mine, F.col("start"))).over(after) <= F.col("end") + REACH, F.lit(False)))
+        p = p.withColumn(f"near_{r}", F.count_if(mine).over(scope) > mine.cast("int"))
     complete = (F.when(F.col("role") == "id", F.col("near_secret"))
                 .when(F.col("role") == "secret", F.col("near_id") | F.col("near_endpoint"))
                 .otherwise(F.col("near_id") & F.col("near_secret")))

@@ -183,6 +183,14 @@ def test_secrets(spark):
     assert masked[3] == {"[secret]\nkey [secret] here"} and masked[5] == {"user=alice"} and masked[1] == {None}
 
 
+def test_secrets_link_over_the_whole_paragraph(spark):
+    key, far = "k7x2q9m4w8z1v6t3b5n0", "word " * 100
+    t = [f"user=alice {far}{key} end", f"user=alice {far}\n\n{key} end", "user=alice internationalizations", f"user=alice {'z1' * 12}", "user=alice Q7X2M9W4Z8V1T6B3N5K0"]
+    docs = spark.createDataFrame(list(enumerate(t)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in collect(secret_linking.scan(docs))}
+    assert got == {0: "user:0:10,key:511:531", 1: "", 2: "", 3: "", 4: "user:0:10,key:11:31"}
+
+
 def test_quality_rules(docs, labels):
     got = {(r["doc_id"], r["n_words"]): r for r in collect(quality_rules.judge(docs, labels))}
     for i, t in texts():
