@@ -254,6 +254,15 @@ def sharing(grams: DataFrame, sets: DataFrame) -> DataFrame:
         "fp", "n", "comp", "s", F.array(*[f"k{c}" for c in range(CLASSES)]).alias("sig"))
 
 
+def _of_own_set(batches):
+    """The rows (fp, text) whose text has that set."""
+    for b in batches:
+        for i, j, buf, off in blocks(b.column("text")):
+            part = b.slice(i, j - i)
+            own = fingerprints(shingles(buf, off)) == part.column("fp").to_numpy()
+            yield pa.RecordBatch.from_arrays([part.column(k).filter(pa.array(own)) for k in ("fp", "text")], ["fp", "text"])
+
+
 def _may_share(n, s, sig, m, t, other):
     """Can sets of n and m shingles, s and t of them shared, have as many in common as a link takes?"""
     need = F.ceil((n + m) * PERCENT / (100 + PERCENT) - 1e-9)
@@ -303,7 +312,8 @@ def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray)
     hubs = index.groupBy("token").agg(F.min(hub).alias("lo"), F.max(hub).alias("hi"))
     reps = sets.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     used = index.select("fp").distinct().join(reps, "fp").withColumnRenamed("rep", "r")
-    texts = save(docs.join(used, F.col("doc_id") == F.col("r")).groupBy("fp").agg(F.min("text").alias("text"))
+    # a doc_id may come with several texts: a set gets one of its own
+    texts = save(docs.join(used, F.col("doc_id") == F.col("r")).select("fp", "text").mapInArrow(_of_own_set, "fp bigint, text string").groupBy("fp").agg(F.min("text").alias("text"))
                  if sets.groupBy("doc_id").count().filter("count > 1").limit(1).count() else
                  docs.join(used, F.col("doc_id") == F.col("r")).select("fp", "text"), "set-texts")
     pair = lambda h: F.when((F.col("fp") != F.col(f"{h}.fp")) & _possible(F.col("n"), F.col("place"), F.col(f"{h}.n"), F.col(f"{h}.place")),

@@ -105,6 +105,14 @@ def test_jaccard_join(docs):
     assert sorted(i for i in (r["doc_id"] for r in kept.collect()) if i is not None) == sorted({i for i in ids if i is not None and root[i] == i})
 
 
+def test_jaccard_join_with_two_texts_of_one_id(spark):
+    a, b, c = prose(41, 300), prose(42, 300), prose(43, 300)
+    edit = lambda t: t.replace(t.split()[150], "changed", 1)
+    rows = [(50, a), (50, b), (51, edit(a)), (52, edit(b)), (53, c), (54, None)]
+    got = collect(jaccard_join.similar(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(50, 50), (50, 50), (51, 50), (52, 50), (53, 53), (54, 54)]
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(40, 8))
