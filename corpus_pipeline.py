@@ -56,7 +56,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Tokenizer ids and a trained model can't be expressed in SQL; tests compare with brute force.
+#: Tokenizer ids and a trained model can't be expressed in SQL; tests/llm/test_pipeline.py compares each stage with brute force.
 ORACLE_SQL = None
 
 
