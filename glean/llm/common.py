@@ -120,6 +120,12 @@ def blocks(column, limit: int = BLOCK_BYTES):
         i = j
 
 
+def rows_of(batch: pa.RecordBatch, *names: str, step: int = 64):
+    """The rows of an Arrow batch as tuples, decoded a few at a time (long texts)."""
+    for at in range(0, batch.num_rows, step):
+        yield from zip(*[batch.column(n).slice(at, step).to_pylist() for n in names])
+
+
 def words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end (bytes) and row of each word; words never cross rows."""
     n = len(buf)

@@ -102,6 +102,9 @@ def _sets_and_heavy(batches):
         nonlocal tokens, counts, pending
         if pending:
             t = np.concatenate([tokens, *pending])
+            if not len(t):  # only null, empty or blank texts so far, or a few short ones
+                pending = []
+                return
             c = np.concatenate([counts, np.ones(sum(map(len, pending)), np.int64)])
             order = np.argsort(t, kind="stable")
             t, c = t[order], c[order]

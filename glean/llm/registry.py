@@ -23,11 +23,14 @@ def load_all() -> None:
         byte_language,
         embedding_dedup,
         jaccard_join,
+        license_markup,
         mil_quality,
         mixing,
         packing,
+        periodic_runs,
         quality_rules,
         secret_linking,
         suffix_dedup,
+        term_divergence,
         url_trust,
     )
