@@ -179,49 +179,54 @@ def _same(x: np.ndarray, i: int, j: int) -> int:
     return k
 
 
-def z_function(x: np.ndarray) -> np.ndarray:
-    """z[i]: the longest common prefix of x and x[i:] (z[0] = 0); linear, skipping words unlike the first."""
-    z = np.zeros(len(x), np.int64)
+def z_function(x: np.ndarray) -> dict[int, int]:
+    """{i: the longest common prefix of x and x[i:]} for the i > 0 where it isn't 0. Linear; words unlike the first are skipped."""
+    xs, n, z = x.tolist(), len(x), {}
+    if n > 96:
+        begins = (np.flatnonzero(x[1:] == x[0]) + 1).tolist()
+    else:
+        begins = [i for i in range(1, n) if xs[i] == xs[0]]
     left = right = 0
-    for i in (np.flatnonzero(x[1:] == x[0]) + 1).tolist() if len(x) else ():
-        have = 0
+    for i in begins:
+        k = 0
         if i < right:
-            have = int(z[i - left])
-            if have < right - i:
-                z[i] = have
+            k = z[i - left]  # x[i - left] is x[0] too
+            if k < right - i:
+                z[i] = k
                 continue
-            have = right - i
-        have += _same(x, have, i + have)
-        z[i] = have
-        if i + have > right:
-            left, right = i, i + have
+            k = right - i
+        few = min(n - i, k + 8)
+        while k < few and xs[k] == xs[i + k]:
+            k += 1
+        if k == few < n - i:
+            k += _same(x, k, i + k)
+        z[i] = k
+        if i + k > right:
+            left, right = i, i + k
     return z
 
 
 def fragments(x: np.ndarray, low: int, first: int, count: int, octave: int) -> list[tuple[int, int, int]]:
     """(period, start, end) of intervals of ``x[i] == x[i + period]`` around ``count`` boundaries; x begins at word ``low``."""
     s, p0, p1 = step_of(octave), 1 << octave, 2 << octave
+    n, bar = len(x), np.array([-1])
     open_: dict[int, list[int]] = {}
     out = []
     for c in range(first - low, first - low + count * s, s):
         after = z_function(x[c:c + s + p1])
-        back = x[max(0, c - s):c][::-1]
-        before = z_function(np.concatenate([back, [-1], x[max(0, c - s):c + p1 - 1][::-1]]))
-        top = min(p1, len(x) - c + 1)
-        p = np.arange(p0, top)
-        f = np.minimum(np.where(p < len(after), after[np.minimum(p, len(after) - 1)], 0), s) if len(after) else np.zeros(len(p), np.int64)
-        end = min(len(x), c + p1 - 1)  # the reversed part begins with word end - 1; the word before c + p is c + p - 1
-        at = len(back) + 1 + end - c - p
-        r = np.minimum(np.where((at > len(back)) & (at < len(before)), before[np.clip(at, 0, len(before) - 1)], 0), s)
-        use = (f + r > 0) & ((f == s) | (r == s) | (f + r >= np.maximum(MIN_WORDS - p, p)))
-        for q, a, e in zip(p[use].tolist(), (c - r[use]).tolist(), (c + f[use]).tolist()):
-            last = open_.get(q)
-            if last and a <= last[1]:
-                last[0], last[1] = min(last[0], a), max(last[1], e)
-            else:
-                if last:
-                    out.append((q, last[0] + low, last[1] + low))
-                open_[q] = [a, e]
+        back, end = x[max(0, c - s):c][::-1], min(n, c + p1 - 1)
+        before = z_function(np.concatenate([back, bar, x[max(0, c - s):end][::-1]])) if len(back) else {}
+        past = len(back) + 1 + end - c  # the reversed words begin with word end - 1; the word before c + p is c + p - 1
+        for q in {p for p in after if p0 <= p < p1} | {past - at for at in before if p0 <= past - at < p1}:
+            f, r = min(after.get(q, 0), s), min(before.get(past - q, 0), s)
+            if f == s or r == s or f + r >= shortest(q):
+                last = open_.get(q)
+                if last and c - r <= last[1]:
+                    last[0], last[1] = min(last[0], c - r), max(last[1], c + f)
+                else:
+                    if last:
+                        out.append((q, last[0] + low, last[1] + low))
+                    open_[q] = [c - r, c + f]
     return out + [(q, a + low, e + low) for q, (a, e) in open_.items()]
 
 
