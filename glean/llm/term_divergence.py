@@ -70,10 +70,11 @@ def _document_frequencies(batches):
     held: dict[str, Counter] = {}
 
     def flush():
-        rows = [(lang, t.decode("utf-8", "surrogatepass"), n) for lang, c in held.items() for t, n in c.items()]
-        held.clear()
-        for k in range(0, len(rows), 1 << 16):
-            yield pa.RecordBatch.from_pylist([dict(zip(("lang", "term", "n"), r)) for r in rows[k:k + (1 << 16)]], _TERM)
+        for lang in list(held):
+            counts = held.pop(lang)
+            n = len(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()).take(pa.array(np.zeros(n, np.int32))), pa.array(counts.keys(), pa.binary(), size=n).cast(pa.string()),
+                                              pa.array(np.fromiter(counts.values(), np.int64, n))], ["lang", "term", "n"])
 
     for b in batches:
         for lang, text in rows_of(b, "lang", "text"):
@@ -83,9 +84,6 @@ def _document_frequencies(batches):
     yield from flush()
 
 
-_TERM = pa.schema([("lang", pa.string()), ("term", pa.string()), ("n", pa.int64())])
-
-
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """lang, term: the vocabulary of each language."""
     found = texts(docs).select("lang", "text").mapInArrow(_document_frequencies, "lang string, term string, n long")
@@ -232,7 +230,7 @@ def _recounter(shared):
         machines: dict[str, list] = {}
         for lang, low, base, data in shared.value:
             machines.setdefault(lang, []).append((low, base, Transducer.from_bytes(data)))
-        known: dict[str, dict[bytes, int]] = {}
+        known: dict[str, dict[bytes, int]] = {}  # kept terms met so far
         held: dict[tuple[str, str], Counter] = {}
 
         def ordinal(lang, term):
@@ -243,30 +241,30 @@ def _recounter(shared):
             return -1
 
         def flush():
-            for (lang, source), counts in held.items():
-                memo = known.setdefault(lang, {})
-                if len(memo) > HELD:
-                    memo.clear()
-                ordinals, numbers = [-1], [0]
-                for term, n in counts.items():
-                    k = memo.get(term)
-                    if k is None:
-                        k = memo[term] = ordinal(lang, term)
-                    if k >= 0:
-                        ordinals.append(k)
-                        numbers.append(n)
-                size = len(ordinals)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * size, pa.string()), pa.array([source] * size, pa.string()),
-                                                  pa.array(ordinals, pa.int64()), pa.array(numbers, pa.int64())], schema=schema)
-            held.clear()
+            for lang, source in list(held):
+                counts = held.pop((lang, source))
+                size = len(counts)
+                same = pa.array(np.zeros(size, np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()).take(same), pa.array([source], pa.string()).take(same), pa.array(
+                    np.fromiter(counts.keys(), np.int64, size)), pa.array(np.fromiter(counts.values(), np.int64, size))], schema=schema)
 
         for b in batches:
             for lang, source, text in rows_of(b, "lang", "source", "text"):
-                counts = held.setdefault((lang, source), Counter())
+                counts = held.setdefault((lang, source), Counter({-1: 0}))
+                memo = known.setdefault(lang, {})
                 for piece in terms(text):
-                    counts.update(piece)
-            if sum(map(len, held.values())) > HELD:
-                yield from flush()
+                    for term, n in Counter(piece).items():
+                        k = memo.get(term)
+                        if k is None:
+                            k = ordinal(lang, term)
+                            if k < 0:
+                                continue
+                            if len(memo) > HELD:
+                                memo.clear()
+                            memo[term] = k
+                        counts[k] += n
+                if sum(map(len, held.values())) > HELD:
+                    yield from flush()
         yield from flush()
 
     return run
