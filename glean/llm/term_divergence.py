@@ -243,26 +243,28 @@ def _recounter(shared):
         def flush():
             for lang, source in list(held):
                 counts = held.pop((lang, source))
-                size = len(counts)
-                same = pa.array(np.zeros(size, np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()).take(same), pa.array([source], pa.string()).take(same), pa.array(
-                    np.fromiter(counts.keys(), np.int64, size)), pa.array(np.fromiter(counts.values(), np.int64, size))], schema=schema)
+                memo = known.setdefault(lang, {})
+                if len(memo) > HELD:
+                    memo.clear()
+                ordinals = list(map(memo.get, counts))
+                for i, term in enumerate(counts):
+                    if ordinals[i] is None:
+                        ordinals[i] = k = ordinal(lang, term)
+                        if k >= 0:
+                            memo[term] = k
+                ordinals = np.array(ordinals, np.int64)
+                kept = ordinals >= 0
+                ordinals = np.append(ordinals[kept], -1)  # -1: the group itself
+                numbers = np.append(np.fromiter(counts.values(), np.int64, len(counts))[kept], 0)
+                same = pa.array(np.zeros(len(ordinals), np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()).take(same), pa.array([source], pa.string()).take(same),
+                                                  pa.array(ordinals), pa.array(numbers)], schema=schema)
 
         for b in batches:
             for lang, source, text in rows_of(b, "lang", "source", "text"):
-                counts = held.setdefault((lang, source), Counter({-1: 0}))
-                memo = known.setdefault(lang, {})
+                counts = held.setdefault((lang, source), Counter())
                 for piece in terms(text):
-                    for term, n in Counter(piece).items():
-                        k = memo.get(term)
-                        if k is None:
-                            k = ordinal(lang, term)
-                            if k < 0:
-                                continue
-                            if len(memo) > HELD:
-                                memo.clear()
-                            memo[term] = k
-                        counts[k] += n
+                    counts.update(piece)
                 if sum(map(len, held.values())) > HELD:
                     yield from flush()
         yield from flush()
