@@ -6,7 +6,7 @@ runs the three branches, the cross-source first-wins dedup, augmentation and
 the group split, and writes ``training_data/`` as JSON Lines in one pass,
 partitioned by split (``split=train``, ``split=val``). ``extract_projects_job`` scans a folder tree for
 project files and writes the training samples (JSON Lines, with metadata) and
-the project-keyed component table. ``run_ts`` is passed in (never ``now()``),
+the nested project records. Counts are observed while writing; no output is read back. ``run_ts`` is passed in (never ``now()``),
 so reruns of a run write the same snapshot.
 """
 
@@ -17,13 +17,16 @@ from pyspark.sql import functions as F
 
 from glean.operators import corpus as C
 from glean.operators import projects as P
+from glean.operators import records as RC
+from glean.operators.scripts import extract_components
 from glean.plans.branches import code_branch, instruction_branch, qa_branch
+from glean.session import cut_lineage, save_table
 from glean.sources import jsonl as J
-from glean.sources.files import marker_files, scan_project_files
-from glean.operators.stats import count_by, volume_check
-from glean.sources.sinks import write_jsonl, write_projects
+from glean.sources.files import marker_files, scan_object_repositories, scan_project_files
+from glean.sources.sinks import write_once, write_projects
 
 EXAMPLE_COLUMNS = ["instruction", "input", "output"]
+CATEGORIES = ("full_action", "function", "library_function")
 
 
 def corpus_from_raw(spark: SparkSession, raw_dir: str, val_ratio: float = C.R.VAL_RATIO) -> DataFrame:
@@ -37,36 +40,31 @@ def corpus_from_raw(spark: SparkSession, raw_dir: str, val_ratio: float = C.R.VA
 def build_corpus_job(spark: SparkSession, raw_dir: str, out_dir: str, val_ratio: float = C.R.VAL_RATIO) -> dict:
     """Write the corpus once, partitioned by split: ``training_data/`` holds every
     row, ``training_data/split=train`` and ``.../split=val`` are the two sides.
-    One pass (the plan is not recomputed per output); returns paths and counts."""
+    Returns paths and counts, observed while writing."""
     corpus = corpus_from_raw(spark, raw_dir, val_ratio)
     out = f"{out_dir.rstrip('/')}/training_data"
-    written = write_jsonl(corpus, out, columns=EXAMPLE_COLUMNS + ["split"], partition_by=["split"])
-    counts = {"training_data": 0, "train": 0, "val": 0}
-    if written:
-        for r in spark.read.json(out).groupBy("split").count().collect():
-            counts[r["split"]] = r["count"]
-        counts["training_data"] = counts["train"] + counts["val"]
-    counts["paths"] = {"training_data": out, "train": f"{out}/split=train", "val": f"{out}/split=val"}
-    if written:
-        written_df = spark.read.json(out)
-        vol = volume_check(written_df, C.R.LOW_VOLUME).first()
-        counts["low_volume"] = bool(vol["low_volume"])
+    val = F.count_if(F.col("split") == "val")
+    seen = write_once(corpus.select(*EXAMPLE_COLUMNS, "split"), out, partition_by=["split"], val=val)
+    counts = {"training_data": seen["n"], "train": seen["n"] - seen["val"], "val": seen["val"],
+              "paths": {"training_data": out, "train": f"{out}/split=train", "val": f"{out}/split=val"}}
+    if seen["n"]:
+        counts["low_volume"] = seen["n"] < C.R.LOW_VOLUME
     return counts
 
 
-def extract_projects_job(spark: SparkSession, scan_dir: str, out_dir: str, run_ts: str | None = None) -> bool:
-    """Project files under ``scan_dir`` -> ``training_samples`` (JSON Lines in the
-    instruction-sample shape, read back by the corpus build) and ``projects``."""
-    files = scan_project_files(spark, scan_dir).filter(F.col("kind") != "project_marker")
-    samples = P.sample_metadata(P.extract_projects(files, marker_files(spark, scan_dir)))
-    out = out_dir.rstrip("/")
+def extract_projects_job(spark: SparkSession, scan_dir: str, out_dir: str, run_ts: str | None = None) -> dict:
+    """Project files under ``scan_dir`` -> ``uft_training_samples`` (JSON Lines in the
+    instruction-sample shape, read back by the corpus build) and ``projects`` (nested
+    records). Files are read and extracted once. Returns the samples written and, by category, their counts."""
+    files = scan_project_files(spark, scan_dir).filter(~F.col("kind").isin("project_marker", "object_repository"))
+    comp = save_table(extract_components(files.drop("content", "length")), "components")
+    members = cut_lineage(RC.valid_members(comp, marker_files(spark, scan_dir)))
+    samples = comp.select("file_id", P.file_samples(comp).alias("samples")).filter(F.size("samples") > 0)
+    samples = P.sample_metadata(P.generate_samples(members.join(samples, "file_id")))
     rows = samples.select("instruction", "input", "output", "source", "category", "metadata")
-    wrote = write_jsonl(rows, f"{out}/uft_training_samples", run_ts=run_ts)
-    write_projects(samples.drop("metadata"), f"{out}/projects")
-    return wrote
-
-
-def samples_by_category(spark: SparkSession, out_dir: str) -> dict:
-    """Summary of a written project scan: samples per category (read back, not recomputed)."""
-    path = f"{out_dir.rstrip('/')}/uft_training_samples"
-    return {r["category"]: r["n"] for r in count_by(spark.read.json(path), "category").collect()}
+    out = out_dir.rstrip("/")
+    by = {c: F.count_if(F.col("category") == c) for c in CATEGORIES}
+    seen = write_once(rows, f"{out}/uft_training_samples", run_ts=run_ts, **by)
+    objects = scan_object_repositories(spark, scan_dir, members.select("project").distinct())
+    write_projects(RC.project_records(comp, members, objects, run_ts), f"{out}/projects", run_ts=run_ts)
+    return {"written": seen["n"], "samples_by_category": {c: seen[c] for c in CATEGORIES if seen[c]}}

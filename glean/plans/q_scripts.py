@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from glean.functions import rules as R
 from glean.operators import projects as P
+from glean.operators import records as RC
 from glean.operators import scripts as SC
 from glean.operators.stats import count_by
 from glean.plans import duck as D
 from glean.plans.registry import query
 from glean.plans.tables import spread_table
 from glean.plans.views import duck_with, view
+from glean.session import save_table
 
 # --- DuckDB twins of the script kernels -------------------------------------------
 
@@ -345,3 +347,36 @@ def q_object_xml(spark, sf_dir):
 def q_drop_empty(spark, sf_dir):
     stats = P.project_stats(components(spark, sf_dir))
     return stats.select("project", F.col("valid").alias("kept"))
+
+
+# --- project records ------------------------------------------------------------------------
+
+#: Chunks of records in the query: small, so that projects of the test tables have several.
+RECORD_BYTES = 8 << 10
+
+D_RECORDS = duck_with("scripts", "project_markers", "object_entries") + D_COMP + f""", parts as (
+  select project, case when kind = 'action' then case when {d_name('path')} = 'Script.mts' then 0 else 1 end
+      when kind = 'library' then case when ends_with(path, '.qfl') then 2 else 3 end else 5 end as rank,
+    path as key, strlen(path) + strlen(coalesce(code, '')) as size, kind as section, path as file, code, functions, object_refs,
+    case kind when 'action' then action_name when 'library' then library_name end as name
+  from vpc where (kind in ('action', 'library') and non_blank) or kind = 'data_table'
+  union all
+  select project, 4, entry_name, strlen(entry_name) + strlen(entry_type), 'object', null, entry_type, null, null, entry_name
+  from (select * from object_entries where project in (select project from valid)
+    qualify row_number() over (partition by project, entry_name order by file_order desc) = 1)),
+chunked as (select *, (sum(size) over (partition by project order by rank, key rows between unbounded preceding and current row) - size) // {RECORD_BYTES} as chunk from parts)
+select project, chunk::bigint as chunk, section, row_number() over (partition by project, chunk, section order by rank, key) - 1 as pos, name, file,
+  case when section <> 'data_table' then md5(code) end as code_md5,
+  case when section in ('action', 'library') then array_to_string(list_transform(functions, lambda f: f.name || '(' || f.parameters || ')'), ';') end as functions,
+  case when section = 'action' then array_to_string(object_refs, ';') end as refs
+from chunked"""
+
+
+@query("project_records", "O-10", D_RECORDS)
+def q_records(spark, sf_dir):
+    """The components of the nested project records, read back out of their chunks."""
+    comp = SC.extract_components(scripts_view(spark, sf_dir))
+    members = RC.valid_members(comp, markers_view(spark, sf_dir))
+    entries = view(spark, sf_dir, "object_entries").select("project", "entry_name", "entry_type", "file_order", F.lit(0).alias("pos"), F.lit(False).alias("raw"))
+    records = RC.project_records(comp, members, SC.merge_objects(entries), chunk_bytes=RECORD_BYTES)
+    return RC.record_components(save_table(records, "records"))

@@ -75,3 +75,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     path = tempfile.mkdtemp(prefix="glean-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def save_table(df, name: str):
+    """``df`` written once as Parquet to the shared checkpoint folder and read back: unlike a
+    checkpoint, what follows reads only the columns it needs."""
+    import uuid
+
+    spark = df.sparkSession
+    folder = ensure_checkpoint_dir(spark)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    path = f"{folder.rstrip('/')}/glean-{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -68,7 +68,8 @@ def scan_object_repositories(spark: SparkSession, root: str, projects: DataFrame
     is_xml = body.startswith("<") & parsed.isNotNull() & parsed["_corrupt_record"].isNull()
     owned = assign_projects(files.select("file_id", "path"), projects).join(files, "file_id")
     keep = ("project", "path")
-    xml = object_entries_xml(owned.filter(is_xml), "text", keep).select(*keep, "pos", "entry_name", "entry_type", "raw")
-    binary = object_entries_binary(owned.filter(~is_xml), "raw_text", keep).select(
-        *keep, "pos", "entry_name", "entry_type", "raw")
+    names = [*keep, "pos", "entry_name", "entry_type", "properties", "raw"]
+    xml = object_entries_xml(owned.filter(is_xml), "text", keep).select(*names)
+    none = F.lit(None).cast(xml.schema["properties"].dataType)
+    binary = object_entries_binary(owned.filter(~is_xml), "raw_text", keep).withColumn("properties", none).select(*names)
     return merge_objects(xml.unionByName(binary), order=("path", "pos"))

@@ -24,9 +24,8 @@ PROJ = ("Public Function DoLogin(user, pass)\n  Browser(\"B\").Page(\"P\").WebEd
 def test_scan_then_build(spark, tmp):
     write(f"{tmp}/scan/projA/Test.tsp", "marker")
     write(f"{tmp}/scan/projA/Action1/Script.mts", PROJ + "' padding to pass one hundred characters in the action\n")
-    assert extract_projects_job(spark, f"{tmp}/scan", f"{tmp}/raw/your_scripts", run_ts="2024-01-02T03:04:05")
-    from glean.plans.jobs import samples_by_category
-    assert samples_by_category(spark, f"{tmp}/raw/your_scripts") == {"full_action": 1, "function": 1}
+    seen = extract_projects_job(spark, f"{tmp}/scan", f"{tmp}/raw/your_scripts", run_ts="2024-01-02T03:04:05")
+    assert seen == {"written": 2, "samples_by_category": {"full_action": 1, "function": 1}}
     samples = spark.read.json(f"{tmp}/raw/your_scripts/uft_training_samples")
     assert {r["category"] for r in samples.collect()} == {"full_action", "function"}
     write(f"{tmp}/raw/github/github_samples_1.jsonl", "\n".join([
@@ -61,7 +60,7 @@ def test_snapshots_of_two_runs_stay(spark, tmp):
     write(f"{tmp}/scan/projA/Test.tsp", "marker")
     write(f"{tmp}/scan/projA/Action1/Script.mts", PROJ + "' padding to pass one hundred characters in the action\n")
     for ts in ("2024-01-02T03:04:05", "2024-02-03T04:05:06"):
-        assert extract_projects_job(spark, f"{tmp}/scan", f"{tmp}/raw/your_scripts", run_ts=ts)
+        assert extract_projects_job(spark, f"{tmp}/scan", f"{tmp}/raw/your_scripts", run_ts=ts)["written"]
     runs = {r["run_id"] for r in spark.read.json(f"{tmp}/raw/your_scripts/uft_training_samples").collect()}
     assert runs == {"20240102_030405", "20240203_040506"}
 

@@ -74,9 +74,26 @@ def test_line_status(spark):
     assert got == ["ok", "malformed", "blank", "blank", "malformed"]
 
 
-def test_project_sink(spark, tmp):
-    from glean.sources.sinks import write_projects
-    df = spark.createDataFrame([("/w/p", "p", 1, "function")], "project string, project_name string, file_id long, category string")
-    assert write_projects(df, f"{tmp}/projects")
-    assert spark.read.parquet(f"{tmp}/projects").count() == 1
-    assert not write_projects(df.limit(0), f"{tmp}/none")
+def test_an_empty_result_keeps_what_was_there(spark, tmp):
+    df = spark.createDataFrame([("a",)], "output string")
+    assert write_jsonl(df, f"{tmp}/out") and not write_jsonl(df.limit(0), f"{tmp}/out")
+    assert [r["output"] for r in spark.read.json(f"{tmp}/out").collect()] == ["a"]
+    assert write_jsonl(df.withColumn("output", F.lit("b")), f"{tmp}/out")
+    assert [r["output"] for r in spark.read.json(f"{tmp}/out").collect()] == ["b"]
+    assert os.listdir(tmp) == ["out"]
+
+
+def test_writing_computes_the_result_once(spark, tmp):
+    """Rows, metrics and the empty guard come from one pass over the input."""
+    from glean.sources.sinks import write_once
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = spark.range(1000).mapInPandas(look, "id long")
+    got = write_once(df, f"{tmp}/out", even=F.count_if(F.col("id") % 2 == 0))
+    assert got == {"n": 1000, "even": 500} and seen.value == 1000
