@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from glean.functions import rules as R
 from glean.functions.text import col_of
-from glean.operators.dedup import dedup_first
+from glean.operators.dedup import dedup_first, dedup_late
 
 HASH_BUCKETS = 1_000_000
 
@@ -26,8 +26,9 @@ def union_sources(*dfs: DataFrame) -> DataFrame:
 
 def dedup_corpus(df: DataFrame, key: str = "output_key",
                  order=("src_rank", "src_path", "src_pos")) -> DataFrame:
-    """One seen-set across all sources: the first row by source, file, position wins."""
-    return dedup_first(df, key, list(order))
+    """One seen-set across all sources: the first row by source, file, position wins.
+    Rows with their texts take the late way; rows without, one aggregate."""
+    return (dedup_late if "output" in df.columns else dedup_first)(df, key, list(order))
 
 
 def augment(df: DataFrame, rewrites=R.AUGMENT_REWRITES, col: str = "instruction") -> DataFrame:

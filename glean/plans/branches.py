@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from glean.functions import rules as R
 from glean.functions.text import with_computed
 from glean.operators.clean import clean_code_col
-from glean.operators.dedup import dedup_first, output_key
+from glean.operators.dedup import dedup_late, output_key
 from glean.operators.label import instruction_of, task_of, title_instruction
 from glean.operators.validate import code_is_valid
 
@@ -44,7 +44,7 @@ def code_branch(samples: DataFrame, dedup: bool = True) -> DataFrame:
           .withColumn("src_rank", F.lit(RANK_CODE))
           .select("output", "output_key", "language", "description", *ORDER))   # raw code stays behind
     if dedup:
-        df = dedup_first(df, "output_key", ORDER)
+        df = dedup_late(df, "output_key", ORDER)
     df = (df.withColumn("task", task_of(F.col("output"), F.col("description")))
             .withColumn("instruction", instruction_of(F.col("task"), F.col("language"), F.col("output_key")))
             .withColumn("input", F.lit(""))
@@ -75,7 +75,7 @@ def qa_branch(pairs: DataFrame, dedup: bool = True) -> DataFrame:
                .withColumn("src_rank", F.lit(RANK_QA))
                .select("output", "output_key", "title", "question", "tags", *ORDER))
     if dedup:
-        df = dedup_first(df, "output_key", ORDER)
+        df = dedup_late(df, "output_key", ORDER)
     df = (df.withColumn("language", R.language_from_tag_array(F.coalesce(F.col("tags"), F.array().cast("array<string>"))))
             .withColumn("instruction", title_instruction(F.col("title")))
             .withColumn("input", F.substring(F.coalesce(F.col("question"), F.lit("")), 1, 500))
@@ -98,7 +98,7 @@ def instruction_branch(samples: DataFrame, dedup: bool = True) -> DataFrame:
                  .withColumn("src_rank", F.lit(RANK_INSTRUCTIONS))
                  .select("instruction", "input", "output", "output_key", *ORDER))
     if dedup:
-        df = dedup_first(df, "output_key", ORDER)
+        df = dedup_late(df, "output_key", ORDER)
     df = (df.withColumn("language", F.lit("vbscript"))
             .withColumn("source", F.lit("your_scripts")))
     return df.select(*CORPUS_COLUMNS)

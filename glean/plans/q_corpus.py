@@ -125,10 +125,15 @@ def q_build(spark, sf_dir):
                                               "output_key", "split")
 
 
+def narrow_corpus(spark, sf_dir):
+    """The deduplicated corpus without its texts: what counts, order and split need."""
+    return C.dedup_corpus(corpus_rows(spark, sf_dir).select("source", "instruction", "output_key", "src_rank", "src_path", "src_pos"))
+
+
 @query("corpus_split", "O-77", D_CORPUS + """
 select split, count(*) as n_rows, count(distinct output_key) as n_groups from corpus group by split""")
 def q_split(spark, sf_dir):
-    s = build_corpus(spark, sf_dir)
+    s = C.split_corpus(C.augment(narrow_corpus(spark, sf_dir)))
     return s.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("output_key").alias("n_groups"))
 
 
@@ -137,7 +142,7 @@ select case when grouping(source) = 1 then '(all)' else source end as source_lab
   grouping(source) = 1 as is_total
 from deduped group by rollup(source)""")
 def q_source_counts(spark, sf_dir):
-    c = count_by(C.dedup_corpus(corpus_rows(spark, sf_dir)), "source", total=True)
+    c = count_by(narrow_corpus(spark, sf_dir), "source", total=True)
     return c.select(F.when(F.col("is_total"), F.lit("(all)")).otherwise(F.col("source")).alias("source_label"),
                     "n", "is_total")
 
@@ -145,13 +150,13 @@ def q_source_counts(spark, sf_dir):
 @query("corpus_volume_check", "O-56", D_CORPUS + f"""
 select count(*) as n_examples, count(*) < {R.LOW_VOLUME} as low_volume from augmented""")
 def q_volume(spark, sf_dir):
-    return volume_check(C.augment(C.dedup_corpus(corpus_rows(spark, sf_dir))), R.LOW_VOLUME)
+    return volume_check(C.augment(narrow_corpus(spark, sf_dir)), R.LOW_VOLUME)
 
 
 @query("corpus_seeded_order", "O-58", D_CORPUS + """
 select output_key, ('0x' || substr(md5('glean' || output_key), 1, 15))::bigint as shuffle_key from deduped""")
 def q_seeded_order(spark, sf_dir):
-    return C.seeded_order(C.dedup_corpus(corpus_rows(spark, sf_dir))).select("output_key", "shuffle_key")
+    return C.seeded_order(narrow_corpus(spark, sf_dir)).select("output_key", "shuffle_key")
 
 
 @query("batch_anti_dedup", "X-2", D_CORPUS + """
