@@ -9,6 +9,11 @@ Semantics follow Python's ``html.parser`` tree as a soup library exposes it:
   of the document joins them with newlines;
 * the parser decodes character references in text once (``html.unescape``).
 
+Every pass is linear. A tag, comment, script or style that never ends would be searched to
+the end of the text from each place where it could begin, so such beginnings (those after
+the last possible end) are marked before the searches and restored after. The characters
+used as marks may occur in pages: they are escaped first, and come back as they were.
+
 No HTML library is needed: tags are matched with regular expressions, text is
 assembled with split/transform/join, and entity decoding runs JVM-side for the
 common entities. Only rows that still hold another reference are sent to
@@ -38,7 +43,9 @@ SLOW_REFERENCE = "&(?!(?:%s);)[#A-Za-z]" % _FAST_NAMES
 TAG = r"</?[A-Za-z][^>]*>"
 SEP = "\ue000"          # stands for "a node boundary" while text is assembled
 OPEN, CLOSE = "\ue001", "\ue002"   # delimit an outermost code block
-IGNORABLE = (r"(?s)<!--.*?-->|(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<![^>]*>|<\?[^>]*>")
+ESCAPE, LATER, NEVER = "\ue003", "\ue004", "\ue005"   # escapes a mark; "<" of a comment, script or style without end; "<" of a tag without end
+MARKS = SEP + OPEN + CLOSE + LATER + NEVER
+IGNORABLE = (r"(?s)<!--.*?-->|(?is)<(script|style)\b[^>]*>.*?</\1\s*>|[<%s]![^>]*>|<\?[^>]*>" % LATER)
 BLOCK = r"(?is)<(pre|code)\b[^>]*>(.*?)(?:</\1\s*>|\z)"
 BLOCK_STARTS = r"(?is)(?=<(pre|code)\b[^>]*>(.*?)(?:</\1\s*>|\z))"
 
@@ -95,17 +102,76 @@ def unescape_all(arr) -> Column:
     return F.coalesce(_unescape_arrays(F.when(needs, arr)), fast)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def escape_marks(c) -> Column:
+    """The text without mark characters: each becomes ESCAPE and a letter, as does ESCAPE itself."""
+    def escaped(x):
+        out = F.replace(x, F.lit(ESCAPE), F.lit(ESCAPE + "z"))
+        for k, m in enumerate(MARKS):
+            out = F.replace(out, F.lit(m), F.lit(ESCAPE + chr(97 + k)))
+        return out
+    return let(col_of(c), lambda x: F.when(x.rlike("[%s%s]" % (ESCAPE, MARKS)), escaped(x)).otherwise(x))
+
+
+def restore_marks(c) -> Column:
+    def restored(x):
+        for k, m in enumerate(MARKS):
+            x = F.replace(x, F.lit(ESCAPE + chr(97 + k)), F.lit(m))
+        return F.replace(x, F.lit(ESCAPE + "z"), F.lit(ESCAPE))
+    return let(col_of(c), lambda x: F.when(F.contains(x, F.lit(ESCAPE)), restored(x)).otherwise(x))
+
+
+def _after_last(c: Column, end: str, begin: str, mark: str, fold: str = "") -> Column:
+    """``c`` with ``mark`` for each ``begin`` (a "<") that comes after the last ``end``, whatever the case of the letters in ``fold``."""
+    # One step finds the cut, the next uses it: a body that names the variable of another would keep Python UDFs from being planned.
+    def cut(folded):
+        return lambda x: F.struct(x.alias("s"), (F.length(x) - F.length(F.substring_index(folded(x), end, -1))).alias("n"))
+
+    def marked(y):
+        tail = F.substring(y["s"], y["n"] + 1, F.length(y["s"]))
+        return F.concat(F.substring(y["s"], F.lit(1), y["n"]), F.regexp_replace(tail, begin, mark))
+
+    if not fold:
+        return let(c, lambda x: F.when(F.substring_index(x, end, -1).rlike(begin), let(let(x, cut(lambda v: v)), marked)).otherwise(x))
+    # Mostly the end as written is behind every beginning; only else is the text folded.
+    return let(c, lambda x: F.when(F.substring_index(x, end, -1).rlike(begin), let(let(x, cut(lambda v: F.translate(v, fold.upper(), fold))), marked)).otherwise(x))
+
+
+def mark_unended(c) -> Column:
+    """Beginnings that have no end after them are marked, so that no search for the end is made there."""
+    def when_open(x):  # the last "<" has no ">" after it
+        tail = F.substring_index(x, ">", -1)
+        return F.when(x.rlike(r"<[^<>]*\z"), F.concat(F.substring(x, F.lit(1), F.length(x) - F.length(tail)), F.replace(tail, F.lit("<"), F.lit(NEVER)))).otherwise(x)
+
+    c = let(col_of(c), when_open)
+    c = _after_last(c, "-->", "<(?=!--)", LATER)
+    for name in ("script", "style"):
+        c = _after_last(c, "</" + name, r"(?i)<(?=%s\b)" % name, LATER, "".join(sorted(set(name))))
+    return c
+
+
 def drop_ignorable(html, replacement: str = "") -> Column:
-    return F.regexp_replace(col_of(html), IGNORABLE, replacement)
+    """Without comments, declarations, instructions, scripts and styles; the "<" of tags without end stay marked (NEVER)."""
+    return F.replace(F.regexp_replace(mark_unended(html), IGNORABLE, replacement), F.lit(LATER), F.lit("<"))
+
+
+def restore_all(c) -> Column:
+    """Marked "<" and escaped characters as they were."""
+    return restore_marks(F.replace(col_of(c), F.lit(NEVER), F.lit("<")))
 
 
 def code_blocks(html, min_len: int = 21) -> Column:
     """Text of every ``pre`` and ``code`` element in document order (a ``code``
     inside a ``pre`` gives a second entry), stripped, kept if at least
-    ``min_len`` characters long."""
-    clean = drop_ignorable(F.coalesce(col_of(html), F.lit("")))
+    ``min_len`` characters long. An element that doesn't end runs to the end of
+    the text, so unended elements within each other give as much text as they hold."""
+    clean = drop_ignorable(escape_marks(F.coalesce(col_of(html), F.lit(""))))
     inner = F.regexp_extract_all(clean, F.lit(BLOCK_STARTS), 2)
-    texts = unescape_all(F.transform(inner, lambda x: F.regexp_replace(x, TAG, "")))
+    texts = unescape_all(F.transform(inner, lambda x: restore_all(F.regexp_replace(x, TAG, ""))))
     return F.filter(F.transform(texts, py_strip), lambda x: F.length(x) >= min_len)
 
 
@@ -126,17 +192,18 @@ def html_to_text(html) -> Column:
     the parser, once more afterwards); 3+ newlines become 2; the ends are
     stripped.
     """
-    h = drop_ignorable(F.coalesce(col_of(html), F.lit("")), SEP)
+    h = drop_ignorable(escape_marks(F.coalesce(col_of(html), F.lit(""))), SEP)
     marked = F.regexp_replace(h, BLOCK, OPEN + "$2" + CLOSE)
-    pieces = F.split(marked, OPEN, -1)
-    head = _outside(F.element_at(pieces, 1))
-    rest = F.transform(F.slice(pieces, 2, 1 << 30), lambda p: F.concat(
-        _block(F.substring_index(p, CLOSE, 1)),
-        _outside(F.regexp_extract(p, "(?s)^[^%s]*%s(.*)$" % (CLOSE, CLOSE), 1))))
-    text = F.concat(head, F.array_join(rest, ""))
-    text = F.regexp_replace(text, SEP + "+", SEP)
+
+    def rendered(pieces):
+        rest = F.transform(F.slice(pieces, 2, 1 << 30), lambda p: F.concat(
+            _block(F.substring_index(p, CLOSE, 1)),
+            _outside(F.regexp_extract(p, "(?s)^[^%s]*%s(.*)$" % (CLOSE, CLOSE), 1))))
+        return F.concat(_outside(F.element_at(pieces, 1)), F.array_join(rest, ""))
+
+    text = F.regexp_replace(let(F.split(marked, OPEN, -1), rendered), SEP + "+", SEP)
     text = F.replace(F.trim(text, F.lit(SEP)), F.lit(SEP), F.lit("\n"))
-    text = unescape_twice(text)
+    text = unescape_twice(restore_all(text))
     return py_strip(collapse_newlines(text))
 
 
