@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from glean.functions import rules as R
 from glean.functions.text import col_of
 from glean.operators.dedup import dedup_first, dedup_late
+from glean.session import cut_lineage
 
 HASH_BUCKETS = 1_000_000
 
@@ -56,14 +57,57 @@ def seeded_order(df: DataFrame, key: str = "output_key", seed: str = "glean") ->
 
 
 def split_corpus(df: DataFrame, val_ratio: float = R.VAL_RATIO, group: str = "output_key",
-                 seed: str = "split") -> DataFrame:
-    """Train/validation split by group: a row is validation when its group's
-    hash bucket falls below ``val_ratio``. All rows of a group (an output and
-    its augmented variants) land on one side, so nothing leaks; no global sort
-    or single-task window is needed. The validation share is ``val_ratio`` in
-    expectation rather than exactly ``floor(n * val_ratio)`` rows."""
-    threshold = int(round(val_ratio * HASH_BUCKETS))
-    return df.withColumn("split", F.when(hash_bucket(F.col(group), seed) < threshold, "val").otherwise("train"))
+                 seed: str = "split", exact: bool = False) -> DataFrame:
+    """Train/validation split by group: a row is validation when its group's hash is
+    small enough. All rows of a group (an output and its augmented variants) land on
+    one side, so nothing leaks; no global sort or single-task window is needed.
+
+    By default the bound is ``val_ratio`` of the hash range: the share holds in
+    expectation. With ``exact`` it is the hash of the ``int(n * val_ratio)``-th
+    smallest of the n groups (``kth_smallest``): exactly so many groups validate.
+    """
+    if not exact:
+        threshold = int(round(val_ratio * HASH_BUCKETS))
+        return df.withColumn("split", F.when(hash_bucket(F.col(group), seed) < threshold, "val").otherwise("train"))
+    groups = cut_lineage(df.select(F.col(group).alias("k")).distinct().withColumn("h", hash_60(F.col("k"), seed)))
+    last = kth_smallest(groups, int(groups.count() * val_ratio))
+    if last is None:
+        return df.withColumn("split", F.lit("train"))
+    h, k = hash_60(F.col(group), seed), F.col(group).cast("string")
+    inside = (h < last[0]) | ((h == last[0]) & (F.coalesce(k, F.lit("")) <= (last[1] or "")))
+    return df.withColumn("split", F.when(inside, "val").otherwise("train"))
+
+
+def hash_60(key, seed: str) -> Column:
+    """60 bits of md5(seed || key); a null key hashes as an empty one."""
+    text = F.concat(F.lit(seed), F.coalesce(col_of(key).cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def kth_smallest(values: DataFrame, k: int, bits: int = 60, digit: int = 15, few: int = 4096):
+    """(h, k) of the ``k``-th smallest row of ``values`` (h: long below 2**bits, k: its key, breaking ties); None if k is 0.
+
+    Distributed selection: each pass counts the rows by the next ``digit`` bits of h among those that share the
+    bits found so far (at most 2**digit counts come back) and goes on in the bucket that holds the k-th.
+    """
+    if k <= 0:
+        return None
+    left, at, shift = values, k, bits
+    while shift > 0:
+        shift = max(0, shift - digit)
+        by = F.shiftright(F.col("h"), shift)
+        counts = sorted((r["b"], r["n"]) for r in left.groupBy(by.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+        for b, n in counts:
+            if at <= n:
+                break
+            at -= n
+        else:
+            raise ValueError(f"fewer than {k} rows")
+        left = left.filter(by == b)
+        if n <= few:
+            break
+    row = left.orderBy("h", F.coalesce(F.col("k").cast("string"), F.lit(""))).limit(at).orderBy(F.desc("h"), F.desc(F.coalesce(F.col("k").cast("string"), F.lit("")))).first()
+    return row["h"], row["k"]
 
 
 def leakage(split_df: DataFrame, group: str = "output_key") -> DataFrame:

@@ -44,11 +44,25 @@ def render_chat(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
                     F.count(F.lit(1)).alias("n_turns")))
 
 
-def length_budget(df: DataFrame, text: str = "text", budgets=BUDGETS) -> DataFrame:
-    """Token estimate and, per budget, the kept length and whether it was truncated."""
+#: A token with the white space before it: these pieces, joined, are the text up to a token's end.
+PIECE = regex_class(PY_WHITESPACE) + "*(?:" + TOKEN + ")"
+
+
+def first_tokens(text, n: int) -> Column:
+    """The text up to the end of its ``n``-th token; the whole text if it has no more than ``n``."""
+    c = F.coalesce(col_of(text), F.lit(""))
+    cut = F.array_join(F.slice(F.regexp_extract_all(c, F.lit(PIECE), 0), 1, n), "")
+    return F.when(token_count(c) > n, cut).otherwise(c)
+
+
+def length_budget(df: DataFrame, text: str = "text", budgets=BUDGETS, keep: bool = False) -> DataFrame:
+    """Token estimate (``n_tokens``) and, per budget, whether the text is truncated and how many tokens stay
+    (``kept_<b>``; labels are the same tokens). ``keep`` adds the cut text itself (``text_<b>``)."""
     out = df.withColumn("n_tokens", token_count(F.col(text)))
     for b in budgets:
-        out = out.withColumn(f"truncated_{b}", F.col("n_tokens") > b)
+        out = out.withColumn(f"truncated_{b}", F.col("n_tokens") > b).withColumn(f"kept_{b}", F.least(F.col("n_tokens"), F.lit(b)))
+        if keep:
+            out = out.withColumn(f"text_{b}", first_tokens(F.col(text), b))
     return out
 
 

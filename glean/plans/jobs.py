@@ -34,12 +34,12 @@ def corpus_from_raw(spark: SparkSession, raw_dir: str, val_ratio: float = C.R.VA
     qa = qa_branch(J.read_qa(spark, raw_dir), dedup=False)
     inst = instruction_branch(J.read_instruction_samples(spark, raw_dir), dedup=False)
     deduped = C.dedup_corpus(C.union_sources(code, qa, inst))
-    return C.split_corpus(C.augment(deduped), val_ratio)
+    return C.split_corpus(C.augment(deduped), val_ratio, exact=True)
 
 
 def build_corpus_job(spark: SparkSession, raw_dir: str, out_dir: str, val_ratio: float = C.R.VAL_RATIO) -> dict:
     """Write the corpus once, partitioned by split: ``training_data/`` holds every
-    row, ``training_data/split=train`` and ``.../split=val`` are the two sides.
+    row, ``training_data/split=train`` and ``.../split=val`` are the two sides (int(n * val_ratio) of the n outputs validate).
     Returns paths and counts, observed while writing."""
     corpus = corpus_from_raw(spark, raw_dir, val_ratio)
     out = f"{out_dir.rstrip('/')}/training_data"

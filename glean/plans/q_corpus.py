@@ -137,6 +137,16 @@ def q_split(spark, sf_dir):
     return s.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("output_key").alias("n_groups"))
 
 
+@query("corpus_split_exact", "O-77", D_CORPUS + f"""
+, g as (select output_key, count(*) as n_rows, ('0x' || substr(md5('split' || output_key), 1, 15))::bigint as h from augmented group by output_key),
+r as (select *, row_number() over (order by h, output_key) as k, count(*) over () as n from g)
+select output_key, n_rows, case when k <= floor(n * {R.VAL_RATIO}) then 'val' else 'train' end as split from r""")
+def q_split_exact(spark, sf_dir):
+    """Every output, its rows and its side: exactly int(n * ratio) of the n outputs validate."""
+    s = C.split_corpus(C.augment(narrow_corpus(spark, sf_dir)), exact=True)
+    return s.groupBy("output_key").agg(F.count(F.lit(1)).alias("n_rows"), F.max("split").alias("split"))
+
+
 @query("corpus_source_counts", "O-55", D_CORPUS + """
 select case when grouping(source) = 1 then '(all)' else source end as source_label, count(*) as n,
   grouping(source) = 1 as is_total
@@ -187,10 +197,24 @@ def q_chat(spark, sf_dir):
 
 
 @query("length_budget", "O-61", WC + D_CHATS + """
-select conv_id, n_tokens, n_tokens > 1024 as truncated_1024, n_tokens > 2048 as truncated_2048, n_tokens > 4096 as truncated_4096 from tok""")
+select conv_id, n_tokens, n_tokens > 1024 as truncated_1024, n_tokens > 2048 as truncated_2048, n_tokens > 4096 as truncated_4096,
+  least(n_tokens, 1024) as kept_1024, least(n_tokens, 2048) as kept_2048, least(n_tokens, 4096) as kept_4096 from tok""")
 def q_length_budget(spark, sf_dir):
-    return TV.length_budget(chats(spark, sf_dir)).select("conv_id", "n_tokens", "truncated_1024",
-                                                          "truncated_2048", "truncated_4096")
+    return TV.length_budget(chats(spark, sf_dir)).select("conv_id", "n_tokens", *[f"{c}_{b}" for c in ("truncated", "kept") for b in TV.BUDGETS])
+
+
+#: Budgets of the query that returns cut texts: below the trainers' own, so that texts of every table are cut.
+SHORT_BUDGETS = (32, 128, 1024)
+
+
+@query("truncated_texts", "O-61", WC + D_CHATS + ", c as (select conv_id, text, n_tokens, unnest([" + ", ".join(map(str, SHORT_BUDGETS)) + f"""]) as budget from chats join tok using (conv_id))
+select conv_id, budget::bigint as budget, least(n_tokens, budget) as n_kept, case when n_tokens > budget
+  then array_to_string(list_slice(regexp_extract_all(text, {D.lit(TV.PIECE)}), 1, budget), '') else text end as text from c""")
+def q_truncated(spark, sf_dir):
+    """Chat texts cut at the end of their n-th token, per budget."""
+    t = TV.length_budget(chats(spark, sf_dir), budgets=SHORT_BUDGETS, keep=True)
+    per = F.array(*[F.struct(F.lit(b).cast("long").alias("budget"), F.col(f"kept_{b}").alias("n_kept"), F.col(f"text_{b}").alias("text")) for b in SHORT_BUDGETS])
+    return t.select("conv_id", F.inline(per))
 
 
 @query("padding_account", "O-62", WC + D_CHATS + """
@@ -290,8 +314,8 @@ p as (select src_pos, case when length(input) > 0
   else '### Instruction:' || chr(10) || instruction || chr(10) || chr(10) || '### Response:' || chr(10) || output end as text from d),
 t as (select src_pos, len(regexp_extract_all(text, {D.lit(TV.TOKEN)})) as n_tokens from p)
 select src_pos, n_tokens, n_tokens > 1024 as truncated_1024, n_tokens > 2048 as truncated_2048,
-  n_tokens > 4096 as truncated_4096 from t""")
+  n_tokens > 4096 as truncated_4096, least(n_tokens, 1024) as kept_1024, least(n_tokens, 2048) as kept_2048, least(n_tokens, 4096) as kept_4096 from t""")
 def q_prompt_length(spark, sf_dir):
     """The trainers' view: instruction prompts measured against the 1024/2048/4096 budgets."""
     prompts = C.format_prompt(instruction_branch(inst_view(spark, sf_dir)))
-    return TV.length_budget(prompts).select("src_pos", "n_tokens", "truncated_1024", "truncated_2048", "truncated_4096")
+    return TV.length_budget(prompts).select("src_pos", "n_tokens", *[f"{c}_{b}" for c in ("truncated", "kept") for b in TV.BUDGETS])
