@@ -225,33 +225,66 @@ def object_entries_binary(df: DataFrame, text: str = "raw_text", keep=("project"
     return runs.filter(cond).withColumn("entry_type", F.lit("extracted")).withColumn("raw", F.lit(True))
 
 
-XML_START_TAG = "<([A-Za-z_][\\w.:-]*)((?:\\s+[\\w.:-]+\\s*=\\s*(?:\"[^\"]*\"|'[^']*'))*)\\s*/?>"
-XML_ATTR = "([\\w.:-]+)\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)')"
-XML_NAME = "\\sName\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)')"
-XML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]
+_ENTRY = "pos int, entry_name string, entry_type string, properties array<struct<key: string, value: string>>, raw boolean"
 
 
-def xml_text(c) -> Column:
-    for k, v in XML_ENTITIES:
-        c = F.replace(c, F.lit(k), F.lit(v))
-    return c
+def xml_elements(document: bytes | str) -> list[tuple[str, list[tuple[str, str]]]] | None:
+    """(tag, attributes) of every element with a ``Name``, in document order; None if it isn't well-formed XML.
+
+    Names in a namespace are written ``{uri}name``. Events stream through the parser: no tree is held.
+    """
+    from xml.parsers import expat
+
+    found: list[tuple[str, list[tuple[str, str]]]] = []
+
+    def full(name):
+        return "{" + name if "}" in name else name
+
+    def start(tag, attributes):
+        pairs = [(full(attributes[i]), attributes[i + 1]) for i in range(0, len(attributes), 2)]
+        if any(k == "Name" for k, _ in pairs):
+            found.append((full(tag), pairs))
+
+    parser = expat.ParserCreate(namespace_separator="}")
+    parser.ordered_attributes = True
+    parser.StartElementHandler = start
+    try:
+        parser.Parse(document, True)
+    except (expat.ExpatError, ValueError, LookupError):
+        return None
+    return found
+
+
+def parse_repositories(df: DataFrame, document: str, keep=("project", "file_order")) -> DataFrame:
+    """``keep``, then a row per named element of a well-formed document (attributes in order, references
+    and CDATA resolved); a document that isn't XML gives one row with ``pos`` -1. One parse per document."""
+    import pyarrow as pa
+
+    names = [*keep, "pos", "entry_name", "entry_type", "properties", "raw"]
+    pair = pa.list_(pa.struct([("key", pa.string()), ("value", pa.string())]))
+
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                one = b.slice(i, 1)
+                found = xml_elements(one.column(len(keep))[0].as_py() or "")
+                rows = [(-1, None, None, None, True)] if found is None else [
+                    (k, dict(p)["Name"], tag, [{"key": a, "value": v} for a, v in p], False) for k, (tag, p) in enumerate(found)]
+                for at in range(0, len(rows), 4096):
+                    part = list(zip(*rows[at:at + 4096]))
+                    same = pa.array([0] * len(part[0]))
+                    yield pa.RecordBatch.from_arrays(
+                        [one.column(k).take(same) for k in range(len(keep))]
+                        + [pa.array(c, t) for c, t in zip(part, (pa.int32(), pa.string(), pa.string(), pair, pa.bool_()))], names)
+
+    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + ", " + _ENTRY
+    return df.select(*keep, document).mapInArrow(run, schema)
 
 
 def object_entries_xml(df: DataFrame, text: str = "text", keep=("project", "file_order")) -> DataFrame:
-    """XML repository: every element carrying a ``Name`` attribute becomes an
-    entry (name, tag, all attributes as key/value pairs). Start tags are
-    matched directly, so no row tag has to be known in advance; attributes stay
-    a list (a malformed element with a repeated attribute must not fail a job)."""
-    tags = df.select(*keep, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(XML_START_TAG), 0)).alias("pos", "tag_text"))
-    attrs = F.transform(F.regexp_extract_all(F.col("tag_text"), F.lit(XML_ATTR), 0), lambda a: F.struct(
-        F.regexp_extract(a, XML_ATTR, 1).alias("key"),
-        xml_text(F.concat(F.regexp_extract(a, XML_ATTR, 2), F.regexp_extract(a, XML_ATTR, 3))).alias("value")))
-    name = F.when(F.col("tag_text").rlike(XML_NAME),
-                  xml_text(F.concat(F.regexp_extract("tag_text", XML_NAME, 1), F.regexp_extract("tag_text", XML_NAME, 2))))
-    return (tags.select(*keep, "pos", F.regexp_extract("tag_text", XML_START_TAG, 1).alias("entry_type"),
-                        attrs.alias("properties"), name.alias("entry_name"))
-                .filter(F.col("entry_name").isNotNull())
-                .withColumn("raw", F.lit(False)))
+    """XML repository: every element carrying a ``Name`` attribute becomes an entry (name, tag, all
+    attributes as key/value pairs, by a real parser). Documents that aren't well-formed give none."""
+    return parse_repositories(df, text, keep).filter(F.col("pos") >= 0)
 
 
 def merge_objects(entries: DataFrame, project: str = "project", name: str = "entry_name",

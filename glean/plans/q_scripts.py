@@ -309,8 +309,8 @@ def q_decode_roundtrip(spark, sf_dir):
 # --- XML object repositories: one repository document per part row --------------------------
 
 XML_DOC = """'<?xml version="1.0"?><ObjectRepository><Browser Name="B' || cast(p_size as {t}) || '" micclass="Browser">'
-  || '<Page Name="' || p_name || '" title="' || p_type || '"><WebEdit Name="' || p_brand || '" html_tag="INPUT" '
-  || 'note="a &amp; b"/></Page></Browser></ObjectRepository>'"""
+  || '<!-- <Gone Name="comment"/> --><Page Name="' || p_name || '" title="' || p_type || '"><![CDATA[<Gone Name="cdata"/>]]><WebEdit Name="' || p_brand || '" html_tag="INPUT" '
+  || 'note="a &amp; b &#65;&#x42;"/></Page></Browser></ObjectRepository>'"""
 
 D_XML_TAG = r"""<([A-Za-z_][\w.:-]*)((?:\s+[\w.:-]+\s*=\s*(?:"[^"]*"|'[^']*'))*)\s*/?>"""
 D_XML_NAME = r"""\sName\s*=\s*(?:"([^"]*)"|'([^']*)')"""
@@ -320,18 +320,25 @@ D_XML_ATTR = r"""([\w.:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)')"""
 def _d_xml(e):
     for k, v in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]:
         e = f"replace({e}, {D.lit(k)}, {D.lit(v)})"
-    return e
+    return f"replace(replace({e}, '&#65;', 'A'), '&#x42;', 'B')"
+
+
+def _d_tags(e):
+    """Start tags outside comments and CDATA sections."""
+    return f"regexp_extract_all(regexp_replace({e}, {D.lit(r'(?s)<!--.*?-->|<!.CDATA.*?]]>')}, '', 'g'), {D.lit(D_XML_TAG)}, 0)"
 
 
 @query("object_xml_entries", "O-75", f"""with docs as (select '/w/proj' || cast(p_partkey % 40 as varchar) as project, p_partkey as file_order,
     {XML_DOC.format(t='varchar')} as text from part),
 tags as (select project, file_order, t.i - 1 as pos, t.s as tag_text from docs,
-    unnest(list_transform(regexp_extract_all(text, {D.lit(D_XML_TAG)}, 0), lambda s, i: {{'i': i, 's': s}})) as x(t)),
+    unnest(list_transform({_d_tags('text')}, lambda s, i: {{'i': i, 's': s}})) as x(t)),
 entries as (select project, file_order, pos, regexp_extract(tag_text, {D.lit(D_XML_TAG)}, 1) as entry_type,
     len(regexp_extract_all(tag_text, {D.lit(D_XML_ATTR)}, 0)) as n_props,
+    array_to_string(list_transform(regexp_extract_all(tag_text, {D.lit(D_XML_ATTR)}, 0), lambda a: regexp_extract(a, {D.lit(D_XML_ATTR)}, 1) || '='
+      || {_d_xml(f"regexp_extract(a, {D.lit(D_XML_ATTR)}, 2)")}), ';') as properties,
     {_d_xml(f"regexp_extract(tag_text, {D.lit(D_XML_NAME)}, 1) || regexp_extract(tag_text, {D.lit(D_XML_NAME)}, 2)")} as entry_name
   from tags where regexp_matches(tag_text, {D.lit(D_XML_NAME)}))
-select project, entry_name, entry_type, file_order, n_props from entries
+select project, entry_name, entry_type, file_order, n_props, properties from entries
 qualify row_number() over (partition by project, entry_name order by file_order desc, pos desc) = 1""")
 def q_object_xml(spark, sf_dir):
     part = spread_table(spark, sf_dir, "part")
@@ -340,7 +347,8 @@ def q_object_xml(spark, sf_dir):
                        F.expr(XML_DOC.format(t="string")).alias("text"))
     entries = SC.object_entries_xml(docs)
     merged = SC.merge_objects(entries)
-    return merged.select("project", "entry_name", "entry_type", "file_order", F.size("properties").alias("n_props"))
+    return merged.select("project", "entry_name", "entry_type", "file_order", F.size("properties").alias("n_props"),
+                         F.array_join(F.transform("properties", lambda p: F.concat(p["key"], F.lit("="), p["value"])), ";").alias("properties"))
 
 
 @query("project_drop_empty", "O-29", W + D_COMP + "select project, n_actions + n_libraries > 0 as kept from stats")

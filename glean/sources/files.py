@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glean.operators.scripts import (decode_text, merge_objects, object_entries_binary, object_entries_xml,
-                                     script_kind)
+from glean.operators.scripts import decode_text, merge_objects, object_entries_binary, parse_repositories, script_kind
+from glean.session import save_table
 
 # File names a project scan looks at (glob semantics, case-sensitive).
 PROJECT_FILE_PATTERN = r"(\.mts|\.qfl|\.vbs|\.tsr|\.tsp|\.xls[^/]*)$"
@@ -49,27 +49,19 @@ def marker_files(spark: SparkSession, root: str, suffix: str = ".tsp") -> DataFr
 def scan_object_repositories(spark: SparkSession, root: str, projects: DataFrame) -> DataFrame:
     """Object repositories (``*.tsr``) of each project, merged (last file wins).
 
-    A file whose decoded text parses as XML (``from_xml`` in PERMISSIVE mode
-    finds no corrupt record, and the text starts with ``<``) is read as XML:
-    elements with a ``Name`` attribute. Any other file, malformed XML included,
-    is read as binary: printable runs naming an object. ``projects`` holds
-    project folders; a file belongs to every project folder above it.
+    A file that an XML parser accepts is read as XML: elements with a ``Name``, with all their attributes.
+    Any other file, malformed XML included, is read as binary: printable runs naming an object.
+    ``projects`` holds project folders; a file belongs to every project folder above it. Each file is parsed once.
     """
     from glean.operators.projects import assign_projects
 
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
              .filter(F.col("path").endswith(".tsr")))
-    files = files.select(F.regexp_replace("path", "^file:", "").alias("path"), "content")
-    files = files.select("path", F.xxhash64("path").alias("file_id"), decode_text(F.col("content")).alias("text"),
-                         F.decode(F.col("content"), "ISO-8859-1").alias("raw_text"))
-    body = F.regexp_replace(F.col("text"), "^[\\x{feff}\\s]+", "")
-    parsed = F.from_xml(body, "_probe string, _corrupt_record string",
-                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    is_xml = body.startswith("<") & parsed.isNotNull() & parsed["_corrupt_record"].isNull()
-    owned = assign_projects(files.select("file_id", "path"), projects).join(files, "file_id")
-    keep = ("project", "path")
-    names = [*keep, "pos", "entry_name", "entry_type", "properties", "raw"]
-    xml = object_entries_xml(owned.filter(is_xml), "text", keep).select(*names)
-    none = F.lit(None).cast(xml.schema["properties"].dataType)
-    binary = object_entries_binary(owned.filter(~is_xml), "raw_text", keep).withColumn("properties", none).select(*names)
-    return merge_objects(xml.unionByName(binary), order=("path", "pos"))
+    files = files.select(F.regexp_replace("path", "^file:", "").alias("path"), F.xxhash64("path").alias("file_id"), "content")
+    entries = save_table(parse_repositories(files, "content", ("file_id", "path")), "entries")
+    raw = files.join(entries.filter("pos = -1").select("file_id"), "file_id", "left_semi")
+    raw = raw.select("file_id", "path", F.decode(F.col("content"), "ISO-8859-1").alias("raw_text"))
+    binary = object_entries_binary(raw, "raw_text", ("file_id", "path"))
+    both = entries.filter("pos >= 0").unionByName(binary.withColumn("properties", F.lit(None).cast(entries.schema["properties"].dataType)))
+    owned = assign_projects(files.select("file_id", "path"), projects)
+    return merge_objects(both.join(owned, "file_id").drop("file_id"), order=("path", "pos"))

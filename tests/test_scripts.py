@@ -120,6 +120,40 @@ def test_object_repository_files(spark, tmp):
     assert "broken" not in got
 
 
+def test_xml_repositories_by_a_parser(spark):
+    """Comments, CDATA, references, quotes, encodings, namespaces, duplicates: as a tree of the standard library has them."""
+    import xml.etree.ElementTree as ET
+
+    good = ['<R Name="r"><a Name="x" t="1 &lt; 2 &#65;&#x42;"/><!-- <b Name="no"/> --><![CDATA[<c Name="no"/>]]></R>',
+            "<R><a Name='it&apos;s \"q\"' w = 'x>y'/><b\n Name='multi\nline'/></R>",
+            '<R xmlns="urn:u" xmlns:p="urn:p"><p:a Name="n" p:k="v"/></R>', "<R/>",
+            '<?xml version="1.0"?><!DOCTYPE R [<!ENTITY e "entity">]><R><a Name="&e;"/><a Name="same"/><b Name="same" z="2"/></R>']
+    bad = ["<R><a Name='x'></R>", "<R Name='x' Name='y'/>", "plain", "", "<R Name='&nope;'/>", "<R Name='x'/>junk"]
+    docs = [x.encode("utf-8") for x in good + bad] + ['<?xml version="1.0" encoding="UTF-16"?><R><a Name="é"/></R>'.encode("utf-16"),
+                                                      '<?xml version="1.0" encoding="ISO-8859-1"?><R><a Name="é"/></R>'.encode("latin-1"), b"\x00\x01Button"]
+    df = spark.createDataFrame([(i, bytearray(d)) for i, d in enumerate(docs)], "file_order int, content binary")
+    got = {}
+    for r in SC.parse_repositories(df, "content", ("file_order",)).collect():
+        got.setdefault(r["file_order"], []).append((r["pos"], r["entry_name"], r["entry_type"], None if r["raw"] else [tuple(p) for p in r["properties"]]))
+    for i, d in enumerate(docs):
+        try:
+            named = [e for e in ET.fromstring(d).iter() if "Name" in e.attrib]
+            want = [(k, e.attrib["Name"], e.tag, list(e.attrib.items())) for k, e in enumerate(named)]
+        except ET.ParseError:
+            want = [(-1, None, None, None)]
+        assert sorted(got.get(i, []), key=lambda x: x[0]) == want
+    assert sum(v[0][0] == -1 for v in got.values()) == 7
+
+
+def test_object_attributes_reach_the_merge(spark, tmp):
+    from glean.sources.files import scan_object_repositories
+    write(f"{tmp}/p/a.tsr", b'<R><a Name="x" v="old"/><a Name="y" v="1 &amp; 2"/></R>')
+    write(f"{tmp}/p/b.tsr", b'<R><b Name="x" v="new"/></R>')
+    projects = spark.createDataFrame([(f"{tmp}/p",), (f"{tmp}/none",)], "project string")
+    got = {r["entry_name"]: (r["entry_type"], [tuple(p) for p in r["properties"]]) for r in scan_object_repositories(spark, tmp, projects).collect()}
+    assert got == {"x": ("b", [("Name", "x"), ("v", "new")]), "y": ("a", [("Name", "y"), ("v", "1 & 2")])}
+
+
 def test_decode_utf8_ignore(spark):
     df = spark.createDataFrame([(bytearray(b"ok \xff\xfe caf\xc3\xa9 \xe2\x82"),)], "b binary")
     got = df.select(SC.decode_utf8_ignore(F.col("b"))).first()[0]
