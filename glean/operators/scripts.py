@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glean.functions import rules as R
+from glean.functions.html import NEVER, escape_marks, let, restore_marks
 from glean.functions.text import col_of, py_strip
 
 FUNCTION_RE = "(?isU)" + R.FUNCTION_PATTERN
@@ -110,11 +111,38 @@ def decoded_encoding(content) -> Column:
 # --- extraction ----------------------------------------------------------------
 
 
+_END = "End\\s+(?:Function|Sub)"
+_STRICT_END = "(?<![\\w])End\\s+(?:Function|Sub)(?![\\w])"
+_OPENER = "(?isU)(?:Function|Sub)\\s+\\w+\\s*\\("
+
+
+def function_texts(code, strict: bool = False) -> Column:
+    """The text of every Function/Sub block, in order; linear.
+
+    A block needs a ``)`` and an End behind its ``(``. Nothing behind the last End is searched, and a ``(``
+    behind the last ``)`` that an End follows can't open a block, so it is marked where one seems to begin there:
+    every search that is made finds its end, and goes on behind it. Marks are escaped and restored as in pages.
+    """
+    pat, end = (FUNCTION_STRICT_RE, _STRICT_END) if strict else (FUNCTION_RE, _END)
+    # s: up to the last End; n: its length up to the last ")" before that End. Each step names only its own variable.
+    ended = let(F.coalesce(col_of(code), F.lit("")), lambda x: F.struct(F.regexp_extract(x, "(?isU)^.*" + end, 0).alias("s"), F.regexp_extract(x, "(?isU)^(.*)" + end, 1).alias("before")))
+    cut = let(ended, lambda y: F.struct(y["s"].alias("s"), F.when(F.contains(y["before"], F.lit(")")), F.length(y["before"]) - F.length(
+        F.substring_index(y["before"], ")", -1))).otherwise(0).alias("n")))
+
+    def searched(z):
+        tail = F.substring(z["s"], z["n"] + 1, F.length(z["s"]))
+        marked = F.concat(escape_marks(F.substring(z["s"], F.lit(1), z["n"])), F.replace(escape_marks(tail), F.lit("("), F.lit(NEVER)))
+        plain = F.regexp_extract_all(z["s"], F.lit(pat), 0)
+        careful = F.transform(F.regexp_extract_all(marked, F.lit(pat), 0), lambda m: restore_marks(F.replace(m, F.lit(NEVER), F.lit("("))))
+        return F.when(z["n"] == 0, F.array().cast("array<string>")).when(tail.rlike(_OPENER), careful).otherwise(plain)
+
+    return let(cut, searched)
+
+
 def functions_of(code, strict: bool = False) -> Column:
     """array<struct<name, parameters, body, full_code>> of Function/Sub blocks."""
     pat = FUNCTION_STRICT_RE if strict else FUNCTION_RE
-    matches = F.regexp_extract_all(F.coalesce(col_of(code), F.lit("")), F.lit(pat), 0)
-    return F.transform(matches, lambda m: F.struct(
+    return F.transform(function_texts(code, strict), lambda m: F.struct(
         F.regexp_extract(m, pat, 1).alias("name"),
         py_strip(F.regexp_extract(m, pat, 2)).alias("parameters"),
         py_strip(F.regexp_extract(m, pat, 3)).alias("body"),

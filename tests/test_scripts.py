@@ -1,10 +1,15 @@
 """Trap H (function pattern), D (decoding), object and DataTable references, project scan."""
 
 import os
+import random
+import re
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import one
+from glean.functions import rules as R
 from glean.operators import scripts as SC
 
 
@@ -120,6 +125,34 @@ def test_object_repository_files(spark, tmp):
     assert "broken" not in got
 
 
+def test_functions_equal_the_plain_pattern(spark):
+    """The guarded search against one over the whole text, on random mixtures of its parts."""
+    rnd = random.Random(5)
+    parts = ["Function ", "Sub ", "Public Sub ", "private  Function\n", "a", "Foo", "(", ")", "(x, y)", "End Sub", "End\n Function", "End If", "\n", " ", "\ue005", "\ue003a", "'c'", "EndSub"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(0, 60))) for _ in range(1500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, code string")
+    strict = FUNCTION_STRICT_PY
+    hits = 0
+    for r in df.select("i", "code", SC.functions_of(F.col("code")).alias("f"), SC.functions_of(F.col("code"), strict=True).alias("s")).collect():
+        want = [(m.group(1), m.group(2).strip(), m.group(3).strip(), m.group(0)) for m in re.finditer(R.FUNCTION_PATTERN, r["code"], re.I | re.S)]
+        assert [tuple(x) for x in r["f"]] == want
+        assert [x["full_code"] for x in r["s"]] == [m.group(0) for m in re.finditer(strict, r["code"], re.I | re.S)]
+        hits += len(want)
+    assert hits > 200
+
+
+FUNCTION_STRICT_PY = r"(?<![\w])(?<!End\s)(?<!End\s\s)" + R.FUNCTION_PATTERN.replace(r"End\s+(?:Function|Sub)", r"(?<![\w])End\s+(?:Function|Sub)(?![\w])")
+
+
+@pytest.mark.parametrize("piece, end, n", [("Sub a(b)\n", "", 0), ("Sub a(", "", 0), ("Sub a(", " End Sub", 0), ("Sub a(x) ", " End Sub", 1), ("Sub ", "a() End Sub", 1),
+                                           ("Sub a(x) End If ", "", 0), ("Function f(a) x End Function ", "", 34482), ("Sub a( End Sub ", " ) Sub b( ", 0)])
+def test_a_megabyte_of_openers(spark, piece, end, n):
+    code = piece * (1_000_000 // len(piece)) + end
+    began = time.time()
+    got = spark.createDataFrame([(code,)], "x string").select(F.size(SC.functions_of(F.col("x")))).first()[0]
+    assert got == n and time.time() - began < 30
+
+
 def test_xml_repositories_by_a_parser(spark):
     """Comments, CDATA, references, quotes, encodings, namespaces, duplicates: as a tree of the standard library has them."""
     import xml.etree.ElementTree as ET
