@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from glean.operators.dedup import anti_dedup
 from glean.plans.branches import code_branch
@@ -61,29 +62,60 @@ def start_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str,
 #
 # The sink-as-state ingest above anti-joins each micro-batch against every key
 # written so far, so its per-trigger work grows with the corpus. This variant
-# keeps the seen-set in Spark's state store instead (one boolean per key,
-# RocksDB-backed on a cluster): per trigger it touches only the keys of that
-# batch. A key seen in an earlier batch emits nothing. Within a batch the first
-# row per key by (file, block offset, content) wins: a streaming file source
-# exposes no line position, so rows of one file block tie-break by content
-# (the foreachBatch variant keeps exact line order). The checkpoint holds the state.
-
-def _first_unseen(key, pdfs, state):
+# keeps the seen-set in Spark's state store instead (RocksDB, one boolean per
+# key): per trigger it touches only the keys of that batch. A key seen in an
+# earlier batch emits nothing until its state expires, ``ttl_ms`` after it was
+# last seen: the store then stops growing (None keeps keys for ever). Within a
+# batch the first row per key by (file, block offset, content) wins: a streaming
+# file source exposes no line position, so rows of one file block tie-break by
+# content (the foreachBatch variant keeps exact line order). The checkpoint holds
+# the state, so a replayed batch starts from the state before it.
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+FIRST = ["src_path", "src_pos", "output", "instruction"]
+
+
+def first_row(frames):
+    """The first row by FIRST over frames that come one by one; at most one row is held besides the frame in hand."""
     import pandas as pd
 
-    if state.exists:
-        return
-    batch = pd.concat(list(pdfs), ignore_index=True)
-    first = batch.sort_values(["src_path", "src_pos", "output", "instruction"], kind="stable").head(1)
-    state.update((True,))
-    yield first
+    best = None
+    for f in frames:
+        f = f if best is None else pd.concat([best, f], ignore_index=True)
+        for c in FIRST:  # narrows to the smallest, without sorting the frame
+            f = f[f[c] == f[c].min()] if f[c].notna().any() else f
+        best = f.head(1)
+    return best
 
 
-def start_ingest_stateful(spark: SparkSession, landing: str, sink: str, checkpoint: str,
-                          available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Incremental ingest with the seen-set in the state store; appends parquet to ``sink``."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
+class FirstUnseen(StatefulProcessor):
+    """Emits a key's first row unless its state says that it was seen."""
+
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle) -> None:
+        self.seen = handle.getValueState("seen", "seen boolean", ttlDurationMs=self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        known = self.seen.exists()
+        self.seen.update((True,))
+        if known:
+            for _ in rows:  # passed by, not held
+                pass
+            return
+        best = first_row(rows)
+        if best is not None:
+            yield best
+
+    def close(self) -> None:
+        pass
 
+
+def start_ingest_stateful(spark: SparkSession, landing: str, sink: str, checkpoint: str, available_now: bool = True,
+                          max_files_per_trigger: int | None = None, ttl_ms: int | None = None):
+    """Incremental ingest with the seen-set in the state store; appends parquet to ``sink``."""
     reader = (spark.readStream.schema(with_corrupt(CODE_SAMPLE_SCHEMA))
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .option("pathGlobFilter", "*.jsonl"))
@@ -93,9 +125,16 @@ def start_ingest_stateful(spark: SparkSession, landing: str, sink: str, checkpoi
             .withColumn("src_path", F.col("_metadata.file_path"))
             .withColumn("src_pos", F.col("_metadata.file_block_start")))
     corpus = code_branch(rows, dedup=False)
-    out = corpus.groupBy("output_key").applyInPandasWithState(
-        _first_unseen, outputStructType=corpus.schema, stateStructType="seen boolean",
-        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+    out = corpus.groupBy("output_key").transformWithStateInPandas(
+        statefulProcessor=FirstUnseen(ttl_ms), outputStructType=corpus.schema, outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
     writer = out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
-    return writer.start()
+    if available_now:  # with a time to live a drained query would wait for expiries: one batch takes what is there
+        writer = writer.trigger(once=True) if ttl_ms else writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime="30 seconds")
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, ROCKSDB)  # the processor needs it; the query keeps it from its start
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)

@@ -77,3 +77,47 @@ def test_state_store_variant_equals_batch(spark, tmp):
     assert len(keys) == len(set(keys)) == 4
     batch = code_branch(read_code_samples(spark, tmp + "/landing"))
     assert set(keys) == {r[0] for r in batch.select("output_key").collect()}
+
+
+def test_first_row_of_frames_that_come_one_by_one():
+    """A hot key's batch passes in pieces; at most a piece and one row are held."""
+    import random
+
+    import pandas as pd
+
+    from glean.streaming.ingest import FIRST, first_row
+
+    rnd = random.Random(1)
+    rows = [(f"p{rnd.randrange(3)}", rnd.randrange(4), f"o{rnd.randrange(3)}", f"i{k}") for k in range(500)]
+    pieces = (pd.DataFrame(rows[k:k + 7], columns=FIRST) for k in range(0, 500, 7))
+    got = first_row(pieces)
+    assert len(got) == 1 and tuple(got.iloc[0]) == min(rows)
+    assert first_row(iter([])) is None
+
+
+def test_state_expires(spark, tmp):
+    """With a time to live, a key seen long ago is new again, and the store doesn't keep it; a key seen just now is not."""
+    import time
+
+    from glean.streaming.ingest import start_ingest_stateful
+    landing, sink, ckpt = f"{tmp}/landing", f"{tmp}/sink", f"{tmp}/ckpt"
+    os.makedirs(landing)
+
+    def arrive(name, *samples, ttl):
+        with open(f"{landing}/{name}.jsonl", "w") as f:
+            f.write("\n".join(samples) + "\n")
+        q = start_ingest_stateful(spark, landing, sink, ckpt, ttl_ms=ttl)
+        q.awaitTermination(180)
+        return q.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    ttl = 15_000
+    assert arrive("a", sample(0), sample(1), ttl=ttl) >= 2
+    arrive("b", sample(0), ttl=ttl)  # again, at once: known
+    assert spark.read.parquet(sink).count() == 2
+    time.sleep(ttl / 1000 + 1)
+    arrive("c", sample(1), sample(2), ttl=ttl)  # sample 1 has expired
+    out = spark.read.parquet(sink)
+    assert out.count() == 4 and out.filter(F.col("output").contains("variant 1")).count() == 2
+    time.sleep(ttl / 1000 + 1)
+    kept = [arrive(f"d{k}", sample(50 + k), ttl=ttl) for k in range(2)]
+    assert max(kept) <= 4  # what expired is gone: the store holds the last arrivals only
