@@ -8,6 +8,7 @@ from glean.functions import rules as R
 from glean.operators import corpus as C
 from glean.operators import training_views as TV
 from glean.operators.dedup import anti_dedup
+from glean.operators.records import with_chunks
 from glean.operators.stats import count_by, volume_check
 from glean.plans import duck as D
 from glean.plans.branches import code_branch, instruction_branch, qa_branch
@@ -164,9 +165,12 @@ def q_volume(spark, sf_dir):
 
 
 @query("corpus_seeded_order", "O-58", D_CORPUS + """
-select output_key, ('0x' || substr(md5('glean' || output_key), 1, 15))::bigint as shuffle_key from deduped""")
+, s as (select output_key, ('0x' || substr(md5('glean' || output_key), 1, 15))::bigint as shuffle_key from deduped)
+select *, row_number() over (order by shuffle_key, output_key) - 1 as pos from s""")
 def q_seeded_order(spark, sf_dir):
-    return C.seeded_order(narrow_corpus(spark, sf_dir)).select("output_key", "shuffle_key")
+    """The shuffled order, each row with its place in it (a prefix sum of ones over the range sort)."""
+    s = C.seeded_order(narrow_corpus(spark, sf_dir)).select("output_key", "shuffle_key", F.lit(1).cast("long").alias("one"), F.lit("").alias("all"))
+    return with_chunks(s, "one", ["shuffle_key", "output_key"], 1, "all").select("output_key", "shuffle_key", F.col("chunk").alias("pos"))
 
 
 @query("batch_anti_dedup", "X-2", D_CORPUS + """

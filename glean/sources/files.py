@@ -27,22 +27,73 @@ def scan_project_files(spark: SparkSession, root: str) -> DataFrame:
         F.col("content"), F.col("length"))
 
 
+def _lister(root: str):
+    """The entries of each folder of the frames (paths within ``root``'s file system): path, folder (true or false)."""
+    def run(frames):
+        import pandas as pd
+        from pyarrow import fs
+
+        where, _ = fs.FileSystem.from_uri(root)
+        for frame in frames:
+            for folder in frame["path"]:
+                entries = where.get_file_info(fs.FileSelector(folder))
+                for k in range(0, len(entries), 4096):
+                    part = entries[k:k + 4096]
+                    yield pd.DataFrame({"path": [e.path for e in part], "folder": [e.type == fs.FileType.Directory for e in part]})
+
+    return run
+
+
+def list_tree(spark: SparkSession, root: str, most_levels: int = 200) -> DataFrame:
+    """Paths of all files below ``root``, zero-length ones included, listed on the executors and
+    written as Spark writes them (local paths without a scheme).
+
+    A frontier walk: the folders of one level are a table, listed in parallel, and give the files and
+    the folders of the next. The driver sees no path. ``root`` is a URI that Arrow's file systems open.
+    """
+    from pyarrow import fs
+
+    root = root.rstrip("/") or "/"
+    _, base = fs.FileSystem.from_uri(root)
+    frontier = spark.createDataFrame([(base,)], "path string")
+    found = None
+    for _ in range(most_levels):
+        level = save_table(frontier.mapInPandas(_lister(root), "path string, folder boolean"), "listing")
+        files = level.filter("not folder").select("path")
+        found = files if found is None else found.unionByName(files)
+        frontier = level.filter("folder").select("path")
+        if frontier.isEmpty():
+            full = F.concat(F.lit(root), F.substring("path", F.lit(len(base) + 1), F.length("path")))
+            return found.select(F.regexp_replace(full, "^file:(//)?", "").alias("path"))
+        frontier = frontier.repartition(spark.sparkContext.defaultParallelism, "path")
+    raise RuntimeError(f"folders below {root} are more than {most_levels} levels deep")
+
+
 def marker_files(spark: SparkSession, root: str, suffix: str = ".tsp") -> DataFrame:
     """Project marker paths under ``root``.
 
-    Markers may be empty files, which the binary source skips (it yields no row
-    for a zero-length file), so they come from a recursive listing: the same
-    metadata listing Spark's file index performs, one path per project.
+    Markers may be empty files, which Spark's file sources skip (they yield no row for a
+    zero-length file), so the tree is listed (``list_tree``). Where Arrow doesn't know the
+    file system, Hadoop's listing on the driver stands in.
     """
+    from pyarrow import fs
+
+    try:
+        fs.FileSystem.from_uri(root)
+    except (ValueError, OSError, NotImplementedError):
+        return _hadoop_markers(spark, root, suffix)
+    return list_tree(spark, root).filter(F.col("path").endswith(suffix))
+
+
+def _hadoop_markers(spark: SparkSession, root: str, suffix: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     hroot = jvm.org.apache.hadoop.fs.Path(root)
-    fs = hroot.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    it = fs.listFiles(hroot, True)
+    it = hroot.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(hroot, True)
     paths = []
     while it.hasNext():
-        p = it.next().getPath().toUri().getPath()
+        p = it.next().getPath().toString()
         if p.endswith(suffix):
-            paths.append((p,))
+            paths.append((p.removeprefix("file:"),))
     return spark.createDataFrame(paths, "path string")
 
 

@@ -187,6 +187,25 @@ def test_object_attributes_reach_the_merge(spark, tmp):
     assert got == {"x": ("b", [("Name", "x"), ("v", "new")]), "y": ("a", [("Name", "y"), ("v", "1 & 2")])}
 
 
+def test_markers_are_listed_on_executors(spark, tmp):
+    from glean.sources.files import _hadoop_markers, list_tree, marker_files
+    want = set()
+    for k in range(40):
+        folder = f"{tmp}/r/" + "/".join(f"d {(k >> j) & 1}" for j in range(k % 6))
+        os.makedirs(folder, exist_ok=True)
+        write(f"{folder}/m{k}.tsp", b"" if k % 2 else b"x")  # half of them empty
+        write(f"{folder}/ü {k}.txt", b"")
+        want.add(os.path.normpath(f"{folder}/m{k}.tsp"))
+    os.makedirs(f"{tmp}/r/nothing/here")
+    for root in (f"{tmp}/r", f"file://{tmp}/r/"):
+        got = [r["path"] for r in marker_files(spark, root).collect()]
+        assert len(got) == 40 and {os.path.normpath(p) for p in got} == want
+    assert {r["path"] for r in _hadoop_markers(spark, f"{tmp}/r", ".tsp").collect()} == want
+    assert list_tree(spark, f"{tmp}/r").count() == 80
+    with pytest.raises(RuntimeError):
+        list_tree(spark, f"{tmp}/r", most_levels=2)
+
+
 def test_decode_utf8_ignore(spark):
     df = spark.createDataFrame([(bytearray(b"ok \xff\xfe caf\xc3\xa9 \xe2\x82"),)], "b binary")
     got = df.select(SC.decode_utf8_ignore(F.col("b"))).first()[0]
