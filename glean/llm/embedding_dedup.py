@@ -2,12 +2,13 @@
 
 Vectors of a label are dealt by a hash into shards of about ``SHARD`` vectors; each
 shard gets its own graph. Every vector queries every shard of its label. Per shard
-and block of queries, beams are widened until the audit passes, and a query whose beam
-is full of links goes on with a wider one, in the end with the whole shard. Audited
-queries are compared with the whole shard, as many as it takes to have ``AUDITED`` with
-links that fit a beam; of those that the graph answers, at least ``RECALL`` must get
-every link. A block with fewer such queries, or a shard in which no beam is less than
-1 / ``WIDE`` of it, is compared with the whole shard. Found pairs are verified by their cosine in double precision; components are
+and chunk of queries, beams are widened until the audit passes, and a query whose beam
+is full of links goes on with a wider one, in the end with the whole shard. The audit has
+a fixed sample: about ``AUDITED`` queries, which are compared with the whole shard, and
+as many probes, vectors made to lie just within the bound of a node that isn't crowded, so that it ends
+on data without links too. Of the probes, and of the audited queries that have links, at least
+``RECALL`` of those that the graph answers must get every link. All other queries are answered by the graph, with that beam. A shard in which no beam is less
+than 1 / ``WIDE`` of it is compared whole. Found pairs are verified by their cosine in double precision; components are
 the union over all shards.
 
 Equal vectors of a label are one class and are searched once. Links leave a task as
@@ -15,7 +16,7 @@ counts and as one star per connected set, never as all pairs. A query meets each
 shard of its label once, so work grows with vectors x shards of the label.
 
 Edge cases: rows with a null label, null, empty or zero vector, or null or non-finite
-components link with nothing (component: their own vec_id, kept); vectors of
+components link with nothing (component: their own vec_id, kept); a cosine that equals the bound links; vectors of
 different lengths never link; a null vec_id links with nothing and has a null
 component; repeated rows are copies of each other (and share their vec_id).
 """
@@ -32,8 +33,11 @@ from glean.llm.hnsw import M, Graph
 from glean.llm.registry import query
 
 COSINE = 0.93
-SHARD, CHUNK = 4096, 1024
+#: Vectors of a shard, queries that meet a shard at once (one audit), queries searched at once.
+SHARD, CHUNK, BLOCK = 4096, 2048, 512
 BEAM, RECALL, AUDITED = 64, 0.995, 128
+#: How far within the bound a probe lies.
+PROBE = 0.002
 #: A beam over more than 1 / WIDE of a shard costs more than comparing with all of it, which is done instead.
 WIDE = 8
 #: Graph search works in single precision; what it finds below the bound by less than this is verified too.
@@ -63,8 +67,19 @@ def build_graph(pdf: pd.DataFrame) -> pd.DataFrame:
                          "vectors": [v.astype("<f8").tobytes()], "graph": [g.to_bytes()]})
 
 
-def links_in_shard(g: Graph, own: np.ndarray, q: np.ndarray, q_double: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) pairs with cosine of at least ``COSINE``."""
+def probes(own: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes spread over the shard, and for each a vector whose cosine with it is just above the bound, off in a random direction."""
+    nodes = np.unique(np.linspace(0, len(own) - 1, count).astype(int))
+    x = own[nodes] / np.linalg.norm(own[nodes], axis=1)[:, None]
+    away = np.random.default_rng(len(own)).normal(size=x.shape)
+    away -= np.einsum("nd,nd->n", away, x)[:, None] * x
+    away /= np.maximum(np.linalg.norm(away, axis=1), 1e-12)[:, None]
+    c = min(1.0, COSINE + PROBE)
+    return nodes, (c * x + np.sqrt(1 - c * c) * away).astype(np.float32)
+
+
+def links_in_shard(g: Graph, own: np.ndarray, q: np.ndarray, q_double: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """(query, node) pairs with cosine of at least ``COSINE``, and the number of queries that the graph answered."""
     n = len(own)
     unit = own / np.linalg.norm(own, axis=1)[:, None]
     q_unit = q_double / np.linalg.norm(q_double, axis=1)[:, None]
@@ -72,19 +87,20 @@ def links_in_shard(g: Graph, own: np.ndarray, q: np.ndarray, q_double: np.ndarra
     def search(rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Links of ``rows``, and of all queries whether they were compared with the whole shard."""
         found, whole = [], np.zeros(len(q), bool)
-        while len(rows):
-            if width >= n // WIDE:
-                s = q[rows] @ g.x.T
-                r, c = np.nonzero(s >= COSINE - SLACK)
-                found.append((rows[r], c))
-                whole[rows] = True
-                break
-            ids, sims = g.search(q[rows], width)
-            hit = sims >= COSINE - SLACK
-            full = hit.all(1)
-            r, c = np.nonzero(hit & ~full[:, None])
-            found.append((rows[r], ids[r, c]))
-            rows, width = rows[full], width * 4
+        for k in range(0, len(rows), BLOCK):
+            part, w = rows[k:k + BLOCK], width
+            while len(part):
+                if w >= n // WIDE:
+                    r, c = np.nonzero(q[part] @ g.x.T >= COSINE - SLACK)
+                    found.append((part[r], c))
+                    whole[part] = True
+                    break
+                ids, sims = g.search(q[part], w)
+                hit = sims >= COSINE - SLACK
+                full = hit.all(1)
+                r, c = np.nonzero(hit & ~full[:, None])
+                found.append((part[r], ids[r, c]))
+                part, w = part[full], w * 4
         r, c = (np.concatenate(p) for p in zip(*found)) if found else (np.zeros(0, int),) * 2
         ok = np.zeros(len(r), bool)
         for k in range(0, len(r), 1 << 16):
@@ -102,27 +118,27 @@ def links_in_shard(g: Graph, own: np.ndarray, q: np.ndarray, q_double: np.ndarra
 
     everyone = np.arange(len(q))
     if n // WIDE <= BEAM:
-        return search(everyone, n)[:2]
-    # compare with the whole shard until AUDITED queries are known whose links fit a beam, or all queries are answered
-    step = max(1, len(q) // AUDITED)
-    known, true = [], np.zeros(len(q), int)
-    for k in range(step):
-        known.append(search(everyone[k::step], n)[:2])
-        true += others(*known[-1])
-        if ((true > 0) & (true < BEAM)).sum() >= AUDITED:
-            break
-    audited = everyone % step <= k
-    # judged one by one: a query with many links must not make up for others, and what the whole shard answers proves nothing
+        r, c, _ = search(everyone, n)
+        return r, c, 0
+    # The audit: a fixed sample of queries, compared with the whole shard, and of probes, whose nearest node is known.
+    audited = everyone % max(1, len(q) // AUDITED) == 0
+    exact = search(everyone[audited], n)[:2]
+    true = others(*exact)
+    nodes, near = probes(own, AUDITED)
+    near = near[(g.x[nodes] @ g.x.T >= COSINE).sum(1) < BEAM]  # queries at a crowded node meet the whole shard anyway
+    around = (near @ g.x.T >= COSINE + SLACK).sum(1)
     width, asked = BEAM, everyone[audited & (true > 0)]
-    while width < n // WIDE and not audited.all():
+    while width < n // WIDE:
+        _, sims = g.search(near, width)
+        reached = ((sims >= COSINE + SLACK / 2).sum(1) >= around) | (sims >= COSINE - SLACK).all(1)  # a beam full of links goes on with a wider one
         r, c, whole = search(asked, width)
+        # judged one by one: a query with many links must not make up for others, and what the whole shard answers proves nothing
         judged = asked[~whole[asked]]
-        if (others(r, c)[judged] == true[judged]).sum() >= RECALL * len(judged):
+        if reached.sum() >= RECALL * len(near) and (others(r, c)[judged] == true[judged]).sum() >= RECALL * len(judged):
             break
         width *= 2
-    known.append(search(everyone[~audited], width)[:2])
-    r, c = (np.concatenate(p) for p in zip(*known))
-    return r, c
+    r, c, whole = search(everyone[~audited], width)
+    return np.concatenate([exact[0], r]), np.concatenate([exact[1], c]), int((~whole & ~audited).sum())
 
 
 def answer(key, queries: pd.DataFrame, graphs: pd.DataFrame) -> pd.DataFrame:
@@ -136,10 +152,12 @@ def answer(key, queries: pd.DataFrame, graphs: pd.DataFrame) -> pd.DataFrame:
         g = Graph.from_bytes(x, row["graph"])
         queries = queries.sort_values("rep", kind="stable")
         q_rep = queries["rep"].to_numpy()
-        for k in range(0, len(queries), 512):
-            q_double, q = _unit(_matrix(queries["embedding"].iloc[k:k + 512]))
-            r, c = links_in_shard(g, own, q, q_double)
-            mine = q_rep[k:k + 512]
+        q_double, q = _unit(_matrix(queries["embedding"]))
+        all_r, all_c, _ = links_in_shard(g, own, q, q_double)
+        for k in range(0, len(queries), BLOCK):
+            here = (all_r >= k) & (all_r < k + BLOCK)
+            r, c = all_r[here] - k, all_c[here]
+            mine = q_rep[k:k + BLOCK]
             other = reps[c] != mine[r]
             r, c = r[other], c[other]
             n_links = np.bincount(r, weights=sizes[c], minlength=len(mine)).astype(np.int64)

@@ -141,7 +141,8 @@ def test_graph_search_finds_links():
     own[700:760] = own[3] + rng.normal(size=(60, 16)) * 0.02
     own, x = embedding_dedup._unit(own)
     g = embedding_dedup.Graph.build(x, np.minimum(rng.geometric(0.9, 1500) - 1, 4))
-    r, c = embedding_dedup.links_in_shard(g, own, x[:800], own[:800])
+    r, c, by_graph = embedding_dedup.links_in_shard(g, own, x[:800], own[:800])
+    assert by_graph > 500
     unit = own / np.linalg.norm(own, axis=1)[:, None]
     assert len(r) >= 0.99 * (unit[:800] @ unit.T >= 0.93).sum()
 
@@ -157,7 +158,7 @@ def test_graph_audit_judges_each_query():
     g = embedding_dedup.Graph(x, [reached], 2000)
     unit = own / np.linalg.norm(own, axis=1)[:, None]
     ask = rng.permutation(3000)[:512]
-    r, c = embedding_dedup.links_in_shard(g, own, x[ask], own[ask])
+    r, c, _ = embedding_dedup.links_in_shard(g, own, x[ask], own[ask])
     assert sorted(zip(r, c)) == sorted(zip(*np.nonzero(unit[ask] @ unit.T >= 0.93)))
 
 
