@@ -66,13 +66,19 @@ def weak_spans(text: str, strong: list[tuple[int, int, int]]) -> list[tuple[int,
                 out.append((m.start(), 4, m.end()))
     if not out:
         return out
-    taken = [(s, e) for s, _, e in strong]
-    free = []
+    # Candidates come by start. Of the strong spans that start before a candidate's end, and of those taken
+    # before it, the greatest end tells whether any touches it.
+    starts, ends, top = [s for s, _, _ in strong], [], 0
+    for _, _, e in strong:
+        top = max(top, e)
+        ends.append(top)
+    free, last = [], 0
     for s, k, e in sorted(out):
-        if any(a < e and s < b for a, b in taken):
+        before = bisect.bisect_left(starts, e)
+        if s < last or (before and s < ends[before - 1]):
             continue
         free.append((s, k, e))
-        taken.append((s, e))
+        last = e
     return free
 
 

@@ -316,7 +316,11 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     other = met.filter("mixed").join(marks, (F.col("key") == F.col("k")) & (F.col("ctx") == F.col("c"))).select(
         "th", "tc", F.when(F.col("whole"), all_).otherwise(
             F.transform("parts", lambda p: F.struct((p["a"] + F.col("lo")).alias("a"), (p["b"] + F.col("lo")).alias("b")))).alias("r"))
-    return simple.unionByName(other).groupBy("th", "tc").agg(F.array_distinct(F.flatten(F.collect_list("r"))).alias("ranges"))
+    # A range as one number: distinct numbers are found by hash, distinct structs by comparing all pairs.
+    packed = F.transform("r", lambda x: F.shiftleft(x["a"].cast("long"), 32) + x["b"])
+    distinct = F.array_distinct(F.flatten(F.collect_list("p")))
+    back = F.transform(distinct, lambda y: F.struct(F.shiftright(y, 32).cast("int").alias("a"), y.bitwiseAND((1 << 32) - 1).cast("int").alias("b")))
+    return simple.unionByName(other).select("th", "tc", packed.alias("p")).groupBy("th", "tc").agg(back.alias("ranges"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
