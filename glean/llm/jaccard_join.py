@@ -351,8 +351,8 @@ def links(docs: DataFrame, sets: DataFrame, heavy: np.ndarray, rank: np.ndarray)
     return first.unionByName(verify(save(more, "cross-pairs"), texts))
 
 
-def similar(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of docs."""
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, fp (its set), comp (its component's own key) and component_id of every row of docs."""
     docs = with_columns_of(docs, ["doc_id", "text"])
     found = save(docs.mapInArrow(_sets_and_heavy, "doc_id bigint, n bigint, fp bigint, doc boolean"), "shingle-sets")
     sets = found.filter("doc").select("doc_id", "n", "fp")
@@ -364,23 +364,50 @@ def similar(docs: DataFrame) -> DataFrame:
     comp = components(pairs).withColumnRenamed("node", "f").withColumnRenamed("component", "c")
     of_set = usable.groupBy("fp").agg(F.min("doc_id").alias("rep")).join(comp, F.col("fp") == F.col("f"), "left").select("fp", "rep", F.coalesce("c", "fp").alias("c"))
     smallest = of_set.groupBy("c").agg(F.min("rep").alias("component_id"))
-    of_set = of_set.join(smallest, "c").select(F.col("fp").alias("f"), "component_id")
-    linked = usable.select("fp").distinct().join(of_set, F.col("fp") == F.col("f")).select("f", "component_id")
+    of_set = of_set.join(smallest, "c").select(F.col("fp").alias("f"), "c", "component_id")
+    linked = usable.select("fp").distinct().join(of_set, F.col("fp") == F.col("f")).select("f", "c", "component_id")
     out = sets.join(linked, (F.col("fp") == F.col("f")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "fp", F.col("c").alias("comp"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def similar(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of docs."""
+    return grouped(docs).drop("fp", "comp")
+
+
+def _with_set(columns: list[str]):
+    """Rows with _fp and _n, the set of their text."""
+    def run(batches):
+        for b in batches:
+            for i, j, buf, off in blocks(b.column("text")):
+                sets = shingles(buf, off)
+                yield pa.RecordBatch.from_arrays([*[b.column(c).slice(i, j - i) for c in columns], pa.array(fingerprints(sets)), pa.array([len(s) for s in sets], pa.int64())],
+                                                 [*columns, "_fp", "_n"])
+
+    return run
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of docs for each component: that of the smallest doc_id (of repeated rows any one). Rows without words or doc_id stay."""
+    """One row of docs for each component: that of the smallest doc_id. Rows without words or doc_id stay.
+
+    Where a doc_id has rows of several texts, each counts on its own: the component's row is the one of its smallest doc_id whose
+    text belongs to it (of several such texts the one with the smallest set key, of repeated rows any one).
+    """
     columns = docs.columns
-    groups = similar(docs)
-    keep = groups.filter("doc_id is not null").groupBy("doc_id").agg(
-        F.min("component_id").alias("_c"), F.max("n_shingles").alias("_n")).filter("_c = doc_id").withColumnRenamed("doc_id", "_d")
+    groups = save(grouped(docs).filter("doc_id is not null"), "groups")
+    winners = groups.filter("n_shingles > 0").groupBy("comp").agg(F.min(F.struct("doc_id", "fp")).alias("w")).select(F.col("w.doc_id").alias("_w"), F.col("w.fp").alias("_f"))
+    ids = groups.groupBy("doc_id").agg((F.count("*") > 1).alias("_many"), F.max("n_shingles").alias("_size"))
+    single = ids.join(winners.select("_w").distinct(), F.col("doc_id") == F.col("_w"), "left").filter("not _many and (_w is not null or _size = 0)").select(F.col("doc_id").alias("_d"))
     plain = docs.toDF(*[c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(columns)])
-    joined = plain.join(keep, F.col("doc_id") == F.col("_d"), "left").filter("doc_id is null or _d is not null")
-    again = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last()))
-    named = joined.filter("doc_id is not null").withColumn("_k", again).filter("_k = 1 or _n = 0")
-    return named.select(*plain.columns).unionByName(joined.filter("doc_id is null").select(*plain.columns)).toDF(*columns)
+    out = plain.join(single, F.col("doc_id") == F.col("_d"), "left").filter("doc_id is null or _d is not null").select(*plain.columns)
+    many = ids.filter("_many").select(F.col("doc_id").alias("_m"))
+    if many.limit(1).count():
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema) + ", _fp bigint, _n bigint"
+        rows = plain.join(many, F.col("doc_id") == F.col("_m"), "left_semi").mapInArrow(_with_set(plain.columns), schema)
+        rows = rows.join(winners, (F.col("doc_id") == F.col("_w")) & (F.col("_fp") == F.col("_f")), "left").filter("_w is not null or _n = 0")
+        again = F.row_number().over(Window.partitionBy("doc_id", "_fp").orderBy(F.length("text").desc_nulls_last()))
+        out = out.unionByName(rows.withColumn("_k", again).filter("_k = 1 or _n = 0").select(*plain.columns))
+    return out.toDF(*columns)
 
 
 @query("op6_jaccard_join")

@@ -111,6 +111,11 @@ def test_jaccard_join_with_two_texts_of_one_id(spark):
     rows = [(50, a), (50, b), (51, edit(a)), (52, edit(b)), (53, c), (54, None)]
     got = collect(jaccard_join.similar(spark.createDataFrame(rows, "doc_id long, text string")))
     assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(50, 50), (50, 50), (51, 50), (52, 50), (53, 53), (54, 54)]
+    kept = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(50, a), (50, b), (53, c), (54, None)], key=str)  # one of each component: neither text is lost
+    again = rows + [(50, a), (55, ""), (55, ""), (55, b), (None, a)]
+    kept = jaccard_join.keep_one(spark.createDataFrame(again, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(50, a), (50, b), (53, c), (54, None), (55, ""), (55, ""), (None, a)], key=str)
 
 
 def test_embeddings(spark):
