@@ -29,15 +29,32 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from glean.llm.common import table, with_columns_of
+from glean.llm.common import BLOCK_BYTES, table, with_columns_of
 from glean.llm.registry import query
 
 TIERS = (512, 1024, 2048, 4096)
 END_ID = 2
 BLOCK_TOKENS = 1 << 21
 STEP_TOKENS = 64 * 4096
-#: Distinct words whose ids a worker remembers (twice, halves are dropped in turn).
-CACHE_WORDS = 200_000
+#: Distinct words, and distinct pieces of words, whose ids a worker remembers (twice each, halves are dropped in turn).
+CACHE_WORDS = 1 << 19
+
+
+class Recent:
+    """What was looked up lately: two halves of about ``CACHE_WORDS`` entries, the older one dropped in turn."""
+
+    def __init__(self):
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def unseen(self, keys: set) -> list:
+        """The keys to be learned; all others are in ``new`` afterwards."""
+        if len(self.new) >= CACHE_WORDS:
+            self.old, self.new = self.new, {}
+        missing = keys - self.new.keys()
+        known = missing & self.old.keys()
+        self.new.update((k, self.old[k]) for k in known)
+        return list(missing - known)
 
 
 class WordTokenizer:
@@ -45,58 +62,72 @@ class WordTokenizer:
 
     The tokenizer splits at white space before anything else and no rule looks
     across it, so a text's ids are its words' ids; words repeat, so each is encoded
-    once. Words of Latin letters are split and encoded by the model directly; any
-    other word goes through the whole tokenizer, and so does a text that spells a
-    special token.
+    once. Words of Latin letters are split into pieces here, and the new pieces of a
+    block of texts are encoded by the model in one call; any other word goes through
+    the whole tokenizer, and so does a text that spells a special token.
     """
 
-    #: Fixed values of the vocabulary file's pre-tokenizer.
+    #: Fixed values of the vocabulary file's pre-tokenizer and model.
     PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    LAST = "</w>"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.full = Tokenizer.from_file(path)
-        self.model = self.full.model
+        self.plain = Tokenizer(self.full.model)  # pieces between blanks, nothing else
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocab = self.full.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a piece
+        self.last[[i for t, i in vocab.items() if t.endswith(self.LAST)]] = True
         self.pieces = regex.compile(self.PIECES)
         self.latin = re.compile(r"[^\sɐ-\U0010ffff\x00-\x1f\x7f-\xa0]+\Z")
         self.letter = [chr(b) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255 else None for b in range(256)]
         spare = iter(range(256, 512))
         self.letter = [c or chr(next(spare)) for c in self.letter]  # the byte-level alphabet
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.piece: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.piece.get(piece)
-        if ids is None:
-            if len(self.piece) >= CACHE_WORDS:
-                self.piece.clear()
-            spelled = piece if piece.isascii() else "".join(self.letter[b] for b in piece.encode())
-            ids = self.piece[piece] = np.array([t.id for t in self.model.tokenize(spelled)], "<u2").tobytes()
-        return ids
-
-    def _word(self, word: bytes) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            text = word.decode("utf-8", "replace")
-            if self.latin.match(text):
-                low = text.lower() if text.isascii() else "".join(c.lower() for c in text)
-                ids = b"".join(map(self._piece, self.pieces.findall(low)))
+        self.words, self.parts = Recent(), Recent()
+
+    def _learn_pieces(self, pieces: set[str]) -> None:
+        new = self.parts.unseen(pieces)
+        if not new:
+            return
+        spelled = " ".join([p if p.isascii() else "".join([self.letter[b] for b in p.encode()]) for p in new])
+        ids = np.array(self.plain.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u2")
+        end = (2 * np.flatnonzero(self.last[ids]) + 2).tolist()
+        if len(end) != len(new):
+            raise ValueError("the vocabulary doesn't spell every piece to its end")
+        raw = ids.tobytes()
+        self.parts.new.update(zip(new, [raw[a:b] for a, b in zip([0, *end], end)]))
+
+    def _learn_words(self, words: set[bytes]) -> None:
+        new, flat, ends = [], [], []  # the pieces of all new words in one list: no container a word
+        for word in self.words.unseen(words):
+            if word.isalpha():  # ASCII letters
+                flat.append(word.lower().decode())
             else:
-                ids = np.array(self.full.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
-        if len(self.new) >= CACHE_WORDS:
-            self.old, self.new = self.new, {}
-        self.new[word] = ids
-        return ids
-
-    def ids(self, text: bytes) -> np.ndarray:
-        if b"<|" in text:
-            return np.array(self.full.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2")
-        get, word = self.new.get, self._word
-        return np.frombuffer(b"".join([get(w) or word(w) for w in text.split()]), "<u2")
+                text = word.decode("utf-8", "replace")
+                if not self.latin.match(text):
+                    self.words.new[word] = np.array(self.full.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+                    continue
+                flat += self.pieces.findall(text.lower())
+            new.append(word)
+            ends.append(len(flat))
+        self._learn_pieces(set(flat))
+        ids = list(map(self.parts.new.__getitem__, flat))
+        at, known = 0, self.words.new
+        for word, end in zip(new, ends):
+            known[word] = ids[at] if end - at == 1 else b"".join(ids[at:end])
+            at = end
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text; the words of all of them are learned together."""
+        split = [None if b"<|" in t else t.split() for t in texts]
+        self._learn_words(set().union(*[w for w in split if w]))
+        known = self.words.new.__getitem__
+        return [np.array(self.full.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2") if w is None
+                else np.frombuffer(b"".join(map(known, w)), "<u2") for t, w in zip(texts, split)]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -234,18 +265,30 @@ def packed(docs: DataFrame, path: str) -> DataFrame:
             names = [f.split()[0] for f in SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * len(names))], names)
 
+        def texts_by_block():
+            """(doc_id, text) lists of about ``BLOCK_BYTES`` of text, 256 rows or one text."""
+            for b in batches:
+                for at in range(0, b.num_rows, 256):
+                    ids_ = b.column("doc_id").slice(at, 256).cast(pa.int64()).to_pylist()
+                    texts = b.column("text").slice(at, 256).cast(pa.large_binary()).to_pylist()
+                    block, size = [], 0
+                    for doc_id, text in zip(ids_, texts):
+                        if block and size + len(text or b"") > BLOCK_BYTES:
+                            yield block
+                            block, size = [], 0
+                        block.append((doc_id, text or b""))
+                        size += len(text or b"")
+                    yield block
+
         seen = 0
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                ids_ = b.column("doc_id").slice(at, 256).cast(pa.int64()).to_pylist()
-                texts = b.column("text").slice(at, 256).cast(pa.large_binary()).to_pylist()
-                for doc_id, text in zip(ids_, texts):
-                    ids = np.append(tok.ids(text or b""), np.uint16(END_ID))
-                    docs_[seen] = (doc_id, ids)
-                    waiting.append((seen, 0, len(ids)))
-                    seen, tokens = seen + 1, tokens + len(ids)
-                    if tokens >= BLOCK_TOKENS:
-                        yield flush(False)
+        for block in texts_by_block():
+            for (doc_id, _), ids in zip(block, tok.ids([text for _, text in block])):
+                ids = np.append(ids, np.uint16(END_ID))
+                docs_[seen] = (doc_id, ids)
+                waiting.append((seen, 0, len(ids)))
+                seen, tokens = seen + 1, tokens + len(ids)
+                if tokens >= BLOCK_TOKENS:
+                    yield flush(False)
         yield flush(True)
 
     return with_columns_of(docs, ["doc_id", "text"]).mapInArrow(run, SCHEMA)

@@ -248,15 +248,39 @@ def test_packing(docs):
             assert r["offset"] == at
             at += r["length"]
         assert at <= 4096 and at & (at - 1) == 0
+    ids = collections.defaultdict(list)
     for i, t in texts():
-        want[i] += len(full.encode(t or "", add_special_tokens=False).ids) + 1
+        ids[i].append(full.encode(t or "", add_special_tokens=False).ids + [2])
+        want[i] += len(ids[i][-1])
     have = collections.Counter()
     for r in got:
         have[r["doc_id"]] += r["length"]
+        cut = slice(r["start"], r["start"] + r["length"])
+        assert any(r["doc_tokens"] == len(x) and r["ids_crc32"] == zlib.crc32(np.array(x[cut], "<u4").tobytes()) for x in ids[r["doc_id"]])
     assert have == want
-    tok = packing.tokenizer(path)
-    for t in [t for _, t in texts() if t] + ["It's <|endoftext|> x", "naïve ÀÉÎ İß ½x a b ć 3²", "don't WE'LL 12ab\x1cz"]:
-        assert tok.ids(t.encode()).tolist() == full.encode(t, add_special_tokens=False).ids
+    for i in [i for i in ids if len(ids[i]) == 1]:  # no gap and no overlap within a document
+        at = 0
+        for r in sorted((r for r in got if r["doc_id"] == i), key=lambda r: r["start"]):
+            assert r["start"] == at
+            at += r["length"]
+
+
+def test_word_ids(monkeypatch):
+    """Texts learned together give the whole tokenizer's ids, also while the caches drop their halves."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    full = Tokenizer.from_file(path)
+    some = [t for _, t in texts() if t] + ["", " \n\t", "It's <|endoftext|> x", "naïve ÀÉÎ İß ½x a b ć 3²", "don't WE'LL 12ab\x1cz",
+                                           "a</w>b </w> <w/>", "ΑΣ Σ日本 é"]
+    for size in (1 << 19, 5, 1):
+        monkeypatch.setattr(packing, "CACHE_WORDS", size)
+        tok = packing.WordTokenizer(path)
+        for step in (1, 3, len(some)):
+            for k in range(0, len(some), step):
+                got = tok.ids([t.encode() for t in some[k:k + step]])
+                assert [x.tolist() for x in got] == [full.encode(t, add_special_tokens=False).ids for t in some[k:k + step]]
 
 
 def test_mixing(docs):
