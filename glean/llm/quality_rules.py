@@ -1,19 +1,22 @@
 """Quality rules with risk-controlled thresholds (DataFrame functions only).
 
 Every rule rejects a document whose figure exceeds a cutoff. Cutoffs are chosen per
-stratum (language) from a fixed grid, mildest first. A cutoff is admitted only if the
-exact binomial test on the labelled holdout - all labelled good documents of the
-stratum, of which k would be rejected - shows that the false rejection rate is below
-``RISK / number of rules`` at level ``ERROR / (rules * strata)`` (Bonferroni over
-rules and strata; along the grid the tests are a fixed sequence and counts only
-grow, so the last admitted cutoff is valid). With the rules' risks added up, at most
-``RISK`` of the good documents of any stratum are rejected, with probability
-``1 - ERROR`` over all strata at once. Strata with too few labels get no cutoff.
+stratum (language) on labelled good documents, each different text counted once, in
+two halves dealt by the text's hash. The first half proposes: ``STEPS`` combinations
+of one cutoff a rule, from mild to strict, out of fixed grids. The second half
+decides: a combination is admitted only if the exact binomial test - of the half's
+texts, k would be rejected by any rule - shows that all rules together reject less
+than ``RISK`` of the good documents, at level ``ERROR / strata`` (Bonferroni over
+strata; along the steps the tests are a fixed sequence and counts only grow, so the
+last admitted one is valid). At most ``RISK`` of the good documents of any stratum
+are rejected, with probability ``1 - ERROR`` over all strata at once. Strata with too
+few labels get no cutoff.
 
 Words within one text are compared by 64-bit hashes of their three-word windows.
 Edge cases: null text is an empty text (fails the base rule); a null language is a
 stratum of its own; labels that disagree for a doc_id are not used; repeated rows
-count and are judged each.
+are judged each; a figure equal to its cutoff passes; very long texts are one row of
+arrays; other columns of docs are not read; empty tables give no rows or no cutoffs.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from glean.llm.registry import query
 
 RISK, ERROR = 0.04, 0.05
 MIN_WORDS = 50
+#: Proposals, mild to strict: (share of the proposing third that a rule may reject, notches of its grid to step back).
+STEPS = [(0.0, 2), (0.0, 1), (0.0, 0), (0.0025, 0), (0.005, 0), (0.01, 0)]
 _SPACE = " \t\n\x0b\f\r"
 #: Rule: (figure, cutoffs from mild to strict).
 RULES: dict[str, tuple[str, list[float]]] = {
@@ -47,7 +52,7 @@ def figures(docs: DataFrame) -> DataFrame:
         "doc_id", F.coalesce("lang", F.lit("(none)")).alias("stratum"), F.coalesce("text", F.lit("")).alias("text"))
     d = d.withColumn("w", F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != ""))
     d = d.withColumn("lines", F.filter(F.split("text", "\n", -1), lambda x: F.translate(x, _SPACE, "") != ""))
-    d = d.select("doc_id", "stratum", F.size("w").cast("long").alias("n_words"),
+    d = d.select("doc_id", "stratum", F.xxhash64("text").alias("text_hash"), F.size("w").cast("long").alias("n_words"),
                  F.length(F.translate("text", _SPACE, "")).cast("long").alias("word_chars"),
                  (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
                  F.size("lines").cast("long").alias("n_lines"),
@@ -80,19 +85,33 @@ def most_rejections(n: Column, risk: float, level: Column) -> Column:
 
 
 def cutoffs(fig: DataFrame, labels: DataFrame) -> DataFrame:
-    """stratum, n_good and a cutoff (or null) of each rule."""
+    """stratum, n_good (texts of the deciding part) and a cutoff (or null) of each rule."""
     good = (labels.filter("doc_id is not null and quality is not null").groupBy("doc_id")
             .agg(F.min("quality").alias("lo"), F.max("quality").alias("hi")).filter("lo = 1 and hi = 1").select("doc_id"))
-    held = fig.join(good, "doc_id", "left_semi")
-    counts = [F.count("*").alias("n_good")]
-    for name, (figure, grid) in RULES.items():
-        counts.append(F.array(*[F.count_if(F.expr(figure) > c) for c in grid]).alias(f"k_{name}"))
-    by = held.groupBy("stratum").agg(*counts)
+    counts = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]  # equal for equal texts
+    held = (fig.join(good, "doc_id", "left_semi").groupBy("stratum", "text_hash").agg(*[F.min(c).alias(c) for c in counts])
+            .withColumn("second", F.pmod(F.xxhash64("text_hash", F.lit(4)), F.lit(3)) > 0))
+    rejected = [F.array(*[F.count_if(F.expr(figure) > c) for c in grid]).alias(f"k_{name}") for name, (figure, grid) in RULES.items()]
+    first = held.filter("not second").groupBy("stratum").agg(F.count("*").alias("n"), *rejected)
+
+    def proposed(name: str, share: float, back: int) -> Column:
+        grid = F.array(*[F.lit(c) for c in RULES[name][1]])
+        return F.get(grid, F.size(F.filter(f"k_{name}", lambda k: k <= share * F.col("n"))) - 1 - back).alias(f"cut_{name}")
+
+    steps = first.select("stratum", F.array(*[F.struct(*[proposed(name, *step) for name in RULES]) for step in STEPS]).alias("steps"))
+
+    def any_rule(step: int) -> Column:
+        out = F.lit(False)
+        for name, (figure, _) in RULES.items():
+            out = out | F.coalesce(F.expr(figure) > F.get("steps", F.lit(step))[f"cut_{name}"], F.lit(False))
+        return out
+
+    by = (held.filter("second").join(steps, "stratum", "left").groupBy("stratum")
+          .agg(F.count("*").alias("n_good"), F.array(*[F.count_if(any_rule(i)) for i in range(len(STEPS))]).alias("k")))
     n_strata = fig.agg(F.count_distinct("stratum").alias("m")).first()["m"]
-    by = by.withColumn("k_max", most_rejections(F.col("n_good"), RISK / len(RULES), F.lit(ERROR / max(1, n_strata * len(RULES)))))
-    pick = [F.get(F.array(*[F.lit(c) for c in grid]), F.size(F.filter(f"k_{name}", lambda k: k <= F.col("k_max"))) - 1).alias(f"cut_{name}")
-            for name, (_, grid) in RULES.items()]
-    return by.select("stratum", "n_good", *pick)
+    by = by.withColumn("k_max", most_rejections(F.col("n_good"), RISK, F.lit(ERROR / max(1, n_strata)))).join(steps, "stratum", "left")
+    last = F.get("steps", F.size(F.filter("k", lambda k: k <= F.col("k_max"))) - 1)
+    return by.select("stratum", "n_good", *[last[f"cut_{name}"].alias(f"cut_{name}") for name in RULES])
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:

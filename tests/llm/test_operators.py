@@ -213,11 +213,40 @@ def test_quality_rules(docs, labels):
         n = collections.Counter(zip(w, w[1:], w[2:]))
         cov = {p + d for p in range(len(w) - 2) if n[tuple(w[p:p + 3])] > 1 for d in range(3)}
         r = got[i, len(w)]
+        lines = [x for x in (t or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+        assert r["word_chars"] == sum(map(len, re.findall("[^\x20\x09-\x0d]+", t or ""))) and r["n_symbols"] == sum(c in "#*$%&|<>" for c in t or "")
+        assert r["n_lines"] == len(lines) and r["n_dup_lines"] == len(lines) - len(set(lines))
         assert r["n_repeat_words"] == len(cov) and r["base_failed"] == (len(w) < 50 or 100 * len(cov) > 50 * len(w)) and not (r["base_failed"] and r["kept"])
     plan = quality_rules.figures(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_cutoffs_reject_few_good_documents(spark):
+    """Good texts whose figures are drawn at random: in no stratum do the chosen cutoffs reject more than the risk."""
+    rng, rows = np.random.default_rng(12), []
+    for stratum in range(30):
+        top = rng.uniform(40, 1000, 3)
+        for k in range(60 if stratum == 0 else 450):
+            figures = (rng.beta(1, 3, 3) * top).astype(int).tolist()
+            rows += [(stratum * 1000 + k, str(stratum), stratum * 1000 + k, 1000, 1000, 1000, *figures)] * (1 + k % 2)  # copies count once
+    fig = spark.createDataFrame(rows, "doc_id long, stratum string, text_hash long, n_words long, word_chars long, n_lines long, n_symbols long, n_dup_lines long, n_repeat_words long")
+    labels = fig.select("doc_id", F.lit(1).alias("quality"))
+    cuts = {r["stratum"]: r for r in collect(quality_rules.cutoffs(fig, labels))}
+    assert len(cuts) == 30 and all(cuts["0"][f"cut_{name}"] is None for name in quality_rules.RULES)
+    rng, some = np.random.default_rng(12), 0
+    for stratum in range(30):
+        top, c = rng.uniform(40, 1000, 3), cuts[str(stratum)]
+        rng.beta(1, 3, (60 if stratum == 0 else 450, 3))
+        fresh, gone = (np.random.default_rng(stratum).beta(1, 3, (20000, 3)) * top).astype(int), np.zeros(20000, bool)
+        for k, name in enumerate(("symbols", "dup_lines", "repeats")):
+            if c[f"cut_{name}"] is not None:
+                gone |= fresh[:, k] / 1000 > c[f"cut_{name}"]
+                some += 1
+        assert gone.mean() <= quality_rules.RISK
+    assert some > 30
+    assert collect(quality_rules.cutoffs(fig.limit(0), labels)) == [] and collect(quality_rules.cutoffs(fig, labels.limit(0))) == []
+
+
 def test_binomial_bound(spark):
     import math
 
