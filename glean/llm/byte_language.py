@@ -4,21 +4,25 @@ Texts are cut into windows of ``WINDOW`` bytes, all of them; filters of several
 widths run over the bytes of a window, each filter's largest response is kept, and a
 softmax layer names the language. A document's probabilities are the mean of its
 windows'. The network is trained in numpy on a bounded sample: ``TRAIN_DOCS``
-labelled documents outside the held-out fold, of each at most ``TRAIN_WINDOWS``
-evenly spread windows.
+labelled documents outside the held-out fold, dealt evenly to the languages so that
+a rare one is learned too, each with its whole text. ``STEPS`` batches are drawn,
+however large the sample: every step takes the next documents of a shuffled order,
+so one counts the same however long it is, and any window of each.
 
 A filter over one-hot bytes is a sum of table rows, so it is applied by look-ups:
 one for each byte pair.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0; an
-unlabelled or empty table learns nothing and every text is ``und``.
+unlabelled or empty table learns nothing and every text is ``und``; equally likely
+languages: the first by name; repeated rows are learned once and judged each; very
+long texts go through in blocks; other columns of docs are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glean.llm.common import blocks, table, with_columns_of
@@ -26,9 +30,9 @@ from glean.llm.registry import query
 
 WINDOW = 256
 WIDTHS, FILTERS = (2, 3, 4), 16
-#: Bounds of the training sample.
-TRAIN_DOCS, TRAIN_WINDOWS = 4000, 6
-EPOCHS, BATCH, RATE = 4, 64, 0.01
+#: Bound of the training sample, in documents (over all languages).
+TRAIN_DOCS = 4000
+STEPS, BATCH, RATE = 1500, 64, 0.01
 HELD_OUT_MOD = 5
 
 _ASCII_LETTER = np.zeros(256, bool)
@@ -99,18 +103,18 @@ class Network:
             g[f"f{w}"] = grad.reshape(w, 256, FILTERS).astype(np.float32)
         return g
 
-    def train(self, x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> Network:
-        m, v, step = {k: 0.0 for k in self.p}, {k: 0.0 for k in self.p}, 0
-        for _ in range(max(EPOCHS, -(-1500 * BATCH // max(1, len(y))) if len(y) < 6000 else EPOCHS)):
-            order = rng.permutation(len(y))
-            for k in range(0, len(order), BATCH):
-                take = order[k:k + BATCH]
-                g = self.loss_gradients(x[take], y[take])
-                step += 1
-                for n in self.p:
-                    m[n] = 0.9 * m[n] + 0.1 * g[n]
-                    v[n] = 0.999 * v[n] + 0.001 * g[n] * g[n]
-                    self.p[n] = (self.p[n] - RATE * (m[n] / (1 - 0.9 ** step)) / (np.sqrt(v[n] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
+    def train(self, bags: list[np.ndarray], label: np.ndarray, rng: np.random.Generator) -> Network:
+        """Adam on drawn windows; ``bags`` has the windows of each document."""
+        m, v = {k: 0.0 for k in self.p}, {k: 0.0 for k in self.p}
+        order = np.concatenate([rng.permutation(len(bags)) for _ in range(-(-STEPS * BATCH // len(bags)))])
+        for step in range(1, STEPS + 1):
+            take = order[(step - 1) * BATCH:step * BATCH]
+            x = np.stack([bags[k][rng.integers(len(bags[k]))] for k in take])
+            g = self.loss_gradients(x, label[take])
+            for n in self.p:
+                m[n] = 0.9 * m[n] + 0.1 * g[n]
+                v[n] = 0.999 * v[n] + 0.001 * g[n] * g[n]
+                self.p[n] = (self.p[n] - RATE * (m[n] / (1 - 0.9 ** step)) / (np.sqrt(v[n] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
         return self
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
@@ -143,11 +147,7 @@ def _training_windows(batches):
         for i, j, buf, off in blocks(b.column("text")):
             x, row = windows(buf, off)
             at = np.searchsorted(row, np.arange(j - i + 1))
-            blobs = []
-            for k in range(j - i):
-                n = at[k + 1] - at[k]
-                pick = at[k] + (np.arange(n) if n <= TRAIN_WINDOWS else np.arange(TRAIN_WINDOWS) * n // TRAIN_WINDOWS)
-                blobs.append(x[pick].tobytes())
+            blobs = [x[at[k]:at[k + 1]].tobytes() for k in range(j - i)]
             yield pa.RecordBatch.from_arrays([b.column("lang").slice(i, j - i), pa.array(blobs, pa.binary())], ["lang", "x"])
 
 
@@ -155,16 +155,19 @@ def fit(docs: DataFrame) -> Network | None:
     """Learn from text and non-null lang outside the held-out fold."""
     usable = docs.filter("lang is not null and text is not null").filter(~held_out()).select(
         "text", "lang", F.xxhash64(F.col("doc_id"), F.lit(5)).alias("k"), F.xxhash64("text").alias("h"))
-    keys = usable.select("k", "h").distinct().orderBy("k", "h").limit(TRAIN_DOCS)  # texts stay where they are
-    chosen = usable.join(F.broadcast(keys), ["k", "h"]).groupBy("k", "h", "lang").agg(F.min("text").alias("text")).select("text", "lang")
+    n_langs = usable.agg(F.count_distinct("lang")).first()[0]
+    each = F.row_number().over(Window.partitionBy("lang").orderBy("k", "h"))
+    keys = (usable.select("lang", "k", "h").distinct().withColumn("n", each).filter(F.col("n") <= max(1, TRAIN_DOCS // max(1, n_langs)))
+            .orderBy("n", "lang").limit(TRAIN_DOCS).select("lang", "k", "h"))  # texts stay where they are
+    chosen = usable.join(F.broadcast(keys), ["lang", "k", "h"]).groupBy("k", "h", "lang").agg(F.min("text").alias("text")).select("text", "lang")
     rows = chosen.mapInArrow(_training_windows, "lang string, x binary").toPandas().sort_values(["lang", "x"], kind="stable")
     if not len(rows):
         return None
     classes = sorted(set(rows["lang"]))
     bags = [np.frombuffer(b, np.uint8).reshape(-1, WINDOW) for b in rows["x"]]
-    y = np.repeat([classes.index(c) for c in rows["lang"]], [len(b) for b in bags])
+    label = np.array([classes.index(c) for c in rows["lang"]])
     rng = np.random.default_rng(11)
-    return Network(classes, rng).train(np.concatenate(bags), y, rng)
+    return Network(classes, rng).train(bags, label, rng)
 
 
 def identify(docs: DataFrame, network: Network | None) -> DataFrame:

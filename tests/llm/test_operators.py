@@ -221,6 +221,17 @@ def test_quality_rules(docs, labels):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_rare_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(byte_language, "TRAIN_DOCS", 16)
+    monkeypatch.setattr(byte_language, "STEPS", 60)
+    rows = [(k, f"the house number {k} of the street", "en") for k in range(300)] + [(k, "x " * 400 + f"das grüne Haus {k}", "de") for k in range(300, 306)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = byte_language.fit(docs)
+    assert network.classes == ["de", "en"]
+    got = collect(byte_language.identify(docs, network))
+    assert sum(r["lang_pred"] == ("en" if r["doc_id"] < 300 else "de") for r in got) >= 300
+
+
 def test_cutoffs_reject_few_good_documents(spark):
     """Good texts whose figures are drawn at random: in no stratum do the chosen cutoffs reject more than the risk."""
     rng, rows = np.random.default_rng(12), []
