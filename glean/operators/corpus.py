@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from glean.functions import rules as R
 from glean.functions.text import col_of
 from glean.operators.dedup import dedup_first, dedup_late
-from glean.session import cut_lineage
+from glean.session import cut_lineage, save_table
 
 HASH_BUCKETS = 1_000_000
 
@@ -69,6 +69,7 @@ def split_corpus(df: DataFrame, val_ratio: float = R.VAL_RATIO, group: str = "ou
     if not exact:
         threshold = int(round(val_ratio * HASH_BUCKETS))
         return df.withColumn("split", F.when(hash_bucket(F.col(group), seed) < threshold, "val").otherwise("train"))
+    df = save_table(df, "split")   # read for the groups and again for the rows: the sources are worked through once
     groups = cut_lineage(df.select(F.col(group).alias("k")).distinct().withColumn("h", hash_60(F.col("k"), seed)))
     last = kth_smallest(groups, int(groups.count() * val_ratio))
     if last is None:

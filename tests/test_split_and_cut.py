@@ -63,3 +63,10 @@ def test_kept_counts(spark):
     cut = TV.length_budget(df, budgets=(3,), keep=True)
     again = TV.length_budget(cut.select(F.col("text_3").alias("text")), budgets=(3,))
     assert [r["n_tokens"] for r in again.collect()] == [r["kept_3"] for r in cut.collect()]
+
+
+def test_the_exact_split_works_its_sources_through_once(spark):
+    df = spark.range(40).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("output_key"))
+    got = C.split_corpus(df, 0.25, exact=True)
+    assert "Range" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.filter("split = 'val'").count() == 10
