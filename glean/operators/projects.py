@@ -35,9 +35,13 @@ def script_mts_roots(files: DataFrame, path: str = "path") -> DataFrame:
 
 
 def assign_projects(files: DataFrame, roots: DataFrame, path: str = "path", key: str = "file_id") -> DataFrame:
-    """(project, file) pairs: a file belongs to every project folder above it."""
+    """(project, file) pairs: a file belongs to every project folder above it.
+
+    A folder near the root is above every file: the distinct ``roots`` are hashed, so that no
+    task sorts the rows of such a folder.
+    """
     anc = files.select(key, F.explode(ancestors(F.col(path))).alias("project"))
-    return anc.join(roots, "project")
+    return anc.join(roots.hint("shuffle_hash"), "project")
 
 
 def project_stats(components: DataFrame) -> DataFrame:
@@ -159,7 +163,7 @@ def extract_projects(files: DataFrame, markers: DataFrame) -> DataFrame:
     scripts = (F.col("kind").isin("action", "library")) & F.col("non_blank")
     valid = (member.join(light, "file_id").groupBy("project").agg(F.count_if(scripts).alias("n_scripts"))
                    .filter(F.col("n_scripts") > 0).select("project"))
-    kept = member.join(valid, "project", "left_semi")
+    kept = member.join(valid.hint("shuffle_hash"), "project", "left_semi")
     return generate_samples(kept.join(per_file(files).select("file_id", "samples"), "file_id"))
 
 

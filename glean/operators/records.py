@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from glean.operators.projects import assign_projects, marker_roots, script_mts_roots
 from glean.operators.scripts import file_name
-from glean.session import cut_lineage
+from glean.session import cut_lineage, save_table
 
 CHUNK_BYTES = 64 << 20
 
@@ -32,10 +32,10 @@ def valid_members(files: DataFrame, markers: DataFrame) -> DataFrame:
     file_id, path, kind and non_blank only, and is read for those columns alone."""
     light = files.select("file_id", "path", "kind", "non_blank")
     roots = marker_roots(markers).unionByName(script_mts_roots(light)).distinct()
-    member = assign_projects(light, roots).join(light.drop("path"), "file_id")
+    member = save_table(assign_projects(light, roots).join(light.drop("path"), "file_id"), "members")
     scripts = F.col("kind").isin("action", "library") & F.col("non_blank")
     valid = member.groupBy("project").agg(F.count_if(scripts).alias("n")).filter("n > 0").select("project")
-    return member.join(valid, "project", "left_semi").select("project", "file_id")
+    return member.join(valid.hint("shuffle_hash"), "project", "left_semi").select("project", "file_id")
 
 
 def with_chunks(rows: DataFrame, size: str, order: list[str], chunk_bytes: int = CHUNK_BYTES, group: str = "project") -> DataFrame:
@@ -69,7 +69,7 @@ def project_records(components: DataFrame, members: DataFrame, objects: DataFram
                         (F.octet_length("path") + F.octet_length(F.coalesce(F.col("code"), F.lit("")))).cast("long").alias("size"))
     narrow = members.join(files, "file_id").withColumn("object", F.lit(None).cast(_OBJECT))
     if objects is not None:
-        of_valid = objects.join(members.select("project").distinct(), "project", "left_semi")
+        of_valid = objects.join(members.select("project").distinct().hint("shuffle_hash"), "project", "left_semi")
         props = F.col("properties") if "properties" in objects.columns else F.lit(None)
         entry = F.struct(F.col("entry_name").alias("name"), F.col("entry_type").alias("type"), props.alias("properties"), F.col("raw")).cast(_OBJECT)
         of_valid = of_valid.select(F.lit(None).cast("long").alias("file_id"), "project", F.lit(4).alias("rank"), F.col("entry_name").alias("key"),

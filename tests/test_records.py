@@ -84,3 +84,15 @@ def test_job_writes_records_with_objects(spark, tmp):
     assert [a["name"] for a in record["actions"]] == ["A1"] and record["function_libraries"][0]["function_count"] == 1
     assert {o["name"]: {p["key"]: p["value"] for p in o["properties"]} for o in record["object_repository"]} == {
         "B1": {"Name": "B1", "title": "a & b"}, "E": {"Name": "E", "w": "3"}}
+
+
+def test_a_folder_above_every_file_is_not_sorted(spark):
+    """Files meet the project folders by a hash of the folders; each file of a hot folder once."""
+    rows = [(f"/r/hot/A{k}/Script.mts", FN.format(k)) for k in range(300)] + [("/r/cold/notes.txt", "n")]
+    comp = files_frame(spark, rows)
+    members = RC.valid_members(comp, spark.createDataFrame([("/r/hot/T.tsp",), ("/r/cold/T.tsp",)], "path string"))
+    assert sorted((r["project"], r["file_id"]) for r in members.collect()) == [("/r/hot", k) for k in range(300)]
+    roots = spark.createDataFrame([("/r",), ("/r/hot",)], "project string")
+    for joined in (members, RC.assign_projects(comp, roots)):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "Sort" not in plan
