@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, StringType
 
-from glean.functions.text import col_of, collapse_newlines, py_strip
+from glean.functions.text import col_of, collapse_newlines, let, py_strip
 
 # HTML5 named/numeric references decoded without Python ("&amp;" last, so a
 # single pass never decodes its own output).
@@ -96,15 +96,12 @@ def unescape_twice(c) -> Column:
 
 def unescape_all(arr) -> Column:
     """``[html.unescape(x) for x in arr]`` with the same fast/slow split."""
-    arr = col_of(arr)
-    fast = F.transform(arr, fast_unescape)
-    needs = F.exists(arr, lambda x: x.rlike(SLOW_REFERENCE))
-    return F.coalesce(_unescape_arrays(F.when(needs, arr)), fast)
+    def ways(xs):
+        slow = F.coalesce(F.exists(xs, lambda x: x.rlike(SLOW_REFERENCE)), F.lit(False))
+        return F.struct(F.when(slow, xs).alias("slow"), F.when(~slow, F.transform(xs, fast_unescape)).alias("fast"))
 
-
-def let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once, however often the body names it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    both = let(col_of(arr), ways)
+    return F.coalesce(_unescape_arrays(both["slow"]), both["fast"])
 
 
 def escape_marks(c) -> Column:

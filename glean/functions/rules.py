@@ -220,13 +220,13 @@ def literal_precheck(text, pattern: str):
     for pieces in branches:
         conj = None
         for p in pieces:
-            t = F.instr(text, p) > 0
+            t = F.contains(text, F.lit(p))
             conj = t if conj is None else (conj & t)
         cond = conj if cond is None else (cond | conj)
     return cond
 
 
-def task_label(text, rules=TASK_RULES, fallbacks=TASK_FALLBACKS, default=TASK_DEFAULT) -> Column:
+def task_label(text, rules=TASK_RULES, fallbacks=TASK_FALLBACKS, default=TASK_DEFAULT, folded=None) -> Column:
     """First rule whose pattern is found in ``text`` (already lower-cased),
     as one CASE chain: a single projection inside codegen, no join.
 
@@ -234,7 +234,7 @@ def task_label(text, rules=TASK_RULES, fallbacks=TASK_FALLBACKS, default=TASK_DE
     that cannot match a rule costs a few byte scans instead of a regex scan.
     """
     text = col_of(text)
-    folded = caseless(text)
+    folded = caseless(text) if folded is None else folded
     chain = None
     for pattern, label in list(rules):
         cond = py_search(folded, pattern)
@@ -243,7 +243,7 @@ def task_label(text, rules=TASK_RULES, fallbacks=TASK_FALLBACKS, default=TASK_DE
             cond = pre & cond
         chain = F.when(cond, label) if chain is None else chain.when(cond, label)
     for needle, label in fallbacks:
-        cond = F.instr(text, needle) > 0
+        cond = F.contains(text, F.lit(needle))
         chain = F.when(cond, label) if chain is None else chain.when(cond, label)
     return chain.otherwise(default) if chain is not None else F.lit(default)
 

@@ -40,6 +40,11 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def py_strip(c) -> Column:
     """``str.strip()``: trim the Unicode whitespace set from both ends."""
     return F.trim(col_of(c), F.lit(PY_WHITESPACE))
@@ -67,11 +72,13 @@ def collapse_newlines(c) -> Column:
 
 def blank_marked_lines(c, marker: str, word: str) -> Column:
     """Blank every line that starts with ``marker`` and contains ``word``
-    (case-insensitive, Python MULTILINE semantics); the newline is kept."""
+    (case-insensitive, Python MULTILINE semantics); the newline is kept. Texts
+    without such a line start are left without a regex scan."""
     import re
 
     pattern = "(?imdu)^" + re.escape(marker) + ".*" + re.escape(word) + ".*$"
-    return F.regexp_replace(col_of(c), pattern, "")
+    return let(col_of(c), lambda x: F.when(F.startswith(x, F.lit(marker)) | F.contains(x, F.lit("\n" + marker)),
+                                           F.regexp_replace(x, pattern, "")).otherwise(x))
 
 
 def py_search(c, pattern: str, ignore_case: bool = False) -> Column:
@@ -85,7 +92,7 @@ def contains_any(c, needles) -> Column:
     c = col_of(c)
     cond = None
     for n in needles:
-        t = F.instr(c, n) > 0
+        t = F.contains(c, F.lit(n))
         cond = t if cond is None else (cond | t)
     return cond if cond is not None else F.lit(False)
 

@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glean.functions import rules as R
-from glean.functions.text import col_of, stable_bucket
+from glean.functions.text import col_of, let, stable_bucket
 
 
 def task_of(code, description) -> Column:
+    """The rules name the text dozens of times: it is joined, lower-cased and folded once per row."""
     combined = F.lower(F.concat(col_of(code), F.lit(" "), F.coalesce(col_of(description), F.lit(""))))
-    return R.task_label(combined)
+    both = let(combined, lambda t: F.struct(t.alias("text"), R.caseless(t).alias("folded")))
+    return let(both, lambda x: R.task_label(x["text"], folded=x["folded"]))
 
 
 def label_task(df: DataFrame, code: str = "code", description: str = "description",

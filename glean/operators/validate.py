@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glean.functions import rules as R
-from glean.functions.text import col_of, contains_any, py_strip
+from glean.functions.text import col_of, contains_any, let, py_strip
 
 
 def length_ok(code, lo: int = R.MIN_CODE_CHARS, hi: int | None = R.MAX_CODE_CHARS) -> Column:
@@ -19,7 +19,7 @@ def keywords_ok(code, language, vb_keywords=R.VBSCRIPT_KEYWORDS,
     """VBScript: lower-cased code holds a keyword. Selenium languages: code holds
     a marker, case-sensitively. Other languages pass."""
     code, language = col_of(code), col_of(language)
-    return (F.when(language == "vbscript", contains_any(F.lower(code), vb_keywords))
+    return (F.when(language == "vbscript", let(F.lower(code), lambda x: contains_any(x, vb_keywords)))
              .when(F.startswith(language, F.lit("selenium")), contains_any(code, selenium_markers))
              .otherwise(F.lit(True)))
 

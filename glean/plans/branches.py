@@ -67,7 +67,8 @@ def qa_branch(pairs: DataFrame, dedup: bool = True) -> DataFrame:
 
     ``pairs`` needs title, question, code_blocks, tags, src_path, src_pos.
     """
-    df = (pairs.withColumn("code_blocks", F.coalesce(F.col("code_blocks"), F.array().cast("array<string>")))
+    # stored, so that the filter is not pushed below it and finds the blocks a second time
+    df = (with_computed(pairs, code_blocks=F.coalesce(F.col("code_blocks"), F.array().cast("array<string>")))
                .filter(F.size("code_blocks") > 0)
                .transform(lambda d: with_computed(d, output=clean_code_col(longest_first(F.col("code_blocks")))))
                .filter(F.length("output") >= R.MIN_CODE_CHARS)

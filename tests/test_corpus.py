@@ -100,3 +100,25 @@ def test_second_collection_skips_taken_repos(spark):
                                   "file_path string, code string")
     kept = select_files(files, "python", must_contain_selenium=True).collect()
     assert [r["file_path"] for r in kept] == ["x/t.py"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rules_read_a_text_folded_once(spark):
+    from glean.operators.label import task_of
+    df = spark.createDataFrame([("SCREEN\u017fHOT of it", None), ("Click\u0131ng the Button", ""), ("plain", "a Te\u017ft"), ("plain", "a Function"), (None, "x")], "c string, d string")
+    got = df.select(task_of(F.col("c"), F.col("d")).alias("task"))
+    assert [r["task"] for r in got.collect()] == ["take a screenshot", "click a button", "automate a task", "create a reusable function", "automate a task"]
+    assert plan_of(got).count("lower(") == 1 and plan_of(got).count("translate(") == 1
+
+
+def test_code_blocks_of_a_pair_are_found_once(spark):
+    from glean.functions.html import code_blocks
+    from glean.plans.branches import qa_branch
+    body = "<pre>if a &lt; b then &hellip; call something long enough to be kept</pre><code>a second block of some length</code>"
+    pairs = spark.createDataFrame([("t", "q", body, ["java"], 1), ("t", "q", "<p>no code</p>", None, 2), ("t", "q", None, None, 3)], "title string, question string, body string, tags array<string>, src_pos long")
+    out = qa_branch(pairs.select("title", "question", "tags", "src_pos", F.lit("p").alias("src_path"), code_blocks(F.col("body")).alias("code_blocks")), dedup=False)
+    assert [r["output"] for r in out.collect()] == ["if a < b then \u2026 call something long enough to be kept"]
+    assert plan_of(out).count("ArrowEvalPython") == 1 and plan_of(out).count("regexp_extract_all") <= 2
