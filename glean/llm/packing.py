@@ -51,7 +51,7 @@ class Recent:
         """The keys to be learned; all others are in ``new`` afterwards."""
         if len(self.new) >= CACHE_WORDS:
             self.old, self.new = self.new, {}
-        missing = keys - self.new.keys()
+        missing = keys.difference(self.new)  # looks up each key; "keys - self.new.keys()" would walk all that is remembered
         known = missing & self.old.keys()
         self.new.update((k, self.old[k]) for k in known)
         return list(missing - known)
@@ -103,20 +103,23 @@ class WordTokenizer:
 
     def _learn_words(self, words: set[bytes]) -> None:
         new, flat, ends = [], [], []  # the pieces of all new words in one list: no container a word
-        for word in self.words.unseen(words):
-            if word.isalpha():  # ASCII letters
-                flat.append(word.lower().decode())
-            else:
-                text = word.decode("utf-8", "replace")
-                if not self.latin.match(text):
-                    self.words.new[word] = np.array(self.full.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
-                    continue
-                flat += self.pieces.findall(text.lower())
+        missing = self.words.unseen(words)
+        letters = [w for w in missing if w.isalpha()]  # of ASCII letters: a piece each
+        spelled = b" ".join(letters).lower().decode().split()
+        for word in missing:
+            if word.isalpha():
+                continue
+            text = word.decode("utf-8", "replace")
+            if not self.latin.match(text):
+                self.words.new[word] = np.array(self.full.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+                continue
+            flat += self.pieces.findall(text.lower())
             new.append(word)
             ends.append(len(flat))
-        self._learn_pieces(set(flat))
+        self._learn_pieces({*spelled, *flat})
         ids = list(map(self.parts.new.__getitem__, flat))
         at, known = 0, self.words.new
+        known.update(zip(letters, map(self.parts.new.__getitem__, spelled)))
         for word, end in zip(new, ends):
             known[word] = ids[at] if end - at == 1 else b"".join(ids[at:end])
             at = end

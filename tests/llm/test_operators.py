@@ -376,3 +376,21 @@ def test_language(docs):
 ])
 def test_empty(docs, labels, run):
     assert run(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_a_block_of_words_does_not_walk_all_that_is_remembered():
+    from glean.llm import packing
+
+    class Key:
+        hashed = 0
+
+        def __hash__(self):
+            Key.hashed += 1
+            return id(self) >> 4
+
+    known, other = [Key() for _ in range(1000)], Key()
+    seen = packing.Recent()
+    seen.new = dict.fromkeys(known, b"")
+    asked = {known[0], other}
+    Key.hashed = 0
+    assert seen.unseen(asked) == [other] and Key.hashed < 100
