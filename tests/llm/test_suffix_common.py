@@ -59,3 +59,37 @@ def test_common_key_is_dealt(spark, monkeypatch, hot):
     assert collections.Counter(tuple(r) for r in got) == brute_force(texts())
     assert shares["runs"] < 0.4
     assert passed["windows"] == 1  # windows are hashed once, not for the count and again for the marks
+
+
+def crowd():
+    """One passage in very many surroundings, two of them common at its one end and one at the other, quoted from many starts."""
+    passage = prose(7, 60)[:300]
+    left, right, rare = prose(8, 60), prose(9, 60), prose(11, 60)
+    rows = [prose(300 + k, 25) + passage + prose(600 + k, 25) for k in range(40)]  # shorter than 400 bytes: stays
+    rows += [prose(900 + k, 25) + left[-50 - k % 7:] + passage + right[:100 + k % 5] + prose(1200 + k, 25) for k in range(40)]
+    rows += [prose(1500 + k, 25) + rare[-150 + k:] + passage + right[:150 - 2 * k] + prose(1800 + k, 25) for k in range(40)]
+    return [(k, t) for k, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 30, 3, 0])
+def test_crowded_key_is_halved(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "COMMON", 10)
+    made, save = {}, suffix_dedup.save
+
+    def watched(df, name):
+        df = save(df, name)
+        made.setdefault(name, []).append(df.count())
+        return df
+
+    monkeypatch.setattr(suffix_dedup, "save", watched)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(crowd(), "doc_id long, text string")).drop("kept").collect()
+    want = brute_force(crowd())
+    assert collections.Counter(tuple(r) for r in got) == want
+    assert sum(n_removed > 0 for _, _, n_removed, _, _ in want) > 60
+    contexts = made["context-bytes"][0]
+    assert contexts > 100
+    assert made["windows"][0] < 8 * contexts  # not a row for each window of each context
+    if 0 < hot < contexts:
+        assert made["halves"] and all(n <= 2 * contexts for n in made["halves"])
+        assert sum(made["halves"]) < 12 * contexts
